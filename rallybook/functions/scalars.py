@@ -4,23 +4,22 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-FLOAT_TAIL = r"\.0+$"
 YEAR_IN_FILE_NAME = r"_(\d{4})\.csv(/|$)"
 
+# A failed try_cast of text costs an exception, some twenty microseconds. So the casts below are
+# chosen to succeed for every number in the data and to fail only for what is not one.
+
 
 def to_id(value: Column) -> Column:
     """Id as bigint; `7.0`, which a float round trip leaves behind, is 7."""
     text = value.cast("string")
-    return F.coalesce(
-        text.try_cast("bigint"),
-        F.regexp_replace(text, FLOAT_TAIL, "").try_cast("bigint"),
-    )
+    whole = F.when(F.contains(text, F.lit(".")), F.regexp_replace(text, r"\.0*$", ""))
+    return whole.otherwise(text).try_cast("bigint")
 
 
 def to_int(value: Column) -> Column:
-    """Whole number as int, also from `5.0`; NULL for anything else."""
-    text = value.cast("string")
-    return F.coalesce(text.try_cast("int"), text.try_cast("double").try_cast("int"))
+    """Number as int without its fraction, also from `5.0`; NULL for anything else."""
+    return value.try_cast("double").try_cast("int")
 
 
 def parse_yyyymmdd(value: Column) -> Column:

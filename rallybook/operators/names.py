@@ -81,12 +81,9 @@ def fill_names(players: DataFrame, matches: DataFrame) -> DataFrame:
     If the other half is known and the name starts or ends with it, the rest is the missing
     half; otherwise the name is cut at its first blank. A name without a blank fills nothing.
     """
-    found = (
-        sides(matches, names=True)
-        .where(F.col("name").isNotNull())
-        .groupBy("player_id")
-        .agg(F.min("name").alias("_name"))
-    )
+    # Distinct pairs first: they are found by hashing, while the smallest of strings is found by
+    # sorting, which should not be done to every match.
+    found = distinct_names(matches).groupBy("player_id").agg(F.min("name").alias("_name"))
     rows = players.withColumn("_id", id_column(players, "player_id"))
     rows = lookup_join(rows, found, "_id", ["name_first", "name_last"])
     name, first, last = F.col("_name"), F.col("name_first"), F.col("name_last")

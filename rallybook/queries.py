@@ -84,17 +84,21 @@ def write_raw(spark, sf_dir, folder: str) -> DataFrame:
     raw.write.options(**CSV_OPTIONS).csv(f"{folder}/players")
     by_year = fixtures.matches(spark, sf_dir).hint("rebalance", "year")
     by_year.write.partitionBy("year").options(**CSV_OPTIONS).csv(f"{folder}/matches")
-    # Only the folder names are read here.
-    written = spark.read.format("binaryFile").load(f"{folder}/matches")
-    years = written.select("year").distinct()
-    sources = years.select(
-        F.format_string(f"{MATCHES_SOURCE_PREFIX}%d.csv", "year").alias("name"),
-        F.format_string(f"{folder}/matches/year=%d", "year").alias("path"),
-    )
-    players = spark.range(1).select(
-        F.lit(f"{PLAYERS_SOURCE}.csv").alias("name"), F.lit(f"{folder}/players").alias("path")
+    # Only file names are read here.
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
+    source = F.regexp_extract("path", r"/(players|matches/year=\d+)/[^/]+$", 1)
+    year = F.substring_index("source", "=", -1)
+    stem = F.when(F.col("source") == "players", PLAYERS_SOURCE)
+    return (
+        files.select(source.alias("source"))
+        .distinct()
+        .select(
+            F.concat(
+                stem.otherwise(F.concat(F.lit(MATCHES_SOURCE_PREFIX), year)), F.lit(".csv")
+            ).alias("name"),
+            F.concat(F.lit(f"{folder}/"), "source").alias("path"),
+        )
     )
-    return sources.union(players)
 
 
 def landed_lake(spark, sf_dir) -> tuple[Lake, DataFrame]:

@@ -21,10 +21,10 @@ def source_manifest(
 ) -> DataFrame:
     """`name` and `path` of the players file and of one matches file per year."""
     end = last_year + 1 if inclusive else last_year
-    names = (
-        spark.range(first_year, end)
-        .select(F.format_string(f"{MATCHES_SOURCE_PREFIX}%d.csv", "id").alias("name"))
-        .union(spark.range(1).select(F.lit(f"{PLAYERS_SOURCE}.csv")))
+    # The number after the last year stands for the players.
+    stem = F.when(F.col("id") < end, F.format_string(f"{MATCHES_SOURCE_PREFIX}%d", "id"))
+    names = spark.range(first_year, end + 1).select(
+        F.concat(stem.otherwise(PLAYERS_SOURCE), F.lit(".csv")).alias("name")
     )
     return names.withColumn("path", F.concat(F.lit(base.rstrip("/") + "/"), "name"))
 

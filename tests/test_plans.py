@@ -1,0 +1,183 @@
+"""Shapes of plans that matter at scale."""
+
+import re
+import uuid
+
+import pytest
+from frames import sorted_rows
+from pyspark.sql import functions as F
+
+
+from rallybook import fixtures
+from rallybook.operators import levels, metrics
+from rallybook.operators.joins import lookup_join
+from rallybook.operators.names import NAME_SALTS
+from rallybook.operators.rollup import career_statistics, tournament_rollup
+from rallybook.operators.sides import sides
+from rallybook.plans import gold, silver
+from rallybook.queries import QUERIES
+from rallybook.schemas import MATCH_COLUMNS
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="module")
+def tables(spark, tmp_path_factory):
+    """Silver tables on disk, so that plans start from plain scans."""
+    folder = str(tmp_path_factory.mktemp("silver"))
+    players = silver.silver_players(fixtures.players(spark, SF_DIR))
+    players.write.parquet(f"{folder}/players")
+    silver.silver_matches(fixtures.matches(spark, SF_DIR), players).write.parquet(f"{folder}/matches")
+    return spark.read.parquet(f"{folder}/players"), spark.read.parquet(f"{folder}/matches")
+
+
+@pytest.fixture
+def conf(spark):
+    """Set session options for one test."""
+    before = {}
+
+    def put(name, value):
+        before.setdefault(name, spark.conf.get(name, None))
+        spark.conf.set(name, value)
+
+    yield put
+    for name, value in before.items():
+        spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+
+
+def plan_of(df):
+    text = df._jdf.queryExecution().executedPlan().toString()
+    return text.split("== Initial Plan ==")[0]
+
+
+def read_columns(plan):
+    return re.findall(r"ReadSchema: struct<([^>]*)>", plan)
+
+
+def test_career_figures_are_one_scan_and_two_partial_aggregations(tables):
+    plan = plan_of(career_statistics(tournament_rollup(sides(tables[1], break_points=True))))
+    assert plan.count("FileScan") == 1
+    assert plan.count("Exchange hashpartitioning") == 2
+    assert plan.count("HashAggregate") == 4
+    assert "Expand" not in plan and "Join" not in plan
+
+
+def test_level_figures_are_one_scan_with_the_filter_pushed_down(tables):
+    plan = plan_of(levels.level_statistics(tables[1]))
+    assert plan.count("FileScan") == 1 and "Join" not in plan
+    assert "EqualTo(tourney_level,G)" in plan
+    (columns,) = read_columns(plan)
+    assert "bpSaved" not in columns and "name" not in columns
+
+
+@pytest.mark.parametrize(
+    "operator, columns",
+    [
+        (metrics.losses, {"loser_id"}),
+        (metrics.wins, {"winner_id"}),
+        (metrics.win_loss, {"loser_id", "winner_id"}),
+        (metrics.break_points_saved_won, {"winner_id", "w_bpSaved", "w_bpFaced"}),
+        (metrics.tournaments_played, {"winner_id", "loser_id", "tourney_id"}),
+        (metrics.finals_won, {"winner_id", "tourney_id", "round"}),
+        (levels.level_won, {"winner_id", "round", "tourney_level"}),
+    ],
+)
+def test_scans_read_only_what_a_figure_needs(tables, operator, columns):
+    plan = plan_of(operator(tables[1]))
+    (read,) = read_columns(plan)
+    assert {c.split(":")[0] for c in read.split(",")} == columns
+    assert columns <= set(MATCH_COLUMNS)
+
+
+def test_counts_are_reduced_before_they_are_shuffled(tables):
+    plan = plan_of(metrics.win_loss(tables[1]))
+    above, below = plan.split("Exchange hashpartitioning", 1)
+    assert "HashAggregate" in above and "partial_count" in below
+
+
+def all_plans(spark):
+    for name, query in QUERIES.items():
+        yield name, plan_of(query(spark, SF_DIR))
+
+
+def test_no_query_has_a_python_worker_or_a_product(spark):
+    for name, plan in all_plans(spark):
+        for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "Python", "ArrowEval"):
+            assert bad not in plan, (name, bad)
+
+
+def skewed(spark, folder, copies=False):
+    """Matches of which two fifths are won by one player and one fifth by nobody known;
+    the two fifths are exact copies of one row if so asked."""
+    tourney = "if(id % 5 < 2, 't', 't' || id % 50)" if copies else "'t' || id % 50"
+    rows = spark.range(0, 40000, 1, 16).selectExpr(
+        f"{tourney} as tourney_id",
+        "'G' as tourney_level",
+        "if(id % 5 = 3, 'F', 'R32') as round",
+        "case when id % 5 < 2 then 1 when id % 5 = 2 then null else id % 3000 end as winner_id",
+        "'w' as winner_name",
+        f"case when id % 5 < 2 then {2 if copies else '3000 + id % 997'} "
+        "else 3000 + id % 1000 end as loser_id",
+        "'l' as loser_name",
+        "3 as w_bpSaved", "4 as w_bpFaced", "1 as l_bpSaved", "2 as l_bpFaced",
+    )
+    path = f"{folder}/{uuid.uuid4().hex}"
+    rows.write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def eager_skew_handling(conf):
+    """Make adaptive execution treat test-sized partitions as it treats large ones."""
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    conf("spark.sql.adaptive.autoBroadcastJoinThreshold", "-1")
+    conf("spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes", "2KB")
+    conf("spark.sql.adaptive.skewJoin.skewedPartitionFactor", "1.5")
+    conf("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1KB")
+    conf("spark.sql.adaptive.coalescePartitions.minPartitionSize", "1KB")
+
+
+def all_players(spark):
+    return spark.range(1, 4000).selectExpr("id as player_id", "'P' || id as full_name")
+
+
+def test_a_hot_player_is_salted_when_names_are_joined(spark, tmp_path, conf):
+    matches, named = skewed(spark, tmp_path), all_players(spark)
+    expected = sorted_rows(silver.silver_matches(matches, named))
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    conf("spark.sql.adaptive.enabled", "false")
+    conf("spark.sql.shuffle.partitions", "16")
+    found = silver.silver_matches(matches, named)
+    assert sorted_rows(found) == expected
+    # The hot player alone holds 16,000 of the 40,000 rows; without a salt one task has them.
+    lookup = named.select("player_id", "full_name")
+    for salts, fits in ((1, False), (NAME_SALTS, True)):
+        spread = ["loser_id", "tourney_id", "round"]
+        joined = lookup_join(matches, lookup, "winner_id", spread, salts)
+        sizes = joined.groupBy(F.spark_partition_id()).count().collect()
+        assert (max(row["count"] for row in sizes) < 8000) == fits
+        assert sum(row["count"] for row in sizes) == 40000
+
+
+def test_copies_of_a_match_are_split_when_names_are_joined(spark, tmp_path, conf):
+    matches, named = skewed(spark, tmp_path, copies=True), all_players(spark)
+    expected = sorted_rows(silver.silver_matches(matches, named))
+    eager_skew_handling(conf)
+    found = silver.silver_matches(matches, named)
+    assert sorted_rows(found) == expected
+    plan = plan_of(found)
+    assert plan.count("skew=true") == 2, plan
+    assert "Broadcast" not in plan
+
+
+def test_a_repeated_player_is_split_when_statistics_are_joined(spark, tmp_path, conf):
+    matches = skewed(spark, tmp_path)
+    path = f"{tmp_path}/players"
+    spark.range(0, 20000, 1, 16).selectExpr(
+        "if(id % 3 = 0, 1, id) as player_id", "'P' || id as full_name"
+    ).write.parquet(path)
+    named = spark.read.parquet(path)
+    expected = sorted_rows(gold.player_statistics(named, matches))
+    eager_skew_handling(conf)
+    found = gold.player_statistics(named, matches)
+    assert sorted_rows(found) == expected
+    assert "skew=true" in plan_of(found)

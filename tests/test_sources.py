@@ -1,0 +1,177 @@
+import pytest
+from frames import sorted_rows
+from pyspark.errors import PySparkException
+
+from rallybook.sources.landing import (
+    land_bronze,
+    landed_sources,
+    missing_sources,
+    source_manifest,
+)
+from rallybook.sources.tables import (
+    Lake,
+    Layer,
+    load_csv,
+    load_matches,
+    read_csv,
+    read_csv_by_name,
+    read_table,
+    retype,
+    write_table,
+)
+
+
+@pytest.fixture
+def lake(tmp_path):
+    return Lake(str(tmp_path / "my_lake"))
+
+
+def text_file(folder, name, *lines):
+    folder.mkdir(parents=True, exist_ok=True)
+    (folder / name).write_text("".join(line + "\n" for line in lines))
+    return str(folder / name)
+
+
+def test_paths(lake):
+    assert lake.path(Layer.GOLD, "df_x", "csv").endswith("/my_lake/gold/df_x.csv")
+    assert lake.path(Layer.GOLD, "df_x", "parquet").endswith("/my_lake/gold/df_x")
+    with pytest.raises(ValueError, match="unsupported format"):
+        lake.path(Layer.GOLD, "df_x", "xlsx")
+    with pytest.raises(ValueError, match="not a layer"):
+        lake.folder("gold")
+
+
+def test_a_source_is_a_layer_or_a_list(spark, lake, tmp_path):
+    a = text_file(tmp_path, "a.csv", "x,y", "1,2")
+    b = text_file(tmp_path, "b.csv", "x,y", "3,4")
+    assert sorted_rows(load_csv(spark, lake, [a, b], "ignored")) == [("1", "2"), ("3", "4")]
+    with pytest.raises(ValueError, match="expected a layer"):
+        load_csv(spark, lake, a, "df_x")
+    write_table(spark.createDataFrame([("5",)], "x string"), lake, Layer.SILVER, "df_x", "csv")
+    assert sorted_rows(load_csv(spark, lake, Layer.SILVER, "df_x")) == [("5",)]
+
+
+def test_values_survive_csv(spark, lake):
+    rows = [(' a "b", c ', "7.0"), ("back\\slash", None), ("it''s", "00")]
+    table = spark.createDataFrame(rows, "x string, y string")
+    write_table(table, lake, Layer.SILVER, "df_x", "csv")
+    found = read_table(spark, lake, Layer.SILVER, "df_x", "csv")
+    assert sorted_rows(found) == sorted(rows, key=repr)
+
+
+def test_empty_text_and_null_are_the_same_in_csv(spark, lake):
+    table = spark.createDataFrame([("a", ""), ("b", None)], "x string, y string")
+    write_table(table, lake, Layer.SILVER, "df_x", "csv")
+    found = read_table(spark, lake, Layer.SILVER, "df_x", "csv")
+    assert sorted_rows(found) == [("a", None), ("b", None)]
+
+
+def test_overwrite(spark, lake):
+    for value in (1, 2):
+        for fmt in ("csv", "parquet"):
+            table = spark.createDataFrame([(value,)], "player_id long")
+            write_table(table, lake, Layer.GOLD, "df_x", fmt)
+    assert retype(read_table(spark, lake, Layer.GOLD, "df_x", "csv")).collect() == [(2,)]
+    assert read_table(spark, lake, Layer.GOLD, "df_x").collect() == [(2,)]
+
+
+def test_partitioned_table(spark, lake):
+    table = spark.createDataFrame([(1, 2000), (2, 2001), (3, None)], "x long, year int")
+    write_table(table, lake, Layer.SILVER, "df_x", partition_by="year")
+    found = read_table(spark, lake, Layer.SILVER, "df_x")
+    assert sorted_rows(found) == [(1, 2000), (2, 2001), (3, None)]
+    plan = found.where("year = 2000")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(year" in plan
+
+
+def test_delta_is_asked_of_spark(spark, lake):
+    with pytest.raises(Exception, match="(?i)delta"):
+        read_table(spark, lake, Layer.GOLD, "df_x", "delta")
+
+
+def test_reordered_headers(spark, tmp_path):
+    a = text_file(tmp_path, "a.csv", "x,y", "1,2")
+    b = text_file(tmp_path, "b.csv", "y,x", "4,3")
+    c = text_file(tmp_path, "c.csv", "x,z", "5,6")
+    with pytest.raises(Exception, match="header does not conform"):
+        read_csv(spark, [a, b]).collect()
+    found = read_csv_by_name(spark, [a, b, c, a])
+    assert found.columns == ["x", "y", "z"]
+    assert sorted_rows(found) == sorted(
+        [("1", "2", None), ("1", "2", None), ("3", "4", None), ("5", None, "6")], key=repr
+    )
+
+
+def test_files_with_one_header_are_one_scan(spark, tmp_path):
+    paths = [text_file(tmp_path, f"f{i}.csv", "x,y", f"{i},0") for i in range(5)]
+    plan = read_csv_by_name(spark, paths)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan csv") == 1
+
+
+def test_matches_are_found_by_name_and_dated_by_file(spark, lake, tmp_path):
+    bronze = tmp_path / "my_lake" / "bronze"
+    text_file(bronze, "atp_matches_2003.csv", "tourney_id", "a")
+    text_file(bronze, "atp_players.csv", "player_id", "1")
+    text_file(bronze / "atp_matches_2004.csv", "part-0.csv", "tourney_id", "b", "c")
+    found = load_matches(spark, lake)
+    assert sorted_rows(found.select("tourney_id", "year")) == [("a", 2003), ("b", 2004), ("c", 2004)]
+    assert all("_matches_200" in r.path for r in found.collect())
+
+
+def test_manifest_years(spark):
+    names = {r.name for r in source_manifest(spark, "/raw/", 2000, 2002).collect()}
+    matches = {f"atp_matches_{y}.csv" for y in (2000, 2001, 2002)}
+    assert names == matches | {"atp_players.csv"}
+    open_end = source_manifest(spark, "/raw", 2000, 2002, inclusive=False)
+    rows = {r.name: r.path for r in open_end.collect()}
+    assert "atp_matches_2002.csv" not in rows
+    assert rows["atp_matches_2001.csv"] == "/raw/atp_matches_2001.csv"
+
+
+@pytest.fixture
+def raw(tmp_path):
+    folder = tmp_path / "raw"
+    text_file(folder, "atp_players.csv", "player_id,name", "1,  A ", "007,", '3,"x, ""y"""')
+    text_file(folder, "atp_matches_2000.csv", "winner_id", "1", "1.0")
+    text_file(folder, "atp_matches_2001.csv", "winner_id", "2")
+    return folder
+
+
+def test_only_missing_sources_are_landed(spark, lake, raw):
+    manifest = source_manifest(spark, str(raw), 2000, 2001)
+    assert landed_sources(spark, lake).count() == 0
+    first = land_bronze(spark, manifest.where("name like '%2000%'"), lake)
+    assert first == ["atp_matches_2000.csv"]
+    left = missing_sources(manifest, landed_sources(spark, lake))
+    assert {r.name for r in left.collect()} == {"atp_players.csv", "atp_matches_2001.csv"}
+    assert land_bronze(spark, manifest, lake) == ["atp_matches_2001.csv", "atp_players.csv"]
+    assert land_bronze(spark, manifest, lake) == []
+    assert {r.name for r in landed_sources(spark, lake).collect()} == {
+        r.name for r in manifest.collect()
+    }
+
+
+def test_landing_changes_no_value(spark, lake, raw):
+    land_bronze(spark, source_manifest(spark, str(raw), 2000, 2001), lake)
+    found = load_csv(spark, lake, Layer.BRONZE, "atp_players")
+    assert sorted_rows(found.select("name", "player_id")) == sorted(
+        [("  A ", "1"), (None, "007"), ('x, "y"', "3")], key=repr
+    )
+    ids = sorted_rows(load_matches(spark, lake).select("winner_id", "year"))
+    assert ids == [("1", 2000), ("1.0", 2000), ("2", 2001)]
+
+
+def test_an_unfinished_landing_is_not_landed(spark, lake, raw, tmp_path):
+    manifest = source_manifest(spark, str(raw), 2000, 2001)
+    hidden = tmp_path / "my_lake" / "bronze" / ".landing-1-atp_players.csv"
+    text_file(hidden, "part-0.csv", "player_id,name", "1,A")
+    assert "atp_players.csv" in land_bronze(spark, manifest, lake)
+    assert load_csv(spark, lake, Layer.BRONZE, "atp_players").count() == 3
+    assert load_matches(spark, lake).count() == 3
+
+
+def test_a_source_that_is_not_there_fails(spark, lake, raw):
+    with pytest.raises(PySparkException):
+        land_bronze(spark, source_manifest(spark, str(raw), 1999, 2001), lake)
+    landed = {r.name for r in landed_sources(spark, lake).collect()}
+    assert "atp_matches_1999.csv" not in landed
