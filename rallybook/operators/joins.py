@@ -15,6 +15,11 @@ def broadcast_limit(df: DataFrame) -> int:
     return int(conf.autoBroadcastJoinThreshold())
 
 
+def fits_broadcast(df: DataFrame) -> bool:
+    """Whether Spark will broadcast it by its own limit, `spark.sql.autoBroadcastJoinThreshold`."""
+    return estimated_bytes(df) <= broadcast_limit(df)
+
+
 def lookup_join(
     facts: DataFrame, lookup: DataFrame, key: str, spread: list[str], salts: int = 1
 ) -> DataFrame:
@@ -29,7 +34,7 @@ def lookup_join(
     is still too large. The salt depends on the row alone, so a repeated task repeats it.
     """
     lookup = lookup.withColumnRenamed(lookup.columns[0], "_key")
-    if 0 < estimated_bytes(lookup) <= broadcast_limit(facts):
+    if fits_broadcast(lookup):
         return facts.join(lookup, F.col(key) == F.col("_key"), "left").drop("_key")
     salted_facts = facts.withColumn("_salt", F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int"))
     salted_lookup = lookup.select(

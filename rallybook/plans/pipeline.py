@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from rallybook.operators.joins import fits_broadcast
 from rallybook.operators.levels import DAVIS, GS, MASTERS, level_statistics_from
+from rallybook.operators.names import canonical_names
 from rallybook.operators.rollup import over_levels, tournament_rollup
 from rallybook.operators.sides import sides, with_int_break_points
 from rallybook.plans.gold import player_statistics_from
@@ -20,6 +24,7 @@ from rallybook.schemas import (
     PLAYERS_TABLE,
 )
 from rallybook.sources.landing import land_bronze
+from rallybook.sources.parallel import run_together
 from rallybook.sources.tables import (
     Lake,
     Layer,
@@ -57,8 +62,10 @@ def bronze_to_silver(
     players = read_silver(spark, lake, PLAYERS_TABLE, fmt)
     # A partitioned CSV folder keeps its year in folder names only, so CSV stays in one piece.
     by_year = None if fmt == "csv" else "year"
+    # With the names broadcast, each task still has the rows of its input files, so of few years.
+    mixed = not fits_broadcast(canonical_names(players))
     repaired = silver_matches(matches, players)
-    write_table(repaired, lake, Layer.SILVER, MATCHES_TABLE, fmt, by_year)
+    write_table(repaired, lake, Layer.SILVER, MATCHES_TABLE, fmt, by_year, gather=mixed)
 
 
 def silver_to_gold(
@@ -69,16 +76,26 @@ def silver_to_gold(
     is made from that much smaller one."""
     players = read_silver(spark, lake, PLAYERS_TABLE, silver_fmt)
     matches = with_int_break_points(read_silver(spark, lake, MATCHES_TABLE, silver_fmt))
-    write_table(players, lake, Layer.GOLD, PLAYERS_TABLE, fmt)
-    write_table(matches, lake, Layer.GOLD, MATCHES_TABLE, fmt)
     rollup = tournament_rollup(sides(matches, break_points=True), by_level=True)
-    write_table(rollup, lake, Layer.GOLD, PLAYER_TOURNAMENTS_TABLE, "parquet")
+
+    def save(df: DataFrame, name: str, as_fmt: str = fmt):
+        return partial(write_table, df, lake, Layer.GOLD, name, as_fmt)
+
+    run_together(
+        spark,
+        [
+            save(rollup, PLAYER_TOURNAMENTS_TABLE, "parquet"),
+            save(matches, MATCHES_TABLE),
+            save(players, PLAYERS_TABLE),
+        ],
+    )
     rollup = read_table(spark, lake, Layer.GOLD, PLAYER_TOURNAMENTS_TABLE, "parquet")
     statistics = player_statistics_from(players, over_levels(rollup))
-    write_table(statistics, lake, Layer.GOLD, PLAYER_STATISTICS_TABLE, fmt)
+    tables = [save(statistics, PLAYER_STATISTICS_TABLE)]
     for table, names in LEVEL_TABLES.items():
         at_level = rollup.where(F.col("tourney_level") == names.level)
-        write_table(level_statistics_from(at_level, names), lake, Layer.GOLD, table, fmt)
+        tables.append(save(level_statistics_from(at_level, names), table))
+    run_together(spark, tables)
 
 
 def run_pipeline(

@@ -2,19 +2,15 @@
 
 from __future__ import annotations
 
-from concurrent.futures import ThreadPoolExecutor
+from functools import partial
 from uuid import uuid4
 
-from pyspark import inheritable_thread_target
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rallybook.schemas import MATCHES_SOURCE_PREFIX, PLAYERS_SOURCE
-from rallybook.sources.tables import CSV_OPTIONS, Lake, Layer
-
-# Copies that run at once; each is its own Spark job and most sources are one small file.
-PARALLEL_COPIES = 8
-
+from rallybook.sources.parallel import run_together
+from rallybook.sources.tables import CSV_OPTIONS, Lake, Layer, read_csv
 
 def source_manifest(
     spark: SparkSession, base: str, first_year: int, last_year: int, inclusive: bool = True
@@ -54,8 +50,7 @@ def land_source(spark: SparkSession, lake: Lake, name: str, path: str) -> None:
     renamed, so a job that dies half-way leaves nothing that looks landed."""
     final = f"{lake.folder(Layer.BRONZE)}/{name}"
     hidden = f"{lake.folder(Layer.BRONZE)}/.landing-{uuid4().hex}-{name}"
-    rows = spark.read.options(**CSV_OPTIONS).csv(path)
-    rows.write.options(**CSV_OPTIONS).csv(hidden)
+    read_csv(spark, path).write.options(**CSV_OPTIONS).csv(hidden)
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path
     files = hadoop_path(hidden).getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
     if not files.rename(hadoop_path(hidden), hadoop_path(final)):
@@ -68,7 +63,5 @@ def land_bronze(spark: SparkSession, manifest: DataFrame, lake: Lake) -> list[st
     Only names and paths come to the driver; the rows are copied by Spark jobs.
     """
     todo = missing_sources(manifest, landed_sources(spark, lake)).collect()
-    copy = inheritable_thread_target(spark)(lambda row: land_source(spark, lake, row.name, row.path))
-    with ThreadPoolExecutor(PARALLEL_COPIES) as pool:
-        list(pool.map(copy, todo))
+    run_together(spark, [partial(land_source, spark, lake, row.name, row.path) for row in todo])
     return sorted(row.name for row in todo)

@@ -106,11 +106,19 @@ def write_table(
     name: str,
     fmt: str = "parquet",
     partition_by: str | None = None,
+    gather: bool = False,
 ) -> None:
-    """Replace the table. A partitioned one is first gathered by its column, where adaptive
-    execution splits a partition that is too large, so a hot value is no single task."""
+    """Replace the table, in folders by one column if asked.
+
+    `gather` is for rows that a shuffle has mixed, of which every task would write a file per
+    folder: it brings the rows of a folder together. Adaptive execution splits what is too large
+    for a task, so a folder with most of the rows is no bottleneck; without it nothing is gathered.
+    """
     path = lake.path(layer, name, fmt)
-    writer = (df.hint("rebalance", partition_by) if partition_by else df).write.mode("overwrite")
+    adaptive = df.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true"
+    if partition_by and gather and adaptive:
+        df = df.hint("rebalance", partition_by)
+    writer = df.write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(partition_by)
     if fmt == "csv":
