@@ -21,24 +21,26 @@ def fits_broadcast(df: DataFrame) -> bool:
 
 
 def lookup_join(
-    facts: DataFrame, lookup: DataFrame, key: str, spread: list[str], salts: int = 1
+    facts: DataFrame, lookup: DataFrame, keys: list[str], spread: list[str], salts: int = 1
 ) -> DataFrame:
-    """`facts` left join `lookup` on `facts[key]`; the first column of `lookup` is its key,
-    unique and absent from the result.
+    """`facts` left join `lookup` on the fact columns `keys`. The first columns of `lookup` are
+    the matching keys, together unique, and are absent from the result.
 
     A lookup below Spark's broadcast limit is left to Spark, which broadcasts it. Otherwise
-    a salt taken from the `spread` columns becomes a second join key, and each lookup row is
-    repeated once per salt: rows of a hot or NULL key go to `salts` partitions. The second key
+    a salt taken from the `spread` columns becomes one more join key, and each lookup row is
+    repeated once per salt: rows of a hot or NULL key go to `salts` partitions. That key
     also puts an exchange directly under the join on both sides, without which (the lookup
     is usually fresh from a group-by on its key) adaptive execution could not split what
     is still too large. The salt depends on the row alone, so a repeated task repeats it.
     """
-    lookup = lookup.withColumnRenamed(lookup.columns[0], "_key")
+    renamed = [f"_key_{i}" for i in range(len(keys))]
+    lookup = lookup.withColumnsRenamed(dict(zip(lookup.columns, renamed)))
+    matched = [F.col(key) == F.col(other) for key, other in zip(keys, renamed)]
     if fits_broadcast(lookup):
-        return facts.join(lookup, F.col(key) == F.col("_key"), "left").drop("_key")
-    salted_facts = facts.withColumn("_salt", F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int"))
-    salted_lookup = lookup.select(
+        return facts.join(lookup, matched, "left").drop(*renamed)
+    facts = facts.withColumn("_salt", F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int"))
+    lookup = lookup.select(
         "*", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_lookup_salt")
     )
-    matched = (F.col(key) == F.col("_key")) & (F.col("_salt") == F.col("_lookup_salt"))
-    return salted_facts.join(salted_lookup, matched, "left").drop("_salt", "_key", "_lookup_salt")
+    matched.append(F.col("_salt") == F.col("_lookup_salt"))
+    return facts.join(lookup, matched, "left").drop("_salt", "_lookup_salt", *renamed)

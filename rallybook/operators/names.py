@@ -19,18 +19,45 @@ def canonical_names(players: DataFrame) -> DataFrame:
     return known.groupBy("player_id").agg(F.min("full_name").alias("full_name"))
 
 
+def other_columns(side: str) -> list[str]:
+    """Columns that tell the matches of one player apart."""
+    return ["loser_id" if side == "winner" else "winner_id", "tourney_id", "round"]
+
+
 def repair_names(matches: DataFrame, players: DataFrame) -> DataFrame:
     """Winner and loser names spelled as in the players table; unknown names stay unknown."""
     names = canonical_names(players)
     for side in ("winner", "loser"):
         lookup = names.select("player_id", F.col("full_name").alias("_canonical"))
-        spread = [c for c in ("winner_id", "loser_id", "tourney_id", "round") if c != f"{side}_id"]
-        matches = lookup_join(matches, lookup, f"{side}_id", spread, salts=NAME_SALTS)
+        matches = lookup_join(
+            matches, lookup, [f"{side}_id"], other_columns(side), salts=NAME_SALTS
+        )
         fixed = prefer_canonical(F.col(f"{side}_name"), F.col("_canonical"))
         matches = matches.withColumn(f"{side}_name", fixed).drop("_canonical")
     return matches
 
 
+def name_corrections(matches: DataFrame, players: DataFrame) -> DataFrame:
+    """The (id, name) pairs of the matches that differ from the players table, with the
+    canonical name as `full_name`. Few as a rule, whatever the number of matches and players."""
+    pairs = sides(matches, names=True).select("player_id", "name").distinct()
+    lookup = canonical_names(players)
+    pairs = lookup_join(pairs, lookup, ["player_id"], ["name"], salts=NAME_SALTS)
+    return pairs.where(F.col("name") != F.col("full_name"))
+
+
+def correct_names(matches: DataFrame, corrections: DataFrame) -> DataFrame:
+    """What `repair_names` gives, by way of the corrections. Given a table of them that is small
+    enough to broadcast, the matches are not shuffled, however many players there are."""
+    for side in ("winner", "loser"):
+        lookup = corrections.select("player_id", "name", F.col("full_name").alias("_canonical"))
+        keys = [f"{side}_id", f"{side}_name"]
+        matches = lookup_join(matches, lookup, keys, other_columns(side), salts=NAME_SALTS)
+        fixed = F.coalesce("_canonical", f"{side}_name")
+        matches = matches.withColumn(f"{side}_name", fixed).drop("_canonical")
+    return matches
+
+
 def distinct_names(matches: DataFrame) -> DataFrame:
     """The distinct (id, name) pairs of the winners and, marked by `won`, of the losers."""
     return sides(matches, names=True).select("won", "player_id", "name").distinct()
@@ -68,7 +95,7 @@ def name_candidates(players: DataFrame, matches: DataFrame) -> DataFrame:
         )
         return F.inline_outer(F.array_compact(options))
 
-    rows = lookup_join(players, flags, "player_id", ["full_name"])
+    rows = lookup_join(players, flags, ["player_id"], ["full_name"])
     columns = [F.col(c) for c in players.columns]
     rows = rows.select(*columns, "_l_named", "_l_unnamed", spellings("w", "winner"))
     rows = rows.select(*columns, "winner_id", "winner_name", spellings("l", "loser"))
@@ -85,7 +112,7 @@ def fill_names(players: DataFrame, matches: DataFrame) -> DataFrame:
     # sorting, which should not be done to every match.
     found = distinct_names(matches).groupBy("player_id").agg(F.min("name").alias("_name"))
     rows = players.withColumn("_id", id_column(players, "player_id"))
-    rows = lookup_join(rows, found, "_id", ["name_first", "name_last"])
+    rows = lookup_join(rows, found, ["_id"], ["name_first", "name_last"])
     name, first, last = F.col("_name"), F.col("name_first"), F.col("name_last")
     cut = F.instr(name, " ")
     length = F.length(name)

@@ -232,6 +232,14 @@ ORACLE_SQL: dict[str, str] = {
     "silver_players": with_blocks("select * from players", "p", "players"),
     "silver_matches": with_blocks(SILVER_MATCHES, "p", "players", "m"),
     "distinct_names": with_blocks("select distinct won, player_id, name from s", *SIDES),
+    "name_corrections": with_blocks(
+        "select distinct s.player_id, name, full_name from s join "
+        "(select player_id, min(full_name) as full_name from players group by player_id) c "
+        "on s.player_id = c.player_id where name <> full_name",
+        "p",
+        "players",
+        *SIDES,
+    ),
     "name_candidates": with_blocks(NAME_CANDIDATES, "p", "players", *SIDES),
     "backfill_names": with_blocks(BACKFILL, "p", *SIDES),
     "player_lookup": with_blocks(

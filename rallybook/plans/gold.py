@@ -34,7 +34,8 @@ def player_statistics_from(
     players: DataFrame, rollup: DataFrame, zero_fill: bool = False
 ) -> DataFrame:
     """Every player with the career figures that follow from a rollup by tournament."""
-    rows = lookup_join(players, career_statistics(rollup, zero_fill), "player_id", ["full_name"])
+    figures = career_statistics(rollup, zero_fill)
+    rows = lookup_join(players, figures, ["player_id"], ["full_name"])
     return rows.fillna(0, list(COUNTS)) if zero_fill else rows
 
 

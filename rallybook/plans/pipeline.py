@@ -8,12 +8,18 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rallybook.operators.joins import fits_broadcast
 from rallybook.operators.levels import DAVIS, GS, MASTERS, level_statistics_from
-from rallybook.operators.names import canonical_names
+from rallybook.operators.names import canonical_names, name_corrections
 from rallybook.operators.rollup import over_levels, tournament_rollup
 from rallybook.operators.sides import sides, with_int_break_points
 from rallybook.plans.gold import player_statistics_from
-from rallybook.plans.silver import backfill_names, silver_matches, silver_players
+from rallybook.plans.silver import (
+    backfill_names,
+    silver_matches,
+    silver_matches_by,
+    silver_players,
+)
 from rallybook.schemas import (
+    CORRECTIONS_TABLE,
     DAVIS_STATISTICS_TABLE,
     GS_STATISTICS_TABLE,
     MASTERS_STATISTICS_TABLE,
@@ -53,6 +59,9 @@ def bronze_to_silver(
     """Silver players, and silver matches by year. The players are written first and read
     back, so that the matches join a table and not a plan that parses the CSV again.
 
+    If the players are too many to broadcast, the names that need a correction are collected
+    in a table first. That costs a second scan of the matches and usually saves shuffling them.
+
     `backfill` fills missing player names from the matches before nameless players are left out.
     """
     raw = load_csv(spark, lake, Layer.BRONZE, PLAYERS_SOURCE)
@@ -62,9 +71,15 @@ def bronze_to_silver(
     players = read_silver(spark, lake, PLAYERS_TABLE, fmt)
     # A partitioned CSV folder keeps its year in folder names only, so CSV stays in one piece.
     by_year = None if fmt == "csv" else "year"
-    # With the names broadcast, each task still has the rows of its input files, so of few years.
-    mixed = not fits_broadcast(canonical_names(players))
-    repaired = silver_matches(matches, players)
+    if fits_broadcast(canonical_names(players)):
+        lookup, repaired = canonical_names(players), silver_matches(matches, players)
+    else:
+        corrections = name_corrections(matches, players)
+        write_table(corrections, lake, Layer.SILVER, CORRECTIONS_TABLE)
+        lookup = read_table(spark, lake, Layer.SILVER, CORRECTIONS_TABLE)
+        repaired = silver_matches_by(matches, lookup)
+    # With the lookup broadcast, each task still has the rows of its input files, so few years.
+    mixed = not fits_broadcast(lookup)
     write_table(repaired, lake, Layer.SILVER, MATCHES_TABLE, fmt, by_year, gather=mixed)
 
 

@@ -5,7 +5,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from rallybook.functions.scalars import parse_yyyymmdd
-from rallybook.operators.names import fill_names, repair_names, with_full_name
+from rallybook.operators.names import (
+    correct_names,
+    fill_names,
+    repair_names,
+    with_full_name,
+)
 from rallybook.operators.sides import id_column
 
 
@@ -26,15 +31,21 @@ def silver_players(players: DataFrame) -> DataFrame:
     return with_full_name(typed).dropDuplicates()
 
 
+def with_typed_ids(matches: DataFrame) -> DataFrame:
+    return matches.withColumns({c: id_column(matches, c) for c in ("winner_id", "loser_id")})
+
+
 def silver_matches(matches: DataFrame, players: DataFrame) -> DataFrame:
     """Matches with typed ids and names spelled as in the silver players.
 
     No row is lost or repeated, also when an id is listed under several names.
     """
-    typed = matches.withColumns(
-        {c: id_column(matches, c) for c in ("winner_id", "loser_id")}
-    )
-    return repair_names(typed, players)
+    return repair_names(with_typed_ids(matches), players)
+
+
+def silver_matches_by(matches: DataFrame, corrections: DataFrame) -> DataFrame:
+    """The same from a table of name corrections instead of the players."""
+    return correct_names(with_typed_ids(matches), corrections)
 
 
 def backfill_names(players: DataFrame, matches: DataFrame) -> DataFrame:

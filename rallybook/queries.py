@@ -173,6 +173,7 @@ QUERIES: dict[str, Query] = {
     "silver_players": silver_players,
     "silver_matches": on_both(lambda p, m: silver.silver_matches(m, p)),
     "distinct_names": on_matches(names.distinct_names),
+    "name_corrections": on_both(lambda p, m: names.name_corrections(m, p)),
     "name_candidates": on_both(names.name_candidates),
     "backfill_names": backfill_names,
     "player_lookup": player_lookup,

@@ -17,6 +17,7 @@ MASTERS_STATISTICS_TABLE = "df_masters_statistics"
 DAVIS_STATISTICS_TABLE = "df_davis_statistics"
 PLAYER_STATISTICS_TABLE = "df_player_statistics"
 PLAYER_TOURNAMENTS_TABLE = "df_player_tournaments"
+CORRECTIONS_TABLE = "df_name_corrections"
 
 # Codes found in the data.
 GRAND_SLAM = "G"

@@ -22,11 +22,25 @@ def raw(spark, tmp_path_factory):
     return write_raw(spark, SF_DIR, folder)
 
 
+@pytest.fixture
+def broadcast_limit(spark):
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    yield lambda value: value and spark.conf.set(key, value)
+    spark.conf.set(key, before)
+
+
+# The last limit rules out any broadcast, so names are repaired by way of corrections.
 @pytest.mark.parametrize(
-    "silver_fmt, gold_fmt, backfill",
-    [("parquet", "parquet", False), ("csv", "csv", True)],
+    "silver_fmt, gold_fmt, backfill, limit",
+    [
+        ("parquet", "parquet", False, None),
+        ("csv", "csv", True, None),
+        ("parquet", "parquet", False, "-1"),
+    ],
 )
-def test_pipeline(spark, raw, tmp_path, silver_fmt, gold_fmt, backfill):
+def test_pipeline(spark, raw, tmp_path, broadcast_limit, silver_fmt, gold_fmt, backfill, limit):
+    broadcast_limit(limit)
     lake = Lake(str(tmp_path))
     landed = run_pipeline(spark, raw, lake, silver_fmt, gold_fmt, backfill)
     assert len(landed) == raw.count() == landed_sources(spark, lake).count()

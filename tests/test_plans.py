@@ -2,6 +2,7 @@
 
 import re
 import uuid
+from collections import Counter
 
 import pytest
 from frames import sorted_rows
@@ -11,12 +12,13 @@ from pyspark.sql import functions as F
 from rallybook import fixtures
 from rallybook.operators import levels, metrics
 from rallybook.operators.joins import lookup_join
-from rallybook.operators.names import NAME_SALTS
+from rallybook.operators.names import NAME_SALTS, name_corrections
 from rallybook.operators.rollup import career_statistics, tournament_rollup
 from rallybook.operators.sides import sides
 from rallybook.plans import gold, silver
 from rallybook.queries import QUERIES
 from rallybook.schemas import MATCH_COLUMNS
+from rallybook.sources.tables import Lake, Layer, read_table, write_table
 
 SF_DIR = "/root/testdata/sf0.001"
 
@@ -152,12 +154,43 @@ def test_a_hot_player_is_salted_when_names_are_joined(spark, tmp_path, conf):
     lookup = named.select("player_id", "full_name")
     for salts, fits in ((1, False), (NAME_SALTS, True)):
         spread = ["loser_id", "tourney_id", "round"]
-        joined = lookup_join(matches, lookup, "winner_id", spread, salts)
+        joined = lookup_join(matches, lookup, ["winner_id"], spread, salts)
         sizes = joined.groupBy(F.spark_partition_id()).count().collect()
         assert (max(row["count"] for row in sizes) < 8000) == fits
         assert sum(row["count"] for row in sizes) == 40000
 
 
+def test_corrections_repair_names_without_shuffling_the_matches(spark, tmp_path, conf):
+    matches, named = skewed(spark, tmp_path), all_players(spark)
+    expected = sorted_rows(silver.silver_matches(matches, named))
+    path = f"{tmp_path}/corrections"
+    conf("spark.sql.autoBroadcastJoinThreshold", "1000")
+    name_corrections(matches, named).write.parquet(path)
+    corrections = spark.read.parquet(path)
+    conf("spark.sql.autoBroadcastJoinThreshold", str(10 * 1024 * 1024))
+    found = silver.silver_matches_by(matches, corrections)
+    assert sorted_rows(found) == expected
+    plan = plan_of(found)
+    assert "hashpartitioning" not in plan and plan.count("BroadcastHashJoin") == 2
+    conf("spark.sql.autoBroadcastJoinThreshold", "-1")
+    assert sorted_rows(silver.silver_matches_by(matches, corrections)) == expected
+
+
+def test_a_hot_year_is_split_when_years_are_gathered(spark, tmp_path, conf):
+    rows = spark.range(0, 40000, 1, 16).selectExpr(
+        "id", "uuid() as text", "if(id % 4 < 3, 2000, 2001 + int(id % 3)) as year"
+    )
+    path = f"{tmp_path}/rows"
+    rows.write.parquet(path)
+    lake = Lake(str(tmp_path))
+    conf("spark.sql.adaptive.advisoryPartitionSizeInBytes", "100KB")
+    write_table(spark.read.parquet(path), lake, Layer.SILVER, "t", partition_by="year", gather=True)
+    files = read_table(spark, lake, Layer.SILVER, "t").inputFiles()
+    years = Counter(re.search(r"year=(\d+)", f).group(1) for f in files)
+    assert 1 < years["2000"] < 30 and all(years[y] <= 8 for y in ("2001", "2002", "2003"))
+    assert read_table(spark, lake, Layer.SILVER, "t").distinct().count() == 40000
+
+
 def test_copies_of_a_match_are_split_when_names_are_joined(spark, tmp_path, conf):
     matches, named = skewed(spark, tmp_path, copies=True), all_players(spark)
     expected = sorted_rows(silver.silver_matches(matches, named))

@@ -5,7 +5,12 @@ from frames import by_player, matches, players, sorted_rows
 from pyspark.sql import functions as F
 
 from rallybook.operators import names
-from rallybook.plans.silver import backfill_names, silver_matches, silver_players
+from rallybook.plans.silver import (
+    backfill_names,
+    silver_matches,
+    silver_matches_by,
+    silver_players,
+)
 from rallybook.schemas import PLAYERS_SILVER
 
 
@@ -56,6 +61,14 @@ def test_match_names_and_ids(spark, either_join):
     )
     found = silver_matches(raw, named)
     assert found.columns == raw.columns
+    corrections = names.name_corrections(raw, named)
+    assert sorted_rows(corrections.select("full_name", "name", "player_id")) == [
+        ("Ann Bee", "A. Bee", 1),
+        ("Ann Bee", "Ann-Bee", 1),
+    ]
+    corrected = silver_matches_by(raw, corrections)
+    assert corrected.columns == raw.columns
+    assert sorted_rows(corrected) == sorted_rows(found)
     picked = found.select("winner_id", "winner_name", "loser_id", "loser_name")
     assert sorted(map(tuple, picked.collect()), key=repr) == sorted(
         [
