@@ -109,7 +109,7 @@ def break_points_career(matches: DataFrame) -> DataFrame:
         return percentage(F.sum(F.when(side, saved)), F.sum(F.when(side, faced)))
 
     figures = (
-        sides(matches, break_points=True)
+        sides(matches)
         .groupBy("player_id")
         .agg(
             share(~F.col("won")).alias("carrer_losses_bp_saved_%"),

@@ -40,7 +40,7 @@ def repair_names(matches: DataFrame, players: DataFrame) -> DataFrame:
 def name_corrections(matches: DataFrame, players: DataFrame) -> DataFrame:
     """The (id, name) pairs of the matches that differ from the players table, with the
     canonical name as `full_name`. Few as a rule, whatever the number of matches and players."""
-    pairs = sides(matches, names=True).select("player_id", "name").distinct()
+    pairs = sides(matches).select("player_id", "name").distinct()
     lookup = canonical_names(players)
     pairs = lookup_join(pairs, lookup, ["player_id"], ["name"], salts=NAME_SALTS)
     return pairs.where(F.col("name") != F.col("full_name"))
@@ -60,7 +60,7 @@ def correct_names(matches: DataFrame, corrections: DataFrame) -> DataFrame:
 
 def distinct_names(matches: DataFrame) -> DataFrame:
     """The distinct (id, name) pairs of the winners and, marked by `won`, of the losers."""
-    return sides(matches, names=True).select("won", "player_id", "name").distinct()
+    return sides(matches).select("won", "player_id", "name").distinct()
 
 
 def name_candidates(players: DataFrame, matches: DataFrame) -> DataFrame:
@@ -73,7 +73,7 @@ def name_candidates(players: DataFrame, matches: DataFrame) -> DataFrame:
     """
     named, won = F.col("name").isNotNull(), F.col("won")
     flags = (
-        sides(matches, names=True)
+        sides(matches)
         .groupBy("player_id")
         .agg(
             F.bool_or(won & named).alias("_w_named"),

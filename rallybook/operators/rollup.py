@@ -24,8 +24,8 @@ def tournament_rollup(sides: DataFrame, by_level: bool = False) -> DataFrame:
     """One row per player and tournament, and level if asked for, with its match counts.
 
     The key is finer than the player, so the shuffle spreads a very active player, and with
-    one row per tournament no later step needs a distinct count. Break points are summed if
-    the input has them; sums nobody uses are pruned.
+    one row per tournament no later step needs a distinct count. Sums that a query does not
+    use are pruned.
     """
     won, final = F.col("won"), F.col("round") == FINAL
     sums = [
@@ -34,10 +34,9 @@ def tournament_rollup(sides: DataFrame, by_level: bool = False) -> DataFrame:
         F.count_if(won & final).alias("finals_won"),
         F.count_if(~won & final).alias("finals_lost"),
     ]
-    if "bp_saved" in sides.columns:
-        for side, outcome in (("won", won), ("lost", ~won)):
-            for part in ("saved", "faced"):
-                sums.append(F.sum(F.when(outcome, F.col(f"bp_{part}"))).alias(f"{side}_bp_{part}"))
+    for side, outcome in (("won", won), ("lost", ~won)):
+        for part in ("saved", "faced"):
+            sums.append(F.sum(F.when(outcome, F.col(f"bp_{part}"))).alias(f"{side}_bp_{part}"))
     keys = ["player_id", "tourney_id"] + (["tourney_level"] if by_level else [])
     return sides.groupBy(*keys).agg(*sums)
 

@@ -22,29 +22,29 @@ def with_int_break_points(matches: DataFrame) -> DataFrame:
     return matches.withColumns({c: int_column(matches, c) for c in BREAK_POINT_COLUMNS})
 
 
-def sides(matches: DataFrame, *, break_points: bool = False, names: bool = False) -> DataFrame:
+def sides(matches: DataFrame) -> DataFrame:
     """Each match as a winner row and a loser row, rows without a player id left out.
 
-    It takes the place of a union of two selections, which scans its input twice. Optional
-    fields are asked for by name, because Catalyst cannot prune them out of the generated
-    rows; the other columns are pruned down to the scan.
+    It takes the place of a union of two selections, which scans its input twice. Every row is
+    doubled first and its columns are picked then, so what a query does not use is pruned
+    down to the scan; ids are parsed before, or the filter would parse them once more.
     """
-
-    def side(letter: str, player: str) -> Column:
-        fields = [
-            id_column(matches, f"{player}_id").alias("player_id"),
-            F.lit(player == "winner").alias("won"),
-        ]
-        if break_points:
-            fields.append(int_column(matches, f"{letter}_bpSaved").alias("bp_saved"))
-            fields.append(int_column(matches, f"{letter}_bpFaced").alias("bp_faced"))
-        if names:
-            fields.append(F.col(f"{player}_name").alias("name"))
-        return F.struct(*fields)
-
-    both = F.inline(F.array(side("w", "winner"), side("l", "loser")))
-    rows = matches.select("tourney_id", "tourney_level", "round", both)
-    return rows.where(F.col("player_id").isNotNull())
+    typed = matches.withColumns({c: id_column(matches, c) for c in ("winner_id", "loser_id")})
+    doubled = typed.withColumn("won", F.explode(F.array(F.lit(True), F.lit(False))))
+
+    def pick(of_winner: Column, of_loser: Column) -> Column:
+        return F.when(F.col("won"), of_winner).otherwise(of_loser)
+
+    return doubled.select(
+        pick(F.col("winner_id"), F.col("loser_id")).alias("player_id"),
+        "won",
+        pick(F.col("winner_name"), F.col("loser_name")).alias("name"),
+        "tourney_id",
+        "tourney_level",
+        "round",
+        pick(int_column(matches, "w_bpSaved"), int_column(matches, "l_bpSaved")).alias("bp_saved"),
+        pick(int_column(matches, "w_bpFaced"), int_column(matches, "l_bpFaced")).alias("bp_faced"),
+    ).where(F.col("player_id").isNotNull())
 
 
 def at_level(matches: DataFrame, level: str) -> DataFrame:

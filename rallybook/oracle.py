@@ -248,7 +248,7 @@ ORACLE_SQL: dict[str, str] = {
         "p",
         "players",
     ),
-    "match_sides": with_blocks("select * exclude (name) from s", *SIDES),
+    "match_sides": with_blocks("select * from s", *SIDES),
     "gold_matches": with_blocks(GOLD_MATCHES, "m"),
     "losses": with_blocks("select * from lost", *SIDES, "lost"),
     "wins": with_blocks("select * from beat", *SIDES, "beat"),

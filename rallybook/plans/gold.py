@@ -47,7 +47,7 @@ def player_statistics(
     Players without a match, and by default without a win, loss or final, have NULL there;
     `zero_fill` gives them counts of 0.
     """
-    rollup = tournament_rollup(sides(matches, break_points=True))
+    rollup = tournament_rollup(sides(matches))
     return player_statistics_from(players, rollup, zero_fill)
 
 

@@ -91,7 +91,7 @@ def silver_to_gold(
     is made from that much smaller one."""
     players = read_silver(spark, lake, PLAYERS_TABLE, silver_fmt)
     matches = with_int_break_points(read_silver(spark, lake, MATCHES_TABLE, silver_fmt))
-    rollup = tournament_rollup(sides(matches, break_points=True), by_level=True)
+    rollup = tournament_rollup(sides(matches), by_level=True)
 
     def save(df: DataFrame, name: str, as_fmt: str = fmt):
         return partial(write_table, df, lake, Layer.GOLD, name, as_fmt)

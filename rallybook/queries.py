@@ -178,7 +178,7 @@ QUERIES: dict[str, Query] = {
     "backfill_names": backfill_names,
     "player_lookup": player_lookup,
     # Career figures
-    "match_sides": on_matches(lambda m: sides(m, break_points=True)),
+    "match_sides": on_matches(sides),
     "gold_matches": on_matches(with_int_break_points),
     "losses": on_matches(metrics.losses),
     "wins": on_matches(metrics.wins),
@@ -193,9 +193,7 @@ QUERIES: dict[str, Query] = {
     "finals_rows": on_matches(finals_rows),
     "finals_played": on_matches(metrics.finals_played),
     "finals_won": on_matches(metrics.finals_won),
-    "player_tournaments": on_matches(
-        lambda m: rollup.tournament_rollup(sides(m, break_points=True), by_level=True)
-    ),
+    "player_tournaments": on_matches(lambda m: rollup.tournament_rollup(sides(m), by_level=True)),
     "player_statistics": on_both(gold.player_statistics),
     "player_statistics_zero_filled": on_both(
         lambda p, m: gold.player_statistics(p, m, zero_fill=True)

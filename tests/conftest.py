@@ -15,6 +15,8 @@ def spark():
         .config("spark.sql.shuffle.partitions", "8")
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
+        # Plans are read by tests, so their column lists must not be cut short.
+        .config("spark.sql.maxMetadataStringLength", "10000")
         .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.session.timeZone", "UTC")
         .getOrCreate()

@@ -107,7 +107,7 @@ def test_a_tournament_without_an_id_counts_as_matches_only(spark):
         {"w": "1", "l": "2", "tourney_level": "G"},
     )
     assert by_player(metrics.tournaments_played(some))[1]["tournaments_played"] == 1
-    found = by_player(career_statistics(tournament_rollup(sides(some, break_points=True))))[1]
+    found = by_player(career_statistics(tournament_rollup(sides(some))))[1]
     assert (found["tournaments_played"], found["finals_played"], found["finals_won"]) == (1, 0, 0)
     assert found["matches_won"] == 2
     assert by_player(metrics.finals_played(some))[1]["finals_played"] == 0
@@ -153,7 +153,7 @@ def test_a_rollup_by_level_gives_the_same_figures(spark):
         {"w": "2", "l": "1", "tourney_id": "t2", "tourney_level": "M"},
         {"w": "2", "l": "1", "tourney_id": None, "tourney_level": None, "l_bpFaced": "2", "l_bpSaved": "1"},
     )
-    long = sides(some, break_points=True)
+    long = sides(some)
     coarse, fine = tournament_rollup(long), tournament_rollup(long, by_level=True)
     assert sorted_rows(career_statistics(over_levels(fine))) == sorted_rows(career_statistics(coarse))
     masters = levels.level_statistics_from(fine.where("tourney_level = 'M'"), levels.MASTERS)

@@ -12,12 +12,12 @@ from pyspark.sql import functions as F
 from rallybook import fixtures
 from rallybook.operators import levels, metrics
 from rallybook.operators.joins import lookup_join
-from rallybook.operators.names import NAME_SALTS, name_corrections
+from rallybook.operators.names import NAME_SALTS, distinct_names, name_corrections
 from rallybook.operators.rollup import career_statistics, tournament_rollup
 from rallybook.operators.sides import sides
 from rallybook.plans import gold, silver
 from rallybook.queries import QUERIES
-from rallybook.schemas import MATCH_COLUMNS
+from rallybook.schemas import BREAK_POINT_COLUMNS, MATCH_COLUMNS
 from rallybook.sources.tables import Lake, Layer, read_table, write_table
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -57,7 +57,7 @@ def read_columns(plan):
 
 
 def test_career_figures_are_one_scan_and_two_partial_aggregations(tables):
-    plan = plan_of(career_statistics(tournament_rollup(sides(tables[1], break_points=True))))
+    plan = plan_of(career_statistics(tournament_rollup(sides(tables[1]))))
     assert plan.count("FileScan") == 1
     assert plan.count("Exchange hashpartitioning") == 2
     assert plan.count("HashAggregate") == 4
@@ -79,7 +79,10 @@ def test_level_figures_are_one_scan_with_the_filter_pushed_down(tables):
         (metrics.wins, {"winner_id"}),
         (metrics.win_loss, {"loser_id", "winner_id"}),
         (metrics.break_points_saved_won, {"winner_id", "w_bpSaved", "w_bpFaced"}),
+        (metrics.break_points_career, {"winner_id", "loser_id", *BREAK_POINT_COLUMNS}),
         (metrics.tournaments_played, {"winner_id", "loser_id", "tourney_id"}),
+        (distinct_names, {"winner_id", "loser_id", "winner_name", "loser_name"}),
+        (levels.level_pivot, {"winner_id", "loser_id", "tourney_level"}),
         (metrics.finals_won, {"winner_id", "tourney_id", "round"}),
         (levels.level_won, {"winner_id", "round", "tourney_level"}),
     ],
