@@ -29,7 +29,7 @@ def parse_yyyymmdd(value: Column) -> Column:
 
 def year_from_path(path: Column) -> Column:
     """Year in `..._2003.csv`, for a file or for the folder that Spark writes."""
-    return F.regexp_extract(path, YEAR_IN_FILE_NAME, 1).try_cast("int")
+    return F.nullif(F.regexp_extract(path, YEAR_IN_FILE_NAME, 1), F.lit("")).cast("int")
 
 
 def full_name(first: Column, last: Column) -> Column:
