@@ -1,16 +1,10 @@
-"""The given tables seen as players and matches, and a folder for queries that write.
+"""The given tables seen as players and matches.
 
 The two SELECTs are the same text for Spark and for the oracle: only table names differ.
 """
 
 from __future__ import annotations
 
-import atexit
-import shutil
-import tempfile
-from functools import cache
-from uuid import uuid4
-
 from pyspark.sql import DataFrame, SparkSession
 
 PLAYERS_SQL = """
@@ -61,21 +55,3 @@ def players(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def matches(spark: SparkSession, sf_dir: str) -> DataFrame:
     return adapted(spark, sf_dir, MATCHES_SQL)
-
-
-@cache
-def local_scratch() -> str:
-    folder = tempfile.mkdtemp(prefix="rallybook-")
-    atexit.register(shutil.rmtree, folder, ignore_errors=True)
-    return folder
-
-
-def work_folder(spark: SparkSession) -> str:
-    """A new folder below the shared one that `spark.checkpoint.dir` names. Only a local
-    session without that setting uses a temporary folder of this machine."""
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared is None:
-        if not spark.conf.get("spark.master", "").startswith("local"):
-            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
-        shared = local_scratch()
-    return f"{shared.rstrip('/')}/rallybook-{uuid4().hex}"

@@ -18,6 +18,7 @@ from rallybook.schemas import (
     PLAYERS_TABLE,
 )
 from rallybook.sources.landing import land_bronze, landed_sources, missing_sources
+from rallybook.sources.scratch import work_folder
 from rallybook.sources.tables import (
     CSV_OPTIONS,
     Lake,
@@ -73,7 +74,7 @@ def player_lookup(spark, sf_dir):
 
 
 def csv_roundtrip(spark, sf_dir):
-    lake = Lake(fixtures.work_folder(spark))
+    lake = Lake(work_folder(spark))
     write_table(fixtures.players(spark, sf_dir), lake, Layer.SILVER, PLAYERS_TABLE, "csv")
     return load_csv(spark, lake, Layer.SILVER, PLAYERS_TABLE)
 
@@ -103,7 +104,7 @@ def write_raw(spark, sf_dir, folder: str) -> DataFrame:
 
 def landed_lake(spark, sf_dir) -> tuple[Lake, DataFrame]:
     """A lake whose bronze layer holds all sources, and their manifest."""
-    folder = fixtures.work_folder(spark)
+    folder = work_folder(spark)
     manifest = write_raw(spark, sf_dir, f"{folder}/raw")
     lake = Lake(f"{folder}/lake")
     land_bronze(spark, manifest, lake)
@@ -117,7 +118,7 @@ def yearly_files_load(spark, sf_dir):
 
 def yearly_union_by_name(spark, sf_dir):
     """Three layouts: all columns, columns in another order, and one column missing."""
-    folder = fixtures.work_folder(spark)
+    folder = work_folder(spark)
     matches = fixtures.matches(spark, sf_dir)
     layouts = (
         matches.columns,
@@ -149,7 +150,7 @@ def bronze_landing(spark, sf_dir):
 
 def missing_sources_listed(spark, sf_dir):
     """What is missing after landing the even years of the raw files, players not included."""
-    folder = fixtures.work_folder(spark)
+    folder = work_folder(spark)
     manifest = write_raw(spark, sf_dir, f"{folder}/raw")
     lake = Lake(f"{folder}/lake")
     year = F.regexp_extract("name", r"_(\d{4})\.csv$", 1).try_cast("int")
@@ -159,7 +160,7 @@ def missing_sources_listed(spark, sf_dir):
 
 def gold_table(name: str) -> Query:
     def query(spark, sf_dir):
-        folder = fixtures.work_folder(spark)
+        folder = work_folder(spark)
         manifest = write_raw(spark, sf_dir, f"{folder}/raw")
         lake = Lake(f"{folder}/lake")
         pipeline.run_pipeline(spark, manifest, lake)
