@@ -1,0 +1,61 @@
+import hashlib
+import random
+import re
+
+import pytest
+from pyspark.sql import functions as F
+
+from rallybook.llm.exact_dedup import LENGTH, repeated_passages
+
+
+def brute_force(rows):
+    """doc_id -> (bytes, removed, spans, hash), with no id as the largest."""
+    rows = [(float("inf") if d is None else d, (t or "").encode()) for d, t in rows]
+    first = {}
+    for d, b in rows:
+        for p in range(len(b) - LENGTH + 1):
+            w = b[p : p + LENGTH]
+            first[w] = min(d, first.get(w, d))
+    out = []
+    for d, b in rows:
+        gone = bytearray(len(b))
+        for p in range(len(b) - LENGTH + 1):
+            if first[b[p : p + LENGTH]] < d:
+                gone[p : p + LENGTH] = b"\1" * LENGTH
+        kept = bytes(c for c, g in zip(b, gone) if not g)
+        spans = len(re.findall(b"\1+", bytes(gone)))
+        out.append((d, len(b), sum(gone), spans, hashlib.sha256(kept).hexdigest()))
+    return sorted(out)
+
+
+def found(spark, rows):
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = repeated_passages(docs).select(
+        "doc_id", "n_bytes", "n_removed", F.size("spans"), F.sha2("kept", 256)
+    )
+    return sorted((float("inf") if r[0] is None else r[0], *r[1:]) for r in got.collect())
+
+
+def test_passages_copies_ties_and_odd_texts(spark):
+    rng = random.Random(7)
+    passage = "".join(rng.choice("abcdé \n") for _ in range(400))
+    noise = ["".join(rng.choice("etaoin shrdlu") for _ in range(rng.randint(0, 900))) for _ in range(30)]
+    rows = [(i, t[: len(t) // 2] + passage[i : i + 20 * i] + t[len(t) // 2 :]) for i, t in enumerate(noise)]
+    rows += [(100, "a" * 3000), (101, "a" * 49), (102, "b" + "a" * 60), (103, "ab" * 300), (104, "ba" * 200)]
+    rows += [(105, None), (106, ""), (None, passage), (None, passage), (107, passage), (107, passage)]
+    rows += [(200 + i, noise[3]) for i in range(5)] + [(300, passage * 30)]
+    rng.shuffle(rows)
+    assert found(spark, rows) == brute_force(rows)
+
+
+def test_empty_table_and_clashing_columns(spark):
+    assert found(spark, []) == []
+    docs = spark.createDataFrame([(1, "x" * 60, "s"), (2, "x" * 60, None)], "doc_id long, text string, spans string")
+    got = repeated_passages(docs.withColumn("facts", F.lit(3)))
+    assert sorted(r.n_removed for r in got.collect()) == [0, 60]
+    assert {"facts", "spans", "kept"} <= set(got.columns)
+
+
+def test_length_has_a_lower_bound(spark):
+    with pytest.raises(ValueError):
+        repeated_passages(spark.createDataFrame([], "doc_id long, text string"), 20)
