@@ -83,6 +83,6 @@ class Conf:
 
 def test_work_folder_is_the_shared_one():
     cluster = Conf(**{"spark.master": "spark://host", "spark.checkpoint.dir": "s3://shared/x/"})
-    assert fixtures.work_folder(cluster).startswith("s3://shared/x/rallybook-")
+    assert work_folder(cluster).startswith("s3://shared/x/rallybook-")
     with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
-        fixtures.work_folder(Conf(**{"spark.master": "spark://host"}))
+        work_folder(Conf(**{"spark.master": "spark://host"}))
