@@ -47,14 +47,15 @@ def key_bits(entries: float) -> int:
     return min(60, math.ceil(math.log2(max(entries, 2))) + 10)
 
 
-def sample_keys(texts: Texts, length: int) -> tuple[np.ndarray, np.ndarray]:
-    """Positions of the sample suffixes and the hashes of their first bytes."""
-    depth, n = length - PERIOD + 1, int(texts.start[-1])
-    offset = np.arange(n, dtype=np.int64) - np.repeat(texts.start[:-1], texts.lengths)
-    chosen = np.isin(np.arange(PERIOD), COVER)[offset % PERIOD]
-    chosen &= offset + depth <= np.repeat(texts.lengths, texts.lengths)
-    at = np.flatnonzero(chosen)
-    return at, hash_grams(texts.buf, at, depth)
+def sample_keys(texts: Texts, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Positions of the sample suffixes, the document of each, and the hashes of their first bytes."""
+    usable = np.maximum(texts.lengths - (length - PERIOD), 0)
+    periods = int(usable.max(initial=0)) // PERIOD + 1
+    offsets = (np.arange(periods)[:, None] * PERIOD + np.array(COVER)).ravel()
+    counts = np.searchsorted(offsets, usable)
+    doc = np.repeat(np.arange(len(counts)), counts)
+    at = np.concatenate([offsets[:c] for c in counts.tolist()] or [offsets[:0]]) + texts.start[:-1][doc]
+    return at, doc, hash_grams(texts.buf, at, length - PERIOD + 1)
 
 
 @dataclass
@@ -68,15 +69,19 @@ class Classes:
     high: np.ndarray
 
 
-def classes(keys: np.ndarray, ids: np.ndarray) -> Classes:
+def classes(keys: np.ndarray, ids: np.ndarray | None = None) -> Classes:
+    """Without ids only the keys are told apart."""
     if not len(keys):
         return Classes(keys, *[np.zeros(0, np.int64)] * 3)
     order = np.argsort(keys)
-    ranked, owner = keys[order], ids[order]
+    ranked = keys[order]
     new = np.concatenate([[True], ranked[1:] != ranked[:-1]])
     first = np.flatnonzero(new)
     of = np.empty(len(keys), np.int64)
     of[order] = np.cumsum(new) - 1
+    if ids is None:
+        return Classes(ranked[first], of, first, first)
+    owner = ids[order]
     return Classes(ranked[first], of, np.minimum.reduceat(owner, first), np.maximum.reduceat(owner, first))
 
 
@@ -131,13 +136,6 @@ def narrow(blocks: DataFrame) -> DataFrame:
     return blocks.withColumn("rest", F.transform("rest", lambda r: F.struct(r["doc_id"].alias("doc_id"))))
 
 
-def sample_classes(batch: pa.RecordBatch, row: int, length: int, width: int):
-    texts = texts_of(batch, row)
-    owner = np.repeat(doc_ids(batch, row), texts.lengths)
-    at, keys = sample_keys(texts, length)
-    return texts, at, classes(keys >> U(64 - width), owner[at])
-
-
 def shared_keys(blocks: DataFrame, key_classes: Callable, buckets: int, width: int) -> DataFrame:
     """`block`, `bucket` and `shared`: one bit per distinct key of the block, whether another
     document has it. `key_classes(batch, row)` gives the classes of a block."""
@@ -192,21 +190,28 @@ def candidate_pieces(blocks: DataFrame, total: int, length: int) -> DataFrame:
     slim = narrow(blocks).drop("n_bytes")
 
     def samples(batch, row):
-        return sample_classes(batch, row, length, width)[2]
+        _, doc, keys = sample_keys(texts_of(batch, row), length)
+        return classes(keys >> U(64 - width), doc_ids(batch, row)[doc])
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in range(batch.num_rows):
-                texts, at, found = sample_classes(batch, row, length, width)
                 facts = facts_of(batch, row, "samples")
-                hit = by_bucket(found.keys, facts, "shared", buckets, width)[found.of]
-                n = int(texts.start[-1])
-                near = np.zeros(n + 1, np.int32)
-                near[at[hit] + 1] = 1
-                near = np.cumsum(near, dtype=np.int32)
-                end = np.repeat(texts.start[1:], texts.lengths)
-                place = np.flatnonzero(np.arange(n) + length <= end)
-                place = place[near[place + PERIOD] > near[place]]
+                if facts is None:
+                    continue
+                texts = texts_of(batch, row)
+                at, _, keys = sample_keys(texts, length)
+                found = classes(keys >> U(64 - width))
+                hit = at[by_bucket(found.keys, facts, "shared", buckets, width)[found.of]]
+                # Suffixes within a period before a shared sample, in the same document and long enough.
+                edge = np.zeros(int(texts.start[-1]) + 1, np.int32)
+                edge[hit + 1] = -1
+                low = np.maximum(hit - (PERIOD - 1), texts.start[np.searchsorted(texts.start, hit, side="right") - 1])
+                np.add.at(edge, low, 1)
+                near = np.cumsum(edge, dtype=np.int32) > 0
+                for begin, end in zip(texts.start[:-1].tolist(), texts.start[1:].tolist()):
+                    near[max(end - length + 1, begin) : end] = False
+                place = np.flatnonzero(near)
                 if len(place):
                     yield cut_pieces(batch, row, texts, place, length)
 
@@ -246,30 +251,42 @@ def cut_pieces(batch, row: int, texts: Texts, place: np.ndarray, length: int) ->
 
 @dataclass
 class Suffixes:
-    """The suffixes of a block's leading pieces: where they start, their document, their hashes."""
+    """The suffixes of a block's leading pieces: where they start, their document, their hash."""
 
     at: np.ndarray
     owner: np.ndarray
     tie: np.ndarray
-    tail: np.ndarray
 
 
 def leading_suffixes(batch: pa.RecordBatch, row: int, texts: Texts, length: int) -> Suffixes:
     facts = facts_of(batch, row, "leading")
     if facts is None:
         empty = np.zeros(0, np.int64)
-        return Suffixes(empty, empty, empty.view(U), empty.view(U))
+        return Suffixes(empty, empty, empty.view(U))
     first, count = texts.start[facts["doc"]] + facts["at"], facts["n"].astype(np.int64)
     begins = np.cumsum(count) - count
     at = np.arange(int(count.sum())) + np.repeat(first - begins, count)
-    tie = hash_grams(texts.buf, at, length)
-    # A second hash, of the same bytes read from the other end.
-    loads = words_at(texts.buf)
-    tail = np.zeros(len(at), U)
-    for step in (length - 8, *range((length - 8) % 8, length - 8, 8)):
+    owner = np.repeat(doc_ids(batch, row)[facts["doc"]], count)
+    return Suffixes(at, owner, hash_grams(texts.buf, at, length))
+
+
+def tails(texts: Texts, at: np.ndarray, length: int) -> np.ndarray:
+    """32 bits of a second hash, of the same bytes in another order."""
+    loads, tail = words_at(texts.buf), np.zeros(len(at), U)
+    for step in (length - 8, *range((length - 8) % 8, length - 8, 8), 0):
         tail = (tail ^ loads[at + step]) * MIX_B
         tail ^= tail >> U(29)
-    return Suffixes(at, np.repeat(doc_ids(batch, row)[facts["doc"]], count), tie, tail >> U(32))
+    return tail >> U(32)
+
+
+def pair_order(tie: np.ndarray, tail: np.ndarray) -> np.ndarray:
+    """An order by tie, then tail. Ties with different tails are next to never met, so sorting by one
+    of them does as a rule."""
+    order = np.argsort(tie)
+    a, b = tie[order], tail[order]
+    if ((a[1:] == a[:-1]) & (b[1:] != b[:-1])).any():
+        return np.lexsort((tail, tie))
+    return order
 
 
 def covered_suffixes(blocks: DataFrame, folder: str, length: int) -> tuple[DataFrame, Callable]:
@@ -278,21 +295,23 @@ def covered_suffixes(blocks: DataFrame, folder: str, length: int) -> tuple[DataF
     total = blocks.selectExpr("sum(aggregate(leading, 0L, (s, p) -> s + p.n)) as n").first()[0] or 0
     buckets, width = buckets_for(total), key_bits(total)
 
-    def short_classes(batch, row) -> tuple[Suffixes, Classes]:
-        found = leading_suffixes(batch, row, texts_of(batch, row), length)
-        return found, classes(found.tie >> U(64 - width), found.owner)
+    def short_classes(batch, row) -> tuple[Texts, Suffixes, Classes]:
+        texts = texts_of(batch, row)
+        found = leading_suffixes(batch, row, texts, length)
+        return texts, found, classes(found.tie >> U(64 - width), found.owner)
 
     def shared_classes(batch, row):
         """The suffixes whose short key another document has, by class of their long key."""
-        found, short = short_classes(batch, row)
+        texts, found, short = short_classes(batch, row)
         hit = by_bucket(short.keys, facts_of(batch, row, "partners"), "shared", buckets, width)
         pick = np.flatnonzero(hit[short.of])
-        tie, tail, owner = found.tie[pick], found.tail[pick], found.owner[pick]
-        order = np.lexsort((tail, tie))
-        tie, tail, owner = tie[order], tail[order], owner[order]
+        at, tie, owner = found.at[pick], found.tie[pick], found.owner[pick]
+        tail = tails(texts, at, length)
+        order = pair_order(tie, tail)
+        at, tie, tail, owner = at[order], tie[order], tail[order], owner[order]
         first, of = firsts(tie, tail)
         least = np.minimum.reduceat(owner, first) if len(first) else owner
-        return found.at[pick][order], owner, tie[first], tail[first], least, of
+        return at, owner, tie[first], tail[first], least, of
 
     def send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -321,7 +340,7 @@ def covered_suffixes(blocks: DataFrame, folder: str, length: int) -> tuple[DataF
 
         ties = [from_deltas(x.as_py()) for x in table["tie"]]
         tie, tail, owner = np.concatenate(ties), column("tail", np.uint32), column("owner", np.int64)
-        order = np.lexsort((tail, tie))
+        order = pair_order(tie, tail)
         owner = owner[order]
         first, of = firsts(tie[order], tail[order])
         earlier = np.empty(len(order), bool)
@@ -335,7 +354,7 @@ def covered_suffixes(blocks: DataFrame, folder: str, length: int) -> tuple[DataF
             }
         )
 
-    partners = shared_keys(blocks, lambda batch, row: short_classes(batch, row)[1], buckets, width)
+    partners = shared_keys(blocks, lambda batch, row: short_classes(batch, row)[2], buckets, width)
     paired = with_facts(blocks, stored(partners, f"{folder}/partners"), "partners")
     sent = paired.mapInArrow(send, "bucket int, block long, tie binary, tail binary, owner binary")
     earlier = sent.groupBy("bucket").applyInArrow(sort, "block long, bucket int, earlier binary")
