@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rallybook.llm import exact_dedup
+from rallybook.llm import decontaminate, exact_dedup, mixing, near_dedup, quality_rules
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -26,7 +26,39 @@ def op1_suffix_dedup(spark, sf_dir):
     )
 
 
+def op2_near_dedup(spark, sf_dir):
+    return near_dedup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+def op4_mixing(spark, sf_dir):
+    mix = mixing.mixed(table(spark, sf_dir, "documents"))
+    return mix.select("doc_id", "size", "source_size", "target", "taken")
+
+
+def op7_decontamination(spark, sf_dir):
+    docs, benchmark = table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    return decontaminate.contamination(docs, benchmark).select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
+def op10_quality_rules(spark, sf_dir):
+    rows = quality_rules.judged(table(spark, sf_dir, "documents"))
+    return rows.select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept"
+    )
+
+
 QUERIES: dict[str, Query] = {
     "op1_suffix_dedup": op1_suffix_dedup,
+    "op2_near_dedup": op2_near_dedup,
+    "op4_mixing": op4_mixing,
+    "op7_decontamination": op7_decontamination,
+    "op10_quality_rules": op10_quality_rules,
 }
 ORACLE_SQL: dict[str, str] = {}
