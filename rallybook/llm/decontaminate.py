@@ -89,7 +89,9 @@ def occurrences(docs: DataFrame, benchmark: DataFrame) -> tuple[DataFrame, DataF
     # A text has no more marks than words.
     met = met.distinct().groupBy("key", "m").agg(F.collect_list("mark").alias("marks"))
     met = stored(met, f"{folder}/met")
-    texts = text.join(met.select("key").distinct(), "key", "left_semi").select("key", "text").dropDuplicates(["key"])
+    # Texts that met are too many to broadcast as soon as there are many documents.
+    some = met.select("key").distinct().hint("shuffle_hash")
+    texts = text.join(some, "key", "left_semi").select("key", "text").dropDuplicates(["key"])
     texts = hashed(texts.select("key", words(F.col("text")).alias("words"))).join(met, "key")
     own = F.when(F.col("m") == WINDOW, F.col("prints"))
     for m in short:
