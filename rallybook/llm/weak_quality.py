@@ -62,9 +62,9 @@ def votes(docs: DataFrame) -> DataFrame:
 
 
 def posteriors(patterns: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """The probability of good for each pattern of votes, by expectation-maximisation."""
-    share = (patterns == GOOD).sum(axis=1) - 1.5 * (patterns == BAD).sum(axis=1)
-    good = 1 / (1 + np.exp(-share))
+    """The probability of good for each pattern of votes, by expectation-maximisation. Labellers look for
+    different faults, so to begin with a document is bad if any of them says so."""
+    good = np.where((patterns == BAD).any(axis=1), 0.1, 0.9)
     said = np.stack([patterns == v for v in (BAD, GOOD, NONE)], axis=2).astype(float)
     for _ in range(ROUNDS):
         weight = np.stack([(1 - good) * counts, good * counts])
