@@ -12,8 +12,8 @@ node with the region's smallest. Candidates whose signatures agree in fewer than
 places are dropped (a similarity of 0.75 does so once in 100 million). A few per node
 are confirmed on full shingle sets, and their components found. Only then are other
 pairs of larger regions formed, and only between different components, so a region of copies costs
-nothing more. They are weighed by one bit of each of 2048 min-hashes, which keeps a similarity of
-0.75 but for three in ten million and drops nearly all below 0.65. Where many pairs would be
+nothing more. They are weighed by one bit of each of 4096 min-hashes, which keeps a similarity of
+0.75 but for three in ten million and drops nearly all below 0.67. Where many pairs would be
 left, the region is divided first by a forest of its own over all the signature, which goes four places
 deeper with the same small risk. All pairs that remain are confirmed, none are left out.
 """
@@ -41,8 +41,8 @@ SLOT_NODES = 4096
 BLOCK_NODES = 2048
 PAIRS_PER_NODE = 2048
 LEVELS = 2
-BITS = 2048
-MOST_DIFFERING = 331
+BITS = 4096
+MOST_DIFFERING = 618
 BATCH_BYTES = 8 << 20
 
 FACTORS = np.random.default_rng(20).integers(0, 1 << 32, (2, PLACES), dtype=np.uint64).astype(np.uint32)
@@ -106,19 +106,24 @@ def matrix(column: pa.Array, kind, width: int) -> np.ndarray:
     return np.frombuffer(b"".join(column.to_pylist()), kind).reshape(len(column), width)
 
 
+def region_keys(places: np.ndarray) -> np.ndarray:
+    """The key of every node in every tree, from its places by tree."""
+    key = np.broadcast_to(mix(np.arange(1, TREES + 1, dtype=U)), places.shape[:2])
+    for i in range(DEPTH):
+        key = mix(key ^ places[:, :, i])
+    return key
+
+
 def forest(nodes: DataFrame) -> DataFrame:
     """A row per node and tree: `key` of its region, and `deep`, the places that follow, for the
     order within the region."""
 
     def plant(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tree = mix(np.arange(1, TREES + 1, dtype=U))
         for batch in batches:
             for at in range(0, batch.num_rows, 4096):
                 part = batch.slice(at, 4096)
                 places = matrix(part.column("signature"), np.uint32, PLACES).astype(U).reshape(-1, TREES, DEPTH)
-                key = np.broadcast_to(tree, places.shape[:2])
-                for i in range(DEPTH):
-                    key = mix(key ^ places[:, :, i])
+                key = region_keys(places)
                 after = np.roll(places, -1, axis=1) >> U(24)
                 deep = (after[..., 0] << U(24)) | (after[..., 1] << U(16)) | (after[..., 2] << U(8)) | after[..., 3]
                 yield pa.record_batch(
@@ -240,8 +245,20 @@ def divided(rows: DataFrame) -> DataFrame:
     return rows.mapInArrow(plant, rows.schema)
 
 
+def all_keys(nodes: DataFrame) -> DataFrame:
+    """`node` and `keys`, those of its regions in all trees."""
+
+    def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            places = matrix(batch.column("signature"), np.uint32, PLACES).astype(U).reshape(-1, TREES, DEPTH)
+            keys = [k.tobytes() for k in region_keys(places)]
+            yield pa.record_batch({"node": batch.column("node"), "keys": pa.array(keys, pa.binary())})
+
+    return nodes.select("node", "signature").mapInArrow(gather, "node long, keys binary")
+
+
 def bit_sketches(sets: DataFrame) -> DataFrame:
-    """`node` and `bits`, one bit of each of 2048 min-hashes."""
+    """`node` and `bits`, one bit of each of 4096 min-hashes."""
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         rng = np.random.default_rng(21)
@@ -270,10 +287,11 @@ def compared(rows: DataFrame) -> DataFrame:
     blocks = F.ceil(F.col("size") / BLOCK_NODES).cast("int")
     rows = rows.withColumn("home", F.pmod(F.xxhash64("node"), blocks).cast("int"))
     to = F.when(F.col("label") == F.col("top"), F.array("home")).otherwise(F.sequence(F.lit(0), blocks - 1))
-    dealt = rows.select("key", "node", "n", "bits", "label", "top", "home", F.explode(to).alias("block"))
+    dealt = rows.select("key", "node", "n", "bits", "keys", "label", "top", "home", F.explode(to).alias("block"))
 
     def compare(table: pa.Table) -> pa.Table:
         node, n, label = (table[c].to_numpy() for c in ("node", "n", "label"))
+        keys, region = matrix(table["keys"].combine_chunks(), np.int64, TREES), table["key"][0].as_py()
         bits = matrix(table["bits"].combine_chunks(), U, BITS // 64)
         minor = np.flatnonzero(label != table["top"].to_numpy())
         here = np.flatnonzero(table["home"].to_numpy() == table["block"].to_numpy())
@@ -287,14 +305,21 @@ def compared(rows: DataFrame) -> DataFrame:
             low, high = np.minimum(n[x][:, None], n[here]), np.maximum(n[x][:, None], n[here])
             fit = (differing <= MOST_DIFFERING) & (label[x][:, None] != label[here]) & (100 * low >= PERCENT * high)
             i, j = np.nonzero(fit)
-            found.append(np.stack([node[x[i]], node[here[j]]]))
+            x, y = x[i], here[j]
+            same = keys[x] == keys[y]
+            first = keys[x, same.argmax(axis=1)]
+            # Within a divided region no key is the region's own.
+            told = (first == region) | ~same.any(axis=1) | ~(keys[x] == region).any(axis=1)
+            found.append(np.stack([node[x[told]], node[y[told]]]))
         a, b = np.concatenate(found, axis=1) if found else np.zeros((2, 0), np.int64)
         return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
 
     return dealt.groupBy("key", "block").applyInArrow(compare, "a long, b long").distinct()
 
 
-def between_components(regions: DataFrame, labels: DataFrame, sets: DataFrame, folder: str) -> DataFrame:
+def between_components(
+    regions: DataFrame, nodes: DataFrame, labels: DataFrame, sets: DataFrame, folder: str
+) -> DataFrame:
     """Candidate pairs of larger regions whose nodes are in different components so far."""
     rows = regions.where(F.col("size") > SMALL_REGION).select("key", "node", "n", "sketch")
     rows = rows.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
@@ -309,7 +334,8 @@ def between_components(regions: DataFrame, labels: DataFrame, sets: DataFrame, f
         rows = stored(rows.join(across.where("across > 0"), "key"), f"{folder}/rows-{uuid4().hex}")
         if level == 0:
             fine = bit_sketches(sets.join(rows.select("node").distinct(), "node", "left_semi"))
-            rows = stored(rows.join(fine.dropDuplicates(["node"]), "node"), f"{folder}/fine")
+            rows = rows.join(fine.dropDuplicates(["node"]), "node").join(all_keys(nodes), "node")
+            rows = stored(rows, f"{folder}/fine")
         few = F.lit(True) if level == LEVELS else F.col("across") <= PAIRS_PER_NODE * F.col("size")
         pairs.append(stored(compared(rows.where(few)), f"{folder}/across-{uuid4().hex}"))
         rows = rows.where(~few).drop("size", "across", "top")
@@ -356,7 +382,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     def label(side: str) -> DataFrame:
         return labels.select(F.col("node").alias(side), F.col("label").alias(f"label_{side}"))
 
-    rest = candidates.select("a", "b").union(between_components(regions, labels, sets, folder)).distinct()
+    rest = candidates.select("a", "b").union(between_components(regions, nodes, labels, sets, folder)).distinct()
     rest = rest.join(label("a"), "a", "left").join(label("b"), "b", "left")
     rest = rest.where("coalesce(label_a, a) != coalesce(label_b, b)").join(picked, ["a", "b"], "left_anti")
     more = confirmed(rest, sets).join(label("a"), "a", "left").join(label("b"), "b", "left")
@@ -400,7 +426,9 @@ def with_sketch(rows: DataFrame, nodes: DataFrame) -> DataFrame:
 
 def sets_of(docs: DataFrame, wanted: DataFrame) -> DataFrame:
     """`node` and its full set, for the nodes wanted."""
-    chosen = docs.join(wanted.withColumnRenamed("node", "doc_id"), "doc_id", "left_semi")
+    # With many documents those wanted are too many to broadcast.
+    wanted = wanted.withColumnRenamed("node", "doc_id").hint("shuffle_hash")
+    chosen = docs.join(wanted, "doc_id", "left_semi")
 
     def build(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", BATCH_BYTES):
