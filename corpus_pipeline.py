@@ -1,13 +1,74 @@
-"""The corpus pipeline: stages from raw documents to a weighted mix."""
+"""The corpus pipeline: from raw documents to a weighted mix.
+
+Each stage takes (spark, docs, sf_dir) and works on all rows of `docs`, the documents that its
+predecessor kept. All but the last return the columns of documents.
+"""
 
 from __future__ import annotations
 
+from pyspark.sql import DataFrame, functions as F
+
+from rallybook.llm import decontaminate, exact_dedup, mixing, near_dedup, toxicity
+from rallybook.sources.scratch import stored, work_folder
+
+
+def drop_toxic(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the toxicity model scores below its threshold. It learns from the labelled
+    documents among them that are not held out; without any, all stay."""
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").where(~toxicity.held_out())
+    model = toxicity.trained(docs, labels)
+    return toxicity.scored(docs, model).where(F.col("score") < toxicity.THRESHOLD).drop("score")
+
+
+def drop_near_duplicates(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each component of near-duplicates, the one with the smallest doc_id. Documents
+    without an id, and those that are linked with nothing, stay."""
+    groups = stored(near_dedup.near_duplicates(docs), f"{work_folder(spark)}/groups")
+    gone = groups.where("not kept").select("doc_id").distinct()
+    return docs.join(gone.hint("shuffle_hash"), "doc_id", "left_anti").select(*docs.columns)
+
+
+def cut_repeats(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without the passages that smaller documents have; whole characters are cut. Documents
+    of which nothing is left stay as empty texts, and a null text becomes empty."""
+    cut = exact_dedup.repeated_passages(docs, whole_characters=True)
+    text = F.col("kept").cast("string")
+    cut = cut.withColumn("text", text)
+    if "n_chars" in docs.columns:
+        cut = cut.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return cut.select(*docs.columns)
+
+
+def drop_contaminated(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a passage of the benchmark."""
+    benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    _, hits = decontaminate.occurrences(docs, benchmark)
+    # By the text and not by its id, so documents without an id are judged too.
+    keyed = docs.withColumn("_key", F.md5("text"))
+    gone = hits.select(F.col("key").alias("_key")).distinct().hint("shuffle_hash")
+    return keyed.join(gone, "_key", "left_anti").select(*docs.columns)
+
+
+def mix(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """How many words of each document the mix takes."""
+    return mixing.mixed(docs).select("doc_id", "source", "size", "source_size", "target", "taken")
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("near_dedup", drop_near_duplicates),
+    ("suffix_dedup", cut_repeats),
+    ("decontamination", drop_contaminated),
+    ("mixing", mix),
+]
+# The first stage is a trained model, which SQL does not express.
 ORACLE_SQL = None
-STAGES: list = []
 
 
-def run(spark, sf_dir):
+def run(spark, sf_dir: str) -> DataFrame:
+    """All stages on the documents; what one returns is written and read again for the next."""
+    folder = work_folder(spark)
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
-    return docs
+    for name, stage in STAGES[:-1]:
+        docs = stored(stage(spark, docs, sf_dir), f"{folder}/{name}")
+    return STAGES[-1][1](spark, docs, sf_dir)

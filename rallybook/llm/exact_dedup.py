@@ -375,7 +375,7 @@ def firsts(tie: np.ndarray, tail: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.flatnonzero(new), np.cumsum(new) - 1
 
 
-def repeated_passages(docs: DataFrame, length: int = LENGTH) -> DataFrame:
+def repeated_passages(docs: DataFrame, length: int = LENGTH, whole_characters: bool = False) -> DataFrame:
     """The documents without what smaller documents already say.
 
     Every byte is removed that is covered by `length` bytes which also start in a document with a
@@ -384,7 +384,8 @@ def repeated_passages(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     `spans`, the maximal removed runs as (start, length) in bytes.
 
     Null text: empty, nothing removed. Null doc_id: counts as larger than every id, so its text
-    gives way to all others and takes nothing from them. Rows with the same doc_id are
+    gives way to all others and takes nothing from them. `whole_characters` spares the bytes of
+    characters that a cut would split, so that `kept` is valid UTF-8 if the text is. Rows with the same doc_id are
     one document: they take nothing from each other. Texts shorter than `length` stay whole. An
     empty table gives an empty result. Input columns named like result columns are replaced.
     """
@@ -406,14 +407,16 @@ def repeated_passages(docs: DataFrame, length: int = LENGTH) -> DataFrame:
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in range(batch.num_rows):
-                yield cut_block(batch, row, gone_from(batch, row), length)
+                yield cut_block(batch, row, gone_from(batch, row), length, whole_characters)
 
     fields = ", ".join(f"`{f.name}`: {f.dataType.simpleString()}" for f in blocks.schema["rest"].dataType.elementType.fields)
     schema = f"rest struct<{fields}>, kept binary, n_bytes long, n_removed long, spans array<struct<start: long, length: long>>"
     return classed.mapInArrow(cut, schema).select("rest.*", "kept", "n_bytes", "n_removed", "spans")
 
 
-def cut_block(batch: pa.RecordBatch, row: int, gone_at: np.ndarray, length: int) -> pa.RecordBatch:
+def cut_block(
+    batch: pa.RecordBatch, row: int, gone_at: np.ndarray, length: int, whole_characters: bool
+) -> pa.RecordBatch:
     """The block's documents without the suffixes' bytes, given those that go, and the copies."""
     texts, copies = texts_of(batch, row), facts_of(batch, row, "copies")
     n = int(texts.start[-1])
@@ -425,6 +428,10 @@ def cut_block(batch: pa.RecordBatch, row: int, gone_at: np.ndarray, length: int)
         np.add.at(edge, first, 1)
         np.subtract.at(edge, first + copies["n"] + length - 1, 1)
     gone = np.cumsum(edge)[:n] > 0
+    if whole_characters and n:
+        begins = np.flatnonzero((texts.buf[:n] & 0xC0) != 0x80)
+        begins = begins if len(begins) and begins[0] == 0 else np.concatenate([[0], begins])
+        gone = np.repeat(np.logical_and.reduceat(gone, begins), np.diff(np.append(begins, n)))
     limit = np.zeros(n + 1, bool)
     limit[texts.start] = True
     begin, finish = gone.copy(), gone.copy()

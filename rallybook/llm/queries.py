@@ -18,6 +18,7 @@ from rallybook.llm import (
     url_filter,
     weak_quality,
 )
+from rallybook.llm.oracle import ORACLE_SQL  # noqa: F401, read with the queries
 from rallybook.sources.scratch import work_folder
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -117,4 +118,3 @@ QUERIES: dict[str, Query] = {
     "op9_weak_quality": op9_weak_quality,
     "op10_quality_rules": op10_quality_rules,
 }
-ORACLE_SQL: dict[str, str] = {}
