@@ -2,7 +2,7 @@
 
 Terms are the distinct lower-cased words of a text and their beginnings of four and five bytes, so
 inflected and compounded forms share something. A term adds its own weight; besides, every pair
-of terms adds the product of their factors, so that an insult beside the mention of a group can weigh
+of terms adds the product of their factors over the root of the number of terms, so that an insult beside the mention of a group can weigh
 more than both alone. Weights follow the FTRL-proximal rule with an L1 penalty, which
 leaves nearly all words at zero, and factors AdaGrad with shrinkage.
 
@@ -64,7 +64,7 @@ def fit(columns: list[np.ndarray], labels: np.ndarray) -> dict[str, np.ndarray]:
     columns = [x[seen[x] >= LEAST_SEEN] for x in columns]
     rng = np.random.default_rng(5)
     z, n = np.zeros(size), np.zeros(size)
-    v = np.where(seen[:, None] >= LEAST_SEEN, rng.normal(0, 0.02, (size, FACTORS)), 0.0)
+    v = np.where(seen[:, None] >= LEAST_SEEN, rng.normal(0, 0.05, (size, FACTORS)), 0.0)
     g2 = np.full(size, 1e-2)
     alpha, beta, l1, l2 = 0.2, 1.0, 4.0, 0.1
     share = labels.mean() if len(labels) else 0.0
@@ -78,7 +78,7 @@ def fit(columns: list[np.ndarray], labels: np.ndarray) -> dict[str, np.ndarray]:
     for _ in range(EPOCHS):
         for row in rng.permutation(len(columns)):
             x, y = columns[row], labels[row]
-            scale = 1 / np.sqrt(max(len(x), 1))
+            scale = max(len(x), 1) ** -0.25
             w, f = weights(x), v[x] * scale
             total = f.sum(axis=0)
             p = sigmoid(bias + w.sum() + 0.5 * (total @ total - (f * f).sum()))
@@ -142,7 +142,7 @@ def score(texts: Texts, model: dict[str, np.ndarray]) -> np.ndarray:
     for f in range(FACTORS):
         v = model["v"][found, f].astype(float)
         pairs += np.bincount(doc, v, len(count)) ** 2 - np.bincount(doc, v * v, len(count))
-    return sigmoid(model["bias"][0] + linear + 0.5 * pairs / width)
+    return sigmoid(model["bias"][0] + linear + 0.5 * pairs / np.sqrt(width))
 
 
 def scored(docs: DataFrame, model: dict[str, np.ndarray] | None) -> DataFrame:
