@@ -36,10 +36,11 @@ select cast(year(o_orderdate) as string) || '-' || cast(o_orderkey % 40 as strin
       else cast(cast(l_quantity as int) % 12 as string) || '.0' end as w_bpFaced,
  cast(cast(floor((l_suppkey % 9) * 0.5) as int) as string) as l_bpSaved,
  cast(l_suppkey % 9 as string) as l_bpFaced
-from (select *, o_custkey as w, (o_custkey + 1 + (l_suppkey * 31 + l_partkey) % (n - 1)) % n as l
-      from (select *, (select count(*) from {customer}) as n
-            from {lineitem} join {orders} on l_orderkey = o_orderkey) j) x
-where w % 25 <> 4 and l % 25 <> 9
+from (select *, case when other % 25 <> 9 then other when other - 1 <> w then other - 1 else other - 2 end as l
+      from (select *, (w + 1 + (l_suppkey * 31 + l_partkey) % (n - 1)) % n as other
+            from (select *, case when o_custkey % 25 = 4 then o_custkey - 1 else o_custkey end as w,
+                   (select count(*) from {customer}) as n
+                  from {lineitem} join {orders} on l_orderkey = o_orderkey) j) k) x
 """
 
 TABLES = ("customer", "nation", "orders", "lineitem")

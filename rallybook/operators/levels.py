@@ -10,7 +10,9 @@ from rallybook.functions.scalars import percentage, zero_to_null
 from rallybook.operators.metrics import distinct_tournaments, won_or_lost
 from rallybook.operators.rollup import tournament_rollup
 from rallybook.operators.sides import at_level, finals, sides
-from rallybook.schemas import DAVIS_CUP, GRAND_SLAM, LEVELS, MASTERS_1000
+from rallybook.schemas import DAVIS_CUP, GRAND_SLAM, MASTERS_1000
+
+MOST_LEVELS = 100
 
 
 @dataclass(frozen=True)
@@ -83,14 +85,6 @@ def with_level_rates(df: DataFrame, names: LevelNames) -> DataFrame:
     )
 
 
-def join_level_statistics(matches: DataFrame, names: LevelNames = GS) -> DataFrame:
-    """The level's figures put together from the four operators above."""
-    figures = level_played(matches, names)
-    for part in (level_won, level_matches_played, level_matches_won):
-        figures = figures.join(part(matches, names), "player_id", "left")
-    return with_level_rates(figures, names)
-
-
 def level_statistics_from(rollup: DataFrame, names: LevelNames = GS) -> DataFrame:
     """The level's figures from a rollup that has the level among its keys or holds it alone."""
     figures = rollup.groupBy("player_id").agg(
@@ -107,26 +101,69 @@ def level_statistics(matches: DataFrame, names: LevelNames = GS) -> DataFrame:
     return level_statistics_from(tournament_rollup(sides(at_level(matches, names.level))), names)
 
 
-def loss_rates(matches: DataFrame) -> DataFrame:
+def loss_rates_from(rollup: DataFrame) -> DataFrame:
     """`loss_%` over all matches, NULL like `win_%` for who never won or lost, and Grand Slam
-    losses."""
-    lost, won = zero_to_null(F.count_if(~F.col("won"))), zero_to_null(F.count_if("won"))
-    gs_lost = F.count_if(~F.col("won") & (F.col("tourney_level") == GRAND_SLAM))
-    return (
-        sides(matches)
-        .groupBy("player_id")
-        .agg(
-            percentage(lost, lost + won).alias("loss_%"),
-            zero_to_null(gs_lost).alias("gs_matches_lost"),
-        )
+    losses, from a rollup by level."""
+    lost, won = zero_to_null(F.sum("lost")), zero_to_null(F.sum("won"))
+    gs_lost = F.sum(F.when(F.col("tourney_level") == GRAND_SLAM, F.col("lost")))
+    return rollup.groupBy("player_id").agg(
+        percentage(lost, lost + won).alias("loss_%"),
+        zero_to_null(gs_lost).alias("gs_matches_lost"),
     )
 
 
-def level_pivot(matches: DataFrame, levels=LEVELS) -> DataFrame:
-    """Matches won and lost at each level as columns, 0 where there are none."""
+def loss_rates(matches: DataFrame) -> DataFrame:
+    """The same in one pass over the matches."""
+    return loss_rates_from(tournament_rollup(sides(matches), by_level=True))
+
+
+def found_levels(rollup: DataFrame) -> list[str | None]:
+    """The levels that occur, in order and NULL last. More than `MOST_LEVELS` are no levels."""
+    rows = rollup.select("tourney_level").distinct().limit(MOST_LEVELS + 1).collect()
+    if len(rows) > MOST_LEVELS:
+        raise ValueError(f"more than {MOST_LEVELS} levels")
+    return sorted((r.tourney_level for r in rows), key=lambda level: (level is None, level))
+
+
+def level_pivot_from(rollup: DataFrame, levels=None) -> DataFrame:
+    """Matches won and lost at each level as columns, 0 where there are none, from a rollup by level.
+
+    Without `levels` every level that occurs has its columns; those of matches without a
+    level are named `none`.
+    """
     counts = []
-    for level in levels:
-        here = F.col("tourney_level") == level
-        counts.append(F.count_if(here & F.col("won")).alias(f"matches_won_{level}"))
-        counts.append(F.count_if(here & ~F.col("won")).alias(f"matches_lost_{level}"))
-    return sides(matches).groupBy("player_id").agg(*counts)
+    for level in found_levels(rollup) if levels is None else levels:
+        here = F.col("tourney_level").eqNullSafe(F.lit(level))
+        for outcome in ("won", "lost"):
+            total = F.coalesce(F.sum(F.when(here, F.col(outcome))), F.lit(0))
+            counts.append(total.alias(f"matches_{outcome}_{'none' if level is None else level}"))
+    return rollup.groupBy("player_id").agg(*counts or [F.count("*").alias("matches")]).drop("matches")
+
+
+def level_pivot(matches: DataFrame, levels=None) -> DataFrame:
+    """The same from the matches. Finding the levels is a scan of its own; give them to save it."""
+    if levels is None:
+        levels = found_levels(matches)
+    return level_pivot_from(tournament_rollup(sides(matches), by_level=True), levels)
+
+
+def level_figures_from(rollup: DataFrame, names: LevelNames = GS) -> list[DataFrame]:
+    """The level's four figures, each a table of its own, from a rollup by level."""
+    here = rollup.where(F.col("tourney_level") == names.level).groupBy("player_id")
+    played = here.agg(F.count("tourney_id").alias(names.played), F.sum(F.col("won") + F.col("lost")).alias("n"))
+    won = here.agg(F.sum("finals_won").alias(names.won))
+    matches_won = here.agg(F.sum("won").alias(names.matches_won))
+    return [
+        played.drop("n"),
+        won.where(F.col(names.won) > 0),
+        played.select("player_id", F.col("n").alias(names.matches_played)),
+        matches_won.where(F.col(names.matches_won) > 0),
+    ]
+
+
+def join_level_figures(rollup: DataFrame, names: LevelNames = GS) -> DataFrame:
+    """The level's statistics put together from the four figures."""
+    figures, *others = level_figures_from(rollup, names)
+    for part in others:
+        figures = figures.join(part, "player_id", "left")
+    return with_level_rates(figures, names)

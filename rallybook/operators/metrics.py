@@ -35,14 +35,7 @@ def with_win_rate(counts: DataFrame) -> DataFrame:
 
 def join_win_loss(lost: DataFrame, won: DataFrame) -> DataFrame:
     """Win and loss counts from two tables, players of either kept."""
-    both = lost.alias("l").join(won.alias("w"), F.col("l.player_id") == F.col("w.player_id"), "full")
-    return with_win_rate(
-        both.select(
-            F.coalesce("l.player_id", "w.player_id").alias("player_id"),
-            "matches_lost",
-            "matches_won",
-        )
-    )
+    return with_win_rate(lost.join(won, "player_id", "full"))
 
 
 def win_loss(matches: DataFrame, zero_fill: bool = False) -> DataFrame:
@@ -94,10 +87,13 @@ def join_break_points(
     `won_key_only` takes the id from the won side alone, so that players who never won get a
     NULL id. It exists only to compare with results that were made that way.
     """
-    both = lost.alias("l").join(won.alias("w"), F.col("l.player_id") == F.col("w.player_id"), "full")
-    key = F.col("w.player_id") if won_key_only else F.coalesce("w.player_id", "l.player_id")
+    if won_key_only:
+        lost = lost.withColumnRenamed("player_id", "loser")
+        both = lost.join(won, F.col("loser") == F.col("player_id"), "full").drop("loser")
+    else:
+        both = lost.join(won, "player_id", "full")
     return with_mean_break_points(
-        both.select(key.alias("player_id"), "carrer_losses_bp_saved_%", "carrer_wins_bp_saved_%")
+        both.select("player_id", "carrer_losses_bp_saved_%", "carrer_wins_bp_saved_%")
     )
 
 

@@ -110,7 +110,8 @@ def fill_names(players: DataFrame, matches: DataFrame) -> DataFrame:
     """
     # Distinct pairs first: they are found by hashing, while the smallest of strings is found by
     # sorting, which should not be done to every match.
-    found = distinct_names(matches).groupBy("player_id").agg(F.min("name").alias("_name"))
+    named = sides(matches).select("player_id", "name").distinct()
+    found = named.groupBy("player_id").agg(F.min("name").alias("_name"))
     rows = players.withColumn("_id", id_column(players, "player_id"))
     rows = lookup_join(rows, found, ["_id"], ["name_first", "name_last"])
     name, first, last = F.col("_name"), F.col("name_first"), F.col("name_last")

@@ -46,6 +46,39 @@ def over_levels(rollup: DataFrame) -> DataFrame:
     return rollup.groupBy("player_id", "tourney_id").agg(*[F.sum(c).alias(c) for c in SUMS])
 
 
+def per_player(rollup: DataFrame, source: str, name: str) -> DataFrame:
+    """Sum of one count per player, players without any left out."""
+    return rollup.groupBy("player_id").agg(F.sum(source).alias(name)).where(F.col(name) > 0)
+
+
+def break_points_from(rollup: DataFrame, outcome: str, name: str) -> DataFrame:
+    """Break points saved in won or in lost matches, for players who have any of these."""
+    saved, faced = F.sum(f"{outcome}_bp_saved"), F.sum(f"{outcome}_bp_faced")
+    return (
+        rollup.where(F.col(outcome) > 0)
+        .groupBy("player_id")
+        .agg(percentage(saved, faced).alias(name))
+    )
+
+
+def career_figures(rollup: DataFrame) -> dict[str, DataFrame]:
+    """Each career figure as a table of its own, from one row per player and tournament."""
+    in_final = rollup.where(F.col("finals_won") + F.col("finals_lost") > 0)
+
+    def tournaments(rows, name):
+        return rows.groupBy("player_id").agg(F.count("tourney_id").alias(name))
+
+    return {
+        "losses": per_player(rollup, "lost", "matches_lost"),
+        "wins": per_player(rollup, "won", "matches_won"),
+        "bp_lost": break_points_from(rollup, "lost", "carrer_losses_bp_saved_%"),
+        "bp_won": break_points_from(rollup, "won", "carrer_wins_bp_saved_%"),
+        "finals_played": tournaments(in_final, "finals_played"),
+        "finals_won": tournaments(rollup.where("finals_won > 0"), "finals_won"),
+        "tournaments_played": tournaments(rollup, "tournaments_played"),
+    }
+
+
 def career_statistics(rollup: DataFrame, zero_fill: bool = False) -> DataFrame:
     """All career figures of a player from one row per player and tournament.
 

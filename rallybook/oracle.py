@@ -258,6 +258,12 @@ ORACLE_SQL: dict[str, str] = {
     "bp_saved_won": with_blocks("select * from bp_won", *SIDES, "bp_won"),
     "bp_saved_lost": with_blocks("select * from bp_lost", *SIDES, "bp_lost"),
     "bp_saved_career": with_blocks("select * from bp_career", *SIDES, *BREAK_POINTS),
+    "bp_saved_career_won_key": with_blocks(
+        """select bp_won.player_id, bp_career.* exclude (player_id)
+        from bp_career left join bp_won on bp_career.player_id = bp_won.player_id""",
+        *SIDES,
+        *BREAK_POINTS,
+    ),
     "bp_saved_career_joined": with_blocks("select * from bp_career", *SIDES, *BREAK_POINTS),
     "tournaments_played": with_blocks("select * from entered", *SIDES, "entered"),
     "finals_rows": with_blocks(
@@ -294,12 +300,28 @@ ORACLE_SQL: dict[str, str] = {
     "masters_statistics": with_blocks(level_sql("M", "masters_1000", "masters_1000"), *SIDES),
     "davis_statistics": with_blocks(level_sql("D", "davis_cup", "davis"), *SIDES),
     "loss_rates": with_blocks(LOSS_RATES, *SIDES),
-    "level_pivot": with_blocks(pivot_sql("GMDF"), *SIDES),
+    "level_pivot": with_blocks(pivot_sql("ADFGM"), *SIDES),
     "csv_roundtrip": with_blocks("select * from p", "p"),
-    "yearly_files_load": with_blocks(f"select {RAW_COLUMNS} from m", "m"),
+    "yearly_files_load": with_blocks(
+        f"select {RAW_COLUMNS}, 'atp_matches_' || year || '.csv' as path from m", "m"
+    ),
+    "yearly_list_load": with_blocks(f"select {RAW_COLUMNS.replace('year, ', '')} from m", "m"),
+    "all_matches": with_blocks(f"select {RAW_COLUMNS.replace('year, ', '')} from m", "m"),
+    "manifest": with_blocks(
+        """select name, '/raw/' || name as path from (
+          select 'atp_matches_' || unnest(range(min(year), max(year) + 1)) || '.csv' as name from m
+          union all select 'atp_players.csv') n""",
+        "m",
+    ),
+    "bronze_relanding": with_blocks(
+        "select 'atp_matches_' || year || '.csv' as name, count(*) as landed_rows from m group by year", "m"
+    ),
+    "pipeline_level_pivot": with_blocks(pivot_sql("ADFGM"), *SIDES),
     "yearly_union_by_name": with_blocks(UNION_BY_NAME, "m"),
     "bronze_landing": with_blocks(LANDED, "p", "m"),
     "missing_sources": with_blocks(MISSING, "m"),
     "pipeline_gold": GS_SQL,
-    "pipeline_player_statistics": CAREER_SQL,
+    "pipeline_player_statistics": with_blocks(
+        f"select * from ({CAREER}) c left join ({LOSS_RATES}) l using (player_id)", *CAREER_BLOCKS
+    ),
 }

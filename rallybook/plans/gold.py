@@ -5,19 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from rallybook.operators.joins import lookup_join
-from rallybook.operators.metrics import (
-    break_points_saved_lost,
-    break_points_saved_won,
-    finals_played,
-    finals_won,
-    join_break_points,
-    join_win_loss,
-    losses,
-    tournaments_played,
-    wins,
-    with_finals_rates,
+from rallybook.operators.metrics import join_break_points, join_win_loss, with_finals_rates
+from rallybook.operators.rollup import (
+    CAREER_COLUMNS,
+    career_figures,
+    career_statistics,
+    tournament_rollup,
 )
-from rallybook.operators.rollup import CAREER_COLUMNS, career_statistics, tournament_rollup
 from rallybook.operators.sides import sides
 
 COUNTS = (
@@ -51,18 +45,19 @@ def player_statistics(
     return player_statistics_from(players, rollup, zero_fill)
 
 
-def join_player_statistics(players: DataFrame, matches: DataFrame) -> DataFrame:
-    """The same table put together from the operators for single figures."""
-    lost, won = break_points_saved_lost(matches), break_points_saved_won(matches)
+def join_player_statistics(players: DataFrame, rollup: DataFrame) -> DataFrame:
+    """The same table put together from single figures. They are joined on one row per player, so the
+    rollup should be a stored table that all of them read."""
+    part = career_figures(rollup)
     figures = players
-    for part in (
-        join_win_loss(losses(matches), wins(matches)),
-        join_break_points(lost, won),
-        finals_played(matches),
-        finals_won(matches),
-        tournaments_played(matches),
+    for table in (
+        join_win_loss(part["losses"], part["wins"]),
+        join_break_points(part["bp_lost"], part["bp_won"]),
+        part["finals_played"],
+        part["finals_won"],
+        part["tournaments_played"],
     ):
-        figures = figures.join(part, "player_id", "left")
+        figures = lookup_join(figures, table, ["player_id"], ["full_name"])
     return with_finals_rates(figures).select(
         *[F.col(c) for c in players.columns], *[F.col(c) for c in CAREER_COLUMNS]
     )

@@ -6,15 +6,21 @@ from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rallybook.operators.joins import fits_broadcast
-from rallybook.operators.levels import DAVIS, GS, MASTERS, level_statistics_from
-from rallybook.operators.names import canonical_names, name_corrections
+from rallybook.operators.joins import fits_broadcast, lookup_join
+from rallybook.operators.levels import (
+    DAVIS,
+    GS,
+    MASTERS,
+    level_pivot_from,
+    level_statistics_from,
+    loss_rates_from,
+)
+from rallybook.operators.names import name_corrections
 from rallybook.operators.rollup import over_levels, tournament_rollup
 from rallybook.operators.sides import sides, with_int_break_points
 from rallybook.plans.gold import player_statistics_from
 from rallybook.plans.silver import (
     backfill_names,
-    silver_matches,
     silver_matches_by,
     silver_players,
 )
@@ -22,6 +28,7 @@ from rallybook.schemas import (
     CORRECTIONS_TABLE,
     DAVIS_STATISTICS_TABLE,
     GS_STATISTICS_TABLE,
+    LEVEL_PIVOT_TABLE,
     MASTERS_STATISTICS_TABLE,
     MATCHES_TABLE,
     PLAYER_STATISTICS_TABLE,
@@ -29,13 +36,12 @@ from rallybook.schemas import (
     PLAYERS_SOURCE,
     PLAYERS_TABLE,
 )
-from rallybook.sources.landing import land_bronze
+from rallybook.sources.landing import land_bronze, load_matches
 from rallybook.sources.parallel import run_together
 from rallybook.sources.tables import (
     Lake,
     Layer,
     load_csv,
-    load_matches,
     read_table,
     retype,
     write_table,
@@ -59,8 +65,9 @@ def bronze_to_silver(
     """Silver players, and silver matches by year. The players are written first and read
     back, so that the matches join a table and not a plan that parses the CSV again.
 
-    If the players are too many to broadcast, the names that need a correction are collected
-    in a table first. That costs a second scan of the matches and usually saves shuffling them.
+    The (id, name) pairs that need a correction are collected in a table first. They are few as a
+    rule, so Spark broadcasts the table by its size and the matches are not shuffled, however many
+    players there are.
 
     `backfill` fills missing player names from the matches before nameless players are left out.
     """
@@ -71,13 +78,9 @@ def bronze_to_silver(
     players = read_silver(spark, lake, PLAYERS_TABLE, fmt)
     # A partitioned CSV folder keeps its year in folder names only, so CSV stays in one piece.
     by_year = None if fmt == "csv" else "year"
-    if fits_broadcast(canonical_names(players)):
-        lookup, repaired = canonical_names(players), silver_matches(matches, players)
-    else:
-        corrections = name_corrections(matches, players)
-        write_table(corrections, lake, Layer.SILVER, CORRECTIONS_TABLE)
-        lookup = read_table(spark, lake, Layer.SILVER, CORRECTIONS_TABLE)
-        repaired = silver_matches_by(matches, lookup)
+    write_table(name_corrections(matches, players), lake, Layer.SILVER, CORRECTIONS_TABLE)
+    lookup = read_table(spark, lake, Layer.SILVER, CORRECTIONS_TABLE)
+    repaired = silver_matches_by(matches, lookup)
     # With the lookup broadcast, each task still has the rows of its input files, so few years.
     mixed = not fits_broadcast(lookup)
     write_table(repaired, lake, Layer.SILVER, MATCHES_TABLE, fmt, by_year, gather=mixed)
@@ -93,20 +96,21 @@ def silver_to_gold(
     matches = with_int_break_points(read_silver(spark, lake, MATCHES_TABLE, silver_fmt))
     rollup = tournament_rollup(sides(matches), by_level=True)
 
-    def save(df: DataFrame, name: str, as_fmt: str = fmt):
-        return partial(write_table, df, lake, Layer.GOLD, name, as_fmt)
+    def save(df: DataFrame, name: str, as_fmt: str = fmt, **options):
+        return partial(write_table, df, lake, Layer.GOLD, name, as_fmt, **options)
 
     run_together(
         spark,
         [
             save(rollup, PLAYER_TOURNAMENTS_TABLE, "parquet"),
-            save(matches, MATCHES_TABLE),
+            save(matches, MATCHES_TABLE, partition_by=None if fmt == "csv" else "year"),
             save(players, PLAYERS_TABLE),
         ],
     )
     rollup = read_table(spark, lake, Layer.GOLD, PLAYER_TOURNAMENTS_TABLE, "parquet")
     statistics = player_statistics_from(players, over_levels(rollup))
-    tables = [save(statistics, PLAYER_STATISTICS_TABLE)]
+    statistics = lookup_join(statistics, loss_rates_from(rollup), ["player_id"], ["full_name"])
+    tables = [save(statistics, PLAYER_STATISTICS_TABLE), save(level_pivot_from(rollup), LEVEL_PIVOT_TABLE)]
     for table, names in LEVEL_TABLES.items():
         at_level = rollup.where(F.col("tourney_level") == names.level)
         tables.append(save(level_statistics_from(at_level, names), table))

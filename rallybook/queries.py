@@ -12,19 +12,26 @@ from rallybook.operators.sides import finals_rows, sides, with_int_break_points
 from rallybook.plans import gold, pipeline, silver
 from rallybook.schemas import (
     GS_STATISTICS_TABLE,
+    LEVEL_PIVOT_TABLE,
     MATCHES_SOURCE_PREFIX,
     PLAYER_STATISTICS_TABLE,
     PLAYERS_SOURCE,
     PLAYERS_TABLE,
 )
-from rallybook.sources.landing import land_bronze, landed_sources, missing_sources
-from rallybook.sources.scratch import work_folder
+from rallybook.sources.landing import (
+    concatenate_matches,
+    land_bronze,
+    landed_sources,
+    load_matches,
+    missing_sources,
+    source_manifest,
+)
+from rallybook.sources.scratch import stored, work_folder
 from rallybook.sources.tables import (
     CSV_OPTIONS,
     Lake,
     Layer,
     load_csv,
-    load_matches,
     read_csv_by_name,
     read_table,
     write_table,
@@ -47,13 +54,40 @@ def on_both(operator: Callable[[DataFrame, DataFrame], DataFrame]) -> Query:
     return query
 
 
-def win_loss_joined(matches):
-    return metrics.join_win_loss(metrics.losses(matches), metrics.wins(matches))
+def stored_rollup(spark, sf_dir, by_level: bool = False) -> DataFrame:
+    """The rollup as a table, which all figures of a joined query read."""
+    rows = rollup.tournament_rollup(sides(fixtures.matches(spark, sf_dir)), by_level)
+    return stored(rows, f"{work_folder(spark)}/rollup")
+
+
+def win_loss_joined(spark, sf_dir):
+    part = rollup.career_figures(stored_rollup(spark, sf_dir))
+    return metrics.join_win_loss(part["losses"], part["wins"])
 
 
-def break_points_joined(matches):
-    lost = metrics.break_points_saved_lost(matches)
-    return metrics.join_break_points(lost, metrics.break_points_saved_won(matches))
+def break_points_joined(won_key_only: bool = False) -> Query:
+    def query(spark, sf_dir):
+        part = rollup.career_figures(stored_rollup(spark, sf_dir))
+        return metrics.join_break_points(part["bp_lost"], part["bp_won"], won_key_only)
+
+    return query
+
+
+def player_statistics_joined(spark, sf_dir):
+    return gold.join_player_statistics(stored_players(spark, sf_dir), stored_rollup(spark, sf_dir))
+
+
+def gs_statistics_joined(spark, sf_dir):
+    return levels.join_level_figures(stored_rollup(spark, sf_dir, by_level=True))
+
+
+def stored_players(spark, sf_dir) -> DataFrame:
+    """Silver players as a table, of which the size is known when it is joined."""
+    return stored(silver_players(spark, sf_dir), f"{work_folder(spark)}/players")
+
+
+def silver_matches(spark, sf_dir):
+    return silver.silver_matches(fixtures.matches(spark, sf_dir), stored_players(spark, sf_dir))
 
 
 def silver_players(spark, sf_dir):
@@ -112,8 +146,51 @@ def landed_lake(spark, sf_dir) -> tuple[Lake, DataFrame]:
 
 
 def yearly_files_load(spark, sf_dir):
+    """With `path` as the name of the source it lies in."""
     lake, _ = landed_lake(spark, sf_dir)
-    return load_matches(spark, lake).drop("path")
+    source = F.regexp_extract("path", r"/bronze/([^/]+)", 1)
+    return load_matches(spark, lake).withColumn("path", source)
+
+
+def yearly_list_load(spark, sf_dir):
+    """The folders of all years as a list of paths."""
+    folder = work_folder(spark)
+    manifest = write_raw(spark, sf_dir, f"{folder}/raw")
+    paths = sorted(r.path for r in manifest.where("name like '%matches%'").collect())
+    return load_csv(spark, Lake(folder), paths)
+
+
+def manifest(spark, sf_dir):
+    """The sources of the years of the given orders, both ends included; folder left out."""
+    years = fixtures.matches(spark, sf_dir).agg(F.min("year").alias("a"), F.max("year").alias("b")).first()
+    rows = source_manifest(spark, "/raw", years.a, years.b)
+    return rows.select("name", "path")
+
+
+def all_matches(spark, sf_dir):
+    lake, _ = landed_lake(spark, sf_dir)
+    return concatenate_matches(spark, lake)
+
+
+def counted_per_source(spark, lake) -> DataFrame:
+    source = F.regexp_extract("path", r"/bronze/([^/]+)", 1).alias("name")
+    return load_matches(spark, lake).groupBy(source).agg(F.count("*").alias("landed_rows"))
+
+
+def bronze_relanding(spark, sf_dir):
+    """Even years are landed and one odd year is left unfinished; then all that is missing is landed."""
+    folder = work_folder(spark)
+    sources = write_raw(spark, sf_dir, f"{folder}/raw")
+    lake = Lake(f"{folder}/lake")
+    year = F.regexp_extract("name", r"_(\d{4})\.csv$", 1).try_cast("int")
+    land_bronze(spark, sources.where(year % 2 == 0), lake)
+    odd = sources.where(year % 2 == 1).orderBy("name").first()
+    unfinished = spark.read.text(odd.path).limit(3).write
+    unfinished.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", False).text(
+        f"{lake.folder(Layer.BRONZE)}/{odd.name}"
+    )
+    land_bronze(spark, sources, lake)
+    return counted_per_source(spark, lake)
 
 
 def yearly_union_by_name(spark, sf_dir):
@@ -172,7 +249,7 @@ def gold_table(name: str) -> Query:
 QUERIES: dict[str, Query] = {
     # Silver
     "silver_players": silver_players,
-    "silver_matches": on_both(lambda p, m: silver.silver_matches(m, p)),
+    "silver_matches": silver_matches,
     "distinct_names": on_matches(names.distinct_names),
     "name_corrections": on_both(lambda p, m: names.name_corrections(m, p)),
     "name_candidates": on_both(names.name_candidates),
@@ -184,12 +261,13 @@ QUERIES: dict[str, Query] = {
     "losses": on_matches(metrics.losses),
     "wins": on_matches(metrics.wins),
     "win_loss": on_matches(metrics.win_loss),
-    "win_loss_joined": on_matches(win_loss_joined),
+    "win_loss_joined": win_loss_joined,
     "win_loss_zero_filled": on_matches(lambda m: metrics.win_loss(m, zero_fill=True)),
     "bp_saved_won": on_matches(metrics.break_points_saved_won),
     "bp_saved_lost": on_matches(metrics.break_points_saved_lost),
     "bp_saved_career": on_matches(metrics.break_points_career),
-    "bp_saved_career_joined": on_matches(break_points_joined),
+    "bp_saved_career_joined": break_points_joined(),
+    "bp_saved_career_won_key": break_points_joined(won_key_only=True),
     "tournaments_played": on_matches(metrics.tournaments_played),
     "finals_rows": on_matches(finals_rows),
     "finals_played": on_matches(metrics.finals_played),
@@ -199,14 +277,14 @@ QUERIES: dict[str, Query] = {
     "player_statistics_zero_filled": on_both(
         lambda p, m: gold.player_statistics(p, m, zero_fill=True)
     ),
-    "player_statistics_joined": on_both(gold.join_player_statistics),
+    "player_statistics_joined": player_statistics_joined,
     # Figures by level
     "gs_played": on_matches(levels.level_played),
     "gs_won": on_matches(levels.level_won),
     "gs_matches_played": on_matches(levels.level_matches_played),
     "gs_matches_won": on_matches(levels.level_matches_won),
     "gs_statistics": on_matches(levels.level_statistics),
-    "gs_statistics_joined": on_matches(levels.join_level_statistics),
+    "gs_statistics_joined": gs_statistics_joined,
     "masters_statistics": on_matches(lambda m: levels.level_statistics(m, levels.MASTERS)),
     "davis_statistics": on_matches(lambda m: levels.level_statistics(m, levels.DAVIS)),
     "loss_rates": on_matches(levels.loss_rates),
@@ -214,9 +292,14 @@ QUERIES: dict[str, Query] = {
     # Sources, sinks and the whole run
     "csv_roundtrip": csv_roundtrip,
     "yearly_files_load": yearly_files_load,
+    "yearly_list_load": yearly_list_load,
+    "manifest": manifest,
+    "all_matches": all_matches,
     "yearly_union_by_name": yearly_union_by_name,
     "bronze_landing": bronze_landing,
+    "bronze_relanding": bronze_relanding,
     "missing_sources": missing_sources_listed,
     "pipeline_gold": gold_table(GS_STATISTICS_TABLE),
+    "pipeline_level_pivot": gold_table(LEVEL_PIVOT_TABLE),
     "pipeline_player_statistics": gold_table(PLAYER_STATISTICS_TABLE),
 }

@@ -18,16 +18,14 @@ DAVIS_STATISTICS_TABLE = "df_davis_statistics"
 PLAYER_STATISTICS_TABLE = "df_player_statistics"
 PLAYER_TOURNAMENTS_TABLE = "df_player_tournaments"
 CORRECTIONS_TABLE = "df_name_corrections"
+ALL_MATCHES_TABLE = "df_all_matches"
+LEVEL_PIVOT_TABLE = "df_level_pivot"
 
 # Codes found in the data.
 GRAND_SLAM = "G"
 MASTERS_1000 = "M"
 DAVIS_CUP = "D"
-TOUR_FINALS = "F"
 FINAL = "F"
-SEMI_FINAL = "SF"
-
-LEVELS = (GRAND_SLAM, MASTERS_1000, DAVIS_CUP, TOUR_FINALS)
 
 # Column names of the raw files.
 PLAYER_COLUMNS = ("player_id", "name_first", "name_last", "dob", "ioc", "wikidata_id")

@@ -3,14 +3,22 @@
 from __future__ import annotations
 
 from functools import partial
-from uuid import uuid4
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rallybook.schemas import MATCHES_SOURCE_PREFIX, PLAYERS_SOURCE
+from rallybook.functions.scalars import year_from_path
+from rallybook.schemas import ALL_MATCHES_TABLE, MATCHES_MARK, MATCHES_SOURCE_PREFIX, PLAYERS_SOURCE
 from rallybook.sources.parallel import run_together
-from rallybook.sources.tables import CSV_OPTIONS, Lake, Layer, read_csv
+from rallybook.sources.tables import (
+    CSV_OPTIONS,
+    Lake,
+    Layer,
+    read_csv,
+    read_csv_by_name,
+    read_table,
+    write_table,
+)
+
 
 def source_manifest(
     spark: SparkSession, base: str, first_year: int, last_year: int, inclusive: bool = True
@@ -25,20 +33,25 @@ def source_manifest(
     return names.withColumn("path", F.concat(F.lit(base.rstrip("/") + "/"), "name"))
 
 
-def landed_sources(spark: SparkSession, lake: Lake) -> DataFrame:
-    """`name` of every source in the bronze folder; none if there is no such folder.
+def landed_names(spark: SparkSession, lake: Lake) -> list[str]:
+    """Names of the sources whose landing has ended: folders with a `_SUCCESS` mark, and plain files.
 
-    Only file names are listed, file contents are not read.
+    Only the bronze folder itself and the marks are listed, not the files of the sources.
     """
-    folder = lake.folder(Layer.BRONZE)
-    try:
-        files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], "name string")
-    below = F.substring_index("path", f"/{Layer.BRONZE.value}/", -1)
-    return files.select(F.substring_index(below, "/", 1).alias("name")).distinct()
+    folder = spark._jvm.org.apache.hadoop.fs.Path(lake.folder(Layer.BRONZE))
+    files = folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    if not files.exists(folder):
+        return []
+    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path
+    done = files.globStatus(hadoop_path(folder, "*/_SUCCESS")) or []
+    names = {status.getPath().getParent().getName() for status in done}
+    names |= {s.getPath().getName() for s in files.listStatus(folder) if s.isFile()}
+    return sorted(n for n in names if not n.startswith((".", "_")))
+
+
+def landed_sources(spark: SparkSession, lake: Lake) -> DataFrame:
+    """The same as a DataFrame with the column `name`."""
+    return spark.createDataFrame([(n,) for n in landed_names(spark, lake)], "name string")
 
 
 def missing_sources(manifest: DataFrame, landed: DataFrame) -> DataFrame:
@@ -46,15 +59,11 @@ def missing_sources(manifest: DataFrame, landed: DataFrame) -> DataFrame:
 
 
 def land_source(spark: SparkSession, lake: Lake, name: str, path: str) -> None:
-    """Copy one source, values untouched. The copy is written under a hidden name and then
-    renamed, so a job that dies half-way leaves nothing that looks landed."""
-    final = f"{lake.folder(Layer.BRONZE)}/{name}"
-    hidden = f"{lake.folder(Layer.BRONZE)}/.landing-{uuid4().hex}-{name}"
-    read_csv(spark, path).write.options(**CSV_OPTIONS).csv(hidden)
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path
-    files = hadoop_path(hidden).getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
-    if not files.rename(hadoop_path(hidden), hadoop_path(final)):
-        raise OSError(f"could not move {hidden} to {final}")
+    """Copy one source, values untouched, over whatever an unfinished landing has left. It counts as
+    landed once the job has put its `_SUCCESS` mark into the folder."""
+    target = f"{lake.folder(Layer.BRONZE)}/{name}"
+    copy = read_csv(spark, path).write.mode("overwrite").options(**CSV_OPTIONS)
+    copy.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", True).csv(target)
 
 
 def land_bronze(spark: SparkSession, manifest: DataFrame, lake: Lake) -> list[str]:
@@ -65,3 +74,21 @@ def land_bronze(spark: SparkSession, manifest: DataFrame, lake: Lake) -> list[st
     todo = missing_sources(manifest, landed_sources(spark, lake)).collect()
     run_together(spark, [partial(land_source, spark, lake, row.name, row.path) for row in todo])
     return sorted(row.name for row in todo)
+
+
+def load_matches(spark: SparkSession, lake: Lake) -> DataFrame:
+    """All landed sources with `matches` in their name, plus `path` and the `year` in it."""
+    folder = lake.folder(Layer.BRONZE)
+    paths = [f"{folder}/{n}" for n in landed_names(spark, lake) if MATCHES_MARK in n]
+    if not paths:
+        raise ValueError(f"no matches have landed in {folder}")
+    rows = read_csv(spark, paths, with_path=True)
+    return rows.withColumn("year", year_from_path(F.col("path")))
+
+
+def concatenate_matches(spark: SparkSession, lake: Lake, name: str = ALL_MATCHES_TABLE) -> DataFrame:
+    """The landed matches as one table, columns matched by name, written to silver and read again."""
+    folder = lake.folder(Layer.BRONZE)
+    paths = [f"{folder}/{n}" for n in landed_names(spark, lake) if MATCHES_MARK in n]
+    write_table(read_csv_by_name(spark, paths), lake, Layer.SILVER, name)
+    return read_table(spark, lake, Layer.SILVER, name)

@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+import csv
 from dataclasses import dataclass
 from enum import Enum
 from functools import reduce
+from urllib.parse import unquote, urlparse
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rallybook.functions.scalars import year_from_path
-from rallybook.schemas import MATCHES_MARK, SILVER_TYPES, all_strings
+from rallybook.schemas import SILVER_TYPES, all_strings
 
 # Quotes inside quoted values are doubled, and blanks around values are data.
 CSV_OPTIONS = {
@@ -19,6 +20,7 @@ CSV_OPTIONS = {
     "ignoreTrailingWhiteSpace": False,
 }
 FORMATS = ("csv", "parquet", "delta")
+GATHER_SLOTS = 16
 
 
 class Layer(Enum):
@@ -56,24 +58,44 @@ def read_csv(spark: SparkSession, paths, with_path: bool = False) -> DataFrame:
     first one and the read fails where they differ; `read_csv_by_name` aligns them instead.
     `with_path` adds the file each row came from as `path`.
     """
-    reader = spark.read.options(**CSV_OPTIONS)
     first = paths[0] if isinstance(paths, list) else paths
-    header = reader.csv(first).columns
-    rows = reader.schema(all_strings(header)).option("enforceSchema", False).csv(paths)
+    rows = with_header(spark, paths, spark.read.options(**CSV_OPTIONS).csv(first).columns)
     return rows.select("*", F.col("_metadata.file_path").alias("path")) if with_path else rows
 
 
+def with_header(spark: SparkSession, paths, header) -> DataFrame:
+    """The paths read with a header that is known; it is compared with that of each file."""
+    reader = spark.read.options(**CSV_OPTIONS).option("enforceSchema", False)
+    return reader.schema(all_strings(header)).csv(paths)
+
+
+def headers(spark: SparkSession, paths: list[str]) -> dict[tuple[str, ...], list[str]]:
+    """The paths by their header, all found in one job that reads the first line of every file."""
+    lines = spark.read.text(paths).select("value", "_metadata.file_path", "_metadata.file_block_start")
+    first = F.monotonically_increasing_id()
+    lines = lines.where("file_block_start = 0").withColumn("place", first)
+    heads = lines.groupBy("file_path").agg(F.min(F.struct("place", "value"))["value"].alias("header"))
+    # A path may be a folder of files; those share a header, as Spark's own CSV folders do.
+    known = {unquote(urlparse(r.file_path).path): r.header for r in heads.collect()}
+    groups: dict[tuple[str, ...], list[str]] = {}
+    for path in paths:
+        place = urlparse(path).path.rstrip("/")
+        own = sorted(h for f, h in known.items() if f == place or f.startswith(f"{place}/"))
+        if not own:
+            raise ValueError(f"no header in {path}")
+        if own[0] != own[-1]:
+            raise ValueError(f"files with different headers in {path}")
+        groups.setdefault(tuple(next(csv.reader([own[0]]))), []).append(path)
+    return groups
+
+
 def read_csv_by_name(spark: SparkSession, paths: list[str]) -> DataFrame:
     """Files with different headers as one DataFrame, columns matched by name, gaps NULL.
 
     Files that share a header share one scan, so the plan grows with the number of
     different headers and not with the number of files.
     """
-    groups: dict[tuple[str, ...], list[str]] = {}
-    for path in paths:
-        header = tuple(spark.read.options(**CSV_OPTIONS).csv(path).columns)
-        groups.setdefault(header, []).append(path)
-    parts = [read_csv(spark, group) for group in groups.values()]
+    parts = [with_header(spark, group, header) for header, group in headers(spark, paths).items()]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
@@ -86,12 +108,6 @@ def load_csv(spark: SparkSession, lake: Lake, source, name: str | None = None) -
     raise ValueError(f"expected a layer or a list of paths, got {type(source).__name__}")
 
 
-def load_matches(spark: SparkSession, lake: Lake) -> DataFrame:
-    """All bronze files with `matches` in their name, plus `path` and the `year` in it."""
-    rows = read_csv(spark, f"{lake.folder(Layer.BRONZE)}/*{MATCHES_MARK}*", with_path=True)
-    return rows.withColumn("year", year_from_path(F.col("path")))
-
-
 def read_table(
     spark: SparkSession, lake: Lake, layer: Layer, name: str, fmt: str = "parquet"
 ) -> DataFrame:
@@ -112,12 +128,16 @@ def write_table(
 
     `gather` is for rows that a shuffle has mixed, of which every task would write a file per
     folder: it brings the rows of a folder together. Adaptive execution splits what is too large
-    for a task, so a folder with most of the rows is no bottleneck; without it nothing is gathered.
+    for a task, so a folder with most of the rows is no bottleneck; without it each folder's rows are
+    dealt out to `GATHER_SLOTS` tasks.
     """
     path = lake.path(layer, name, fmt)
     adaptive = df.sparkSession.conf.get("spark.sql.adaptive.enabled") == "true"
     if partition_by and gather and adaptive:
         df = df.hint("rebalance", partition_by)
+    elif partition_by and gather:
+        slot = F.pmod(F.xxhash64(*[c for c in df.columns if c != partition_by]), F.lit(GATHER_SLOTS))
+        df = df.repartition(partition_by, slot)
     writer = df.write.mode("overwrite")
     if partition_by:
         writer = writer.partitionBy(partition_by)

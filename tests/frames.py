@@ -1,10 +1,15 @@
 """Small frames for the tests: matches by keyword, everything else NULL or plain."""
 
+from rallybook.operators import levels
+from rallybook.operators.rollup import tournament_rollup
+from rallybook.operators.sides import sides
+from rallybook.plans.gold import join_player_statistics
 from rallybook.schemas import MATCHES_BRONZE, PLAYERS_BRONZE
 
 PLAIN = {"tourney_id": "t1", "tourney_level": "A", "round": "R32"}
 
 
+
 def matches(spark, *rows):
     """Rows are dicts; `w` and `l` stand for the two ids."""
     full = []
@@ -32,3 +37,11 @@ def by_player(df):
 def sorted_rows(df):
     columns = sorted(df.columns)
     return sorted((tuple(row[c] for c in columns) for row in df.collect()), key=repr)
+
+
+def joined_level(rows, names=levels.GS):
+    return levels.join_level_figures(tournament_rollup(sides(rows), by_level=True), names)
+
+
+def joined_career(named, rows):
+    return join_player_statistics(named, tournament_rollup(sides(rows)))

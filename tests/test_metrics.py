@@ -1,12 +1,12 @@
 """Career and level figures on hand-made matches, one case per rule."""
 
 import pytest
-from frames import by_player, matches, players, sorted_rows
+from frames import by_player, joined_career, joined_level, matches, players, sorted_rows
 
 from rallybook.operators import levels, metrics
 from rallybook.operators.rollup import career_statistics, over_levels, tournament_rollup
 from rallybook.operators.sides import at_level, finals_rows, sides
-from rallybook.plans.gold import join_player_statistics, player_statistics
+from rallybook.plans.gold import player_statistics
 from rallybook.plans.silver import silver_players
 
 
@@ -89,7 +89,7 @@ def test_finals_are_distinct_but_level_titles_are_rows(spark, two_finals):
         "gs_win_%": 200.0, "gs_matches_win_%": 66.67,
     }
     assert found[2]["gs_won"] is None and found[2]["gs_win_%"] is None
-    assert found == by_player(levels.join_level_statistics(two_finals))
+    assert found == by_player(joined_level(two_finals))
     assert sorted_rows(finals_rows(two_finals)) == [(1, "t1"), (2, "t1")]
 
 
@@ -111,7 +111,7 @@ def test_a_tournament_without_an_id_counts_as_matches_only(spark):
     assert (found["tournaments_played"], found["finals_played"], found["finals_won"]) == (1, 0, 0)
     assert found["matches_won"] == 2
     assert by_player(metrics.finals_played(some))[1]["finals_played"] == 0
-    assert by_player(levels.level_statistics(some)) == by_player(levels.join_level_statistics(some))
+    assert by_player(levels.level_statistics(some)) == by_player(joined_level(some))
 
 
 def test_other_levels_and_their_names(spark):
@@ -125,7 +125,7 @@ def test_other_levels_and_their_names(spark):
     assert masters["masters_1000_matches_played"] == 1
     davis = by_player(levels.level_statistics(some, levels.DAVIS))[1]
     assert davis["davis_cup_played"] == 1 and davis["davis_win_%"] is None
-    assert by_player(levels.join_level_statistics(some, levels.MASTERS))[1] == masters
+    assert by_player(joined_level(some, levels.MASTERS))[1] == masters
 
 
 def test_loss_rates_and_pivot(spark):
@@ -142,7 +142,16 @@ def test_loss_rates_and_pivot(spark):
     assert rates[3]["loss_%"] is None
     pivot = by_player(levels.level_pivot(some))
     assert pivot[2]["matches_lost_G"] == 1 and pivot[2]["matches_won_M"] == 1
-    assert set(pivot[3].values()) == {3, 0}
+    assert pivot[1]["matches_lost_A"] == 2 and pivot[3]["matches_won_A"] == 1
+    assert sum(v for row in pivot.values() for k, v in row.items() if k != "player_id") == 2 * some.count()
+
+
+def test_pivot_of_given_levels_and_of_too_many(spark):
+    some = matches(spark, *[{"w": "1", "l": "2", "tourney_level": f"L{i}"} for i in range(101)])
+    assert by_player(levels.level_pivot(some, ["L7"]))[1]["matches_won_L7"] == 1
+    with pytest.raises(ValueError, match="more than"):
+        levels.level_pivot(some)
+    assert levels.level_pivot(some.limit(0)).count() == 0
 
 
 def test_a_rollup_by_level_gives_the_same_figures(spark):
@@ -164,6 +173,6 @@ def test_a_rollup_by_level_gives_the_same_figures(spark):
 def test_fused_and_joined_tables_agree(spark, two_finals):
     named = silver_players(players(spark, ("1", "A", "B"), ("2", "C", "D"), ("9", "E", "F")))
     fused = player_statistics(named, two_finals)
-    joined = join_player_statistics(named, two_finals)
+    joined = joined_career(named, two_finals)
     assert fused.columns == joined.columns
     assert sorted_rows(fused) == sorted_rows(joined)

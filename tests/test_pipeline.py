@@ -11,6 +11,7 @@ from rallybook.plans.pipeline import read_silver, run_pipeline
 from rallybook.plans.silver import backfill_names, silver_matches, silver_players
 from rallybook.queries import write_raw
 from rallybook.sources.landing import landed_sources
+from rallybook.sources.scratch import work_folder
 from rallybook.sources.tables import Lake, Layer, read_table, retype
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -30,6 +31,12 @@ def broadcast_limit(spark):
     spark.conf.set(key, before)
 
 
+def loss_joined(statistics, matches):
+    return statistics.join(levels.loss_rates(matches), "player_id", "left").select(
+        *statistics.columns, "loss_%", "gs_matches_lost"
+    )
+
+
 # The last limit rules out any broadcast, so names are repaired by way of corrections.
 @pytest.mark.parametrize(
     "silver_fmt, gold_fmt, backfill, limit",
@@ -65,9 +72,17 @@ def test_pipeline(spark, raw, tmp_path, broadcast_limit, silver_fmt, gold_fmt, b
     same(gold("df_players"), players)
     same(gold("df_matches"), with_int_break_points(matches))
     same(gold("df_player_statistics"), player_statistics(players, matches))
+    same(gold("df_player_statistics").drop("x"), loss_joined(player_statistics(players, matches), matches))
+    same(gold("df_level_pivot"), levels.level_pivot(matches))
     same(gold("df_gs_statistics"), levels.level_statistics(matches))
     same(gold("df_masters_statistics"), levels.level_statistics(matches, levels.MASTERS))
     same(gold("df_davis_statistics"), levels.level_statistics(matches, levels.DAVIS))
+    # Every run leaves the same tables, whatever Spark may broadcast.
+    assert sorted(p.name.split(".")[0] for p in (tmp_path / "silver").iterdir()) == [
+        "df_matches",
+        "df_name_corrections",
+        "df_players",
+    ]
     assert run_pipeline(spark, raw, lake, silver_fmt, gold_fmt, backfill) == []
     same(gold("df_gs_statistics"), levels.level_statistics(matches))
 

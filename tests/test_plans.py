@@ -82,7 +82,7 @@ def test_level_figures_are_one_scan_with_the_filter_pushed_down(tables):
         (metrics.break_points_career, {"winner_id", "loser_id", *BREAK_POINT_COLUMNS}),
         (metrics.tournaments_played, {"winner_id", "loser_id", "tourney_id"}),
         (distinct_names, {"winner_id", "loser_id", "winner_name", "loser_name"}),
-        (levels.level_pivot, {"winner_id", "loser_id", "tourney_level"}),
+        (levels.level_pivot, {"winner_id", "loser_id", "tourney_id", "tourney_level"}),
         (metrics.finals_won, {"winner_id", "tourney_id", "round"}),
         (levels.level_won, {"winner_id", "round", "tourney_level"}),
     ],
@@ -111,6 +111,28 @@ def test_no_query_has_a_python_worker_or_a_product(spark):
             assert bad not in plan, (name, bad)
 
 
+@pytest.mark.parametrize(
+    "name",
+    [
+        "win_loss_joined",
+        "bp_saved_career_joined",
+        "bp_saved_career_won_key",
+        "player_statistics_joined",
+        "gs_statistics_joined",
+    ],
+)
+def test_joined_figures_read_one_rollup_and_no_matches(spark, name):
+    plan = plan_of(QUERIES[name](spark, SF_DIR))
+    assert "lineitem" not in plan and "/rollup]" in plan
+
+
+def test_names_are_repaired_without_shuffling_the_matches(spark):
+    plan = plan_of(QUERIES["silver_matches"](spark, "/root/testdata/sf0.1"))
+    assert plan.count("SortMergeJoin") <= 1, "only lineitem and orders may be joined by sorting"
+    above = plan.split("lineitem")[0]
+    assert above.count("BroadcastHashJoin") >= 2
+
+
 def skewed(spark, folder, copies=False):
     """Matches of which two fifths are won by one player and one fifth by nobody known;
     the two fifths are exact copies of one row if so asked."""

@@ -3,11 +3,11 @@
 from collections import defaultdict
 from decimal import ROUND_HALF_UP, Decimal
 
-from frames import by_player, matches, players, sorted_rows
+from frames import by_player, joined_career, joined_level, matches, players, sorted_rows
 from hypothesis import HealthCheck, given, settings, strategies as st
 
 from rallybook.operators import levels, metrics
-from rallybook.plans.gold import join_player_statistics, player_statistics
+from rallybook.plans.gold import player_statistics
 from rallybook.plans.silver import silver_players
 
 PLAYERS = range(1, 6)
@@ -99,7 +99,7 @@ def test_player_statistics(spark, generated):
     for player in PLAYERS:
         expected = career(generated, player)
         assert {k: found[player][k] for k in expected} == expected
-    assert sorted_rows(join_player_statistics(named(spark), rows)) == sorted_rows(fused)
+    assert sorted_rows(joined_career(named(spark), rows)) == sorted_rows(fused)
 
 
 @FEW
@@ -123,7 +123,7 @@ def test_level_statistics(spark, generated, names):
             names.matches_win_rate: percent(len(won) or None, len(both)),
         }
     assert by_player(levels.level_statistics(rows, names)) == expected
-    assert by_player(levels.join_level_statistics(rows, names)) == expected
+    assert by_player(joined_level(rows, names)) == expected
 
 
 @FEW

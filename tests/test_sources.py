@@ -5,6 +5,7 @@ from pyspark.errors import PySparkException
 from rallybook.sources.landing import (
     land_bronze,
     landed_sources,
+    load_matches,
     missing_sources,
     source_manifest,
 )
@@ -12,7 +13,6 @@ from rallybook.sources.tables import (
     Lake,
     Layer,
     load_csv,
-    load_matches,
     read_csv,
     read_csv_by_name,
     read_table,
@@ -113,6 +113,7 @@ def test_matches_are_found_by_name_and_dated_by_file(spark, lake, tmp_path):
     text_file(bronze, "atp_matches_2003.csv", "tourney_id", "a")
     text_file(bronze, "atp_players.csv", "player_id", "1")
     text_file(bronze / "atp_matches_2004.csv", "part-0.csv", "tourney_id", "b", "c")
+    text_file(bronze / "atp_matches_2004.csv", "_SUCCESS")
     found = load_matches(spark, lake)
     assert sorted_rows(found.select("tourney_id", "year")) == [("a", 2003), ("b", 2004), ("c", 2004)]
     assert all("_matches_200" in r.path for r in found.collect())
@@ -162,12 +163,23 @@ def test_landing_changes_no_value(spark, lake, raw):
 
 
 def test_an_unfinished_landing_is_not_landed(spark, lake, raw, tmp_path):
+    """Left-overs below a name of their own, and a folder without its mark."""
     manifest = source_manifest(spark, str(raw), 2000, 2001)
-    hidden = tmp_path / "my_lake" / "bronze" / ".landing-1-atp_players.csv"
-    text_file(hidden, "part-0.csv", "player_id,name", "1,A")
-    assert "atp_players.csv" in land_bronze(spark, manifest, lake)
-    assert load_csv(spark, lake, Layer.BRONZE, "atp_players").count() == 3
-    assert load_matches(spark, lake).count() == 3
+    bronze = tmp_path / "my_lake" / "bronze"
+    for stray in (".landing-1-atp_matches_2000.csv", "_temporary_matches"):
+        text_file(bronze / stray, "part-0.csv", "winner_id", "99")
+        text_file(bronze / stray, "_SUCCESS")
+    text_file(bronze / "atp_matches_2001.csv", "part-0.csv", "winner_id")
+    text_file(bronze / "atp_matches_1990.csv", "part-0.csv", "winner_id", "98")
+    assert landed_sources(spark, lake).count() == 0
+    assert set(land_bronze(spark, manifest, lake)) == {r.name for r in manifest.collect()}
+    ids = sorted_rows(load_matches(spark, lake).select("winner_id", "year"))
+    assert ids == [("1", 2000), ("1.0", 2000), ("2", 2001)]
+
+
+def test_nothing_landed_is_an_error(spark, lake):
+    with pytest.raises(ValueError, match="no matches"):
+        load_matches(spark, lake)
 
 
 def test_a_source_that_is_not_there_fails(spark, lake, raw):
