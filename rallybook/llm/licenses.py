@@ -1,14 +1,13 @@
 """Operator 6: license texts in documents, by min-hash bands over overlapping windows.
 
 Templates are known license passages. A passage of m words is looked for in every window of m
-neighbouring words of a document. Both are sets of 2-word shingles; a window shares a band with a
-template if two of its min-hashes agree. With 24 bands a window of similarity s
-retrieves the template with probability 1 - (1 - s^2)^24: 0.9999 at s = 0.56, where a passage of eight words
-has one word changed, and more above. What is retrieved is verified: the share of the template's distinct
-shingles that the window holds, counted exactly, must be 0.75 or more.
-
-Minima over all windows of a length are taken by doubling, a few vector operations per hash
-function whatever the length. Only windows that meet a band of a template are looked at one by one.
+neighbouring words of a document. Both are sets of 2-word shingles. A band is one min-hash: with 12 bands a
+window of similarity s retrieves the template with probability 1 - (1 - s)^12, which is 0.99995 at
+s = 0.56, where a passage of eight words has one word changed, and more above. What is retrieved is verified: the share
+of the template's distinct shingles that the window holds, counted exactly, must be 0.75 or more.
+
+Minima over all windows are taken by doubling and shared by templates of different lengths. Retrieved
+windows are verified many at a time, so common phrases that retrieve a template in vain cost little.
 """
 
 from __future__ import annotations
@@ -36,14 +35,14 @@ TEMPLATES = (
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
     ("none", "All rights reserved."),
 )
-BANDS, ROWS = 24, 2
+BANDS = 12
 PERCENT = 75
 SLOTS = 1 << 16
 BATCH_BYTES = 4 << 20
 
 BREAKS = np.ones(256, bool)
 BREAKS[[*range(48, 58), *range(65, 91), *range(97, 123), *range(128, 256)]] = False
-FACTORS = np.random.default_rng(6).integers(0, 1 << 32, (2, BANDS * ROWS), dtype=np.uint64).astype(np.uint32)
+FACTORS = np.random.default_rng(6).integers(0, 1 << 32, (2, BANDS), dtype=np.uint64).astype(np.uint32)
 FACTORS[0] |= np.uint32(1)
 
 
@@ -55,70 +54,71 @@ def shingles(texts: Texts) -> tuple[np.ndarray, np.ndarray]:
     return mix(h[:-1] * GOLDEN + h[1:]), words.of
 
 
-def band_keys(grams: np.ndarray, width: int, band: int) -> np.ndarray:
-    """For every window of `width` shingles a key of one band."""
-    short = (grams >> U(32)).astype(np.uint32)
-    key = np.full(max(len(grams) - width + 1, 0), band, U)
-    for row in range(band * ROWS, (band + 1) * ROWS):
-        least, reach = short * FACTORS[0, row] + FACTORS[1, row], 1
-        while reach < width:
-            step = min(reach, width - reach)
-            least = np.minimum(least[:-step], least[step:])
-            reach += step
-        key = (key ^ least) * GOLDEN
-        key ^= key >> U(32)
-    return key
+def window_minima(hashed: np.ndarray, widths: list[int]) -> dict[int, np.ndarray]:
+    """The minimum of every window, for each of the widths."""
+    out, reach, least = {}, 1, hashed
+    for width in sorted(widths):
+        while 2 * reach <= width:
+            least = np.minimum(least[:-reach], least[reach:]) if len(least) > reach else least[:0]
+            reach *= 2
+        rest = width - reach
+        out[width] = np.minimum(least[: len(least) - rest], least[rest:]) if len(least) > rest else least[:0]
+    return out
 
 
 class Matcher:
-    """Templates by the width of their windows, with a small table of the slots that their bands fall in."""
+    """Templates by the width of their windows. For each width and band a small table says where the
+    low bits of the templates' min-hashes are."""
 
     def __init__(self, templates):
         self.names = [name for name, _ in templates]
         texts = flat_texts(pa.array([t for _, t in templates]))
         grams, of = shingles(texts)
-        self.sets = [np.unique(grams[a : b - 1]) for a, b in zip(of[:-1].tolist(), of[1:].tolist())]
-        widths = (np.diff(of) - 1).tolist()
-        if min(widths, default=1) < 1:
+        self.widths = (np.diff(of) - 1).tolist()
+        if min(self.widths, default=1) < 1:
             raise ValueError("a template needs two words at least")
-        self.by_width: dict[int, tuple[list[int], list[np.ndarray], list[dict]]] = {}
-        for t, width in enumerate(widths):
-            members, slots, keys = self.by_width.setdefault(
-                width, ([], [np.zeros(SLOTS, bool) for _ in range(BANDS)], [{} for _ in range(BANDS)])
-            )
-            members.append(t)
+        own = [grams[a : a + w] for a, w in zip(of[:-1].tolist(), self.widths)]
+        self.sets = [np.unique(g) for g in own]
+        self.slots = {w: [np.zeros(SLOTS, bool) for _ in range(BANDS)] for w in self.widths}
+        for g, width in zip(own, self.widths):
             for band in range(BANDS):
-                key = band_keys(grams[of[t] : of[t] + width], width, band)[0]
-                slots[band][int(key >> U(48))] = True
-                keys[band].setdefault(int(key), []).append(t)
+                least = self.hashed(g, band).min()
+                self.slots[width][band][int(least) % SLOTS] = True
+
+    @staticmethod
+    def hashed(grams: np.ndarray, band: int) -> np.ndarray:
+        return (grams >> U(32)).astype(np.uint32) * FACTORS[0, band] + FACTORS[1, band]
+
+    def retrieved(self, grams: np.ndarray) -> dict[int, np.ndarray]:
+        """Per width the windows that share a band with a template of that width, or seem to."""
+        found: dict[int, list[np.ndarray]] = {w: [] for w in self.slots}
+        for band in range(BANDS):
+            for width, least in window_minima(self.hashed(grams, band), list(self.slots)).items():
+                found[width].append(np.flatnonzero(self.slots[width][band][least.astype(np.uint16)]))
+        return {w: np.unique(np.concatenate(x)) for w, x in found.items()}
 
     def matches(self, texts: Texts) -> list[tuple[int, int, int, float]]:
         """(text, first word, template, containment) of every window that holds a template; of
         overlapping windows the best and first."""
         grams, of = shingles(texts)
-        found: dict[tuple[int, int], list[tuple[int, float]]] = {}
-        for width, (_, slots, keys) in self.by_width.items():
-            tried = set()
-            for band in range(BANDS):
-                key = band_keys(grams, width, band)
-                for at in np.flatnonzero(slots[band][(key >> U(48)).astype(np.int64)]).tolist():
-                    for t in keys[band].get(int(key[at]), ()):
-                        if (at, t) in tried:
-                            continue
-                        tried.add((at, t))
-                        doc = int(np.searchsorted(of, at, side="right")) - 1
-                        if at + width >= of[doc + 1]:
-                            continue
-                        held = np.isin(self.sets[t], grams[at : at + width]).sum() / len(self.sets[t])
-                        if 100 * held >= PERCENT:
-                            found.setdefault((doc, t), []).append((at - int(of[doc]), float(held)))
         out = []
-        for (doc, t), places in found.items():
-            width, last = len(self.sets[t]), None
-            for at, held in sorted(places, key=lambda p: (-p[1], p[0])):
-                if last is None or all(abs(at - x) > width for x in last):
-                    last = (last or []) + [at]
-                    out.append((doc, at, t, held))
+        for width, at in self.retrieved(grams).items():
+            doc = np.searchsorted(of, at, side="right") - 1
+            inside = at + width < of[doc + 1]
+            at, doc = at[inside], doc[inside]
+            for t in [i for i, w in enumerate(self.widths) if w == width]:
+                # Distinct shingles of the template in each window, from where each of them occurs.
+                held = np.zeros(len(at), np.int32)
+                for shingle in self.sets[t]:
+                    places = np.flatnonzero(grams == shingle) if len(at) else at
+                    held += np.searchsorted(places, at + width) > np.searchsorted(places, at)
+                hit = np.flatnonzero(100 * held >= PERCENT * len(self.sets[t]))
+                taken: dict[int, list[int]] = {}
+                for i in sorted(hit.tolist(), key=lambda i: (-held[i], at[i])):
+                    word, others = int(at[i] - of[doc[i]]), taken.setdefault(int(doc[i]), [])
+                    if all(abs(word - x) > width for x in others):
+                        others.append(word)
+                        out.append((int(doc[i]), word, t, float(held[i] / len(self.sets[t]))))
         return sorted(out)
 
 
