@@ -59,3 +59,16 @@ def test_empty_table_and_clashing_columns(spark):
 def test_length_has_a_lower_bound(spark):
     with pytest.raises(ValueError):
         repeated_passages(spark.createDataFrame([], "doc_id long, text string"), 20)
+
+
+def test_whole_characters_are_cut(spark):
+    rng = random.Random(9)
+    passage = "".join(rng.choice("éß日a") for _ in range(80))
+    rows = [(i, rng.choice("éß日a") * i + passage[i:] + "é" * (i % 3)) for i in range(12)]
+    got = repeated_passages(spark.createDataFrame(rows, "doc_id long, text string"), whole_characters=True)
+    plain = {r.doc_id: r for r in repeated_passages(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    for r in got.collect():
+        text = bytes(r.kept).decode()
+        assert len(bytes(plain[r.doc_id].kept)) <= len(bytes(r.kept)) <= len(bytes(plain[r.doc_id].kept)) + 4 * 2 * max(1, len(r.spans))
+        assert set(text) <= set("éß日a")
+    assert any(r.n_removed for r in plain.values())
