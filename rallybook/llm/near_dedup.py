@@ -14,14 +14,15 @@ are confirmed on full shingle sets, and their components found. Only then are ot
 pairs of larger regions formed, and only between different components, so a region of copies costs
 nothing more. They are weighed by one bit of each of 4096 min-hashes, which keeps a similarity of
 0.75 but for three in ten million and drops nearly all below 0.67. Where many pairs would be
-left, the region is divided first by a forest of its own over all the signature, which goes four places
-deeper with the same small risk. All pairs that remain are confirmed, none are left out.
+left, the region is divided first by the sizes of the sets, as sizes too far apart rule a pair out. Two blocks
+of a region meet in a task of their own, so no task holds a region, however crowded. All pairs that remain
+are confirmed, none are left out.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
-from uuid import uuid4
 
 import numpy as np
 import pyarrow as pa
@@ -40,7 +41,8 @@ SMALL_REGION = 8
 SLOT_NODES = 4096
 BLOCK_NODES = 2048
 PAIRS_PER_NODE = 2048
-LEVELS = 2
+# Sets of similarity 0.75 differ in size by a third at most, so by one step of this ratio.
+SIZE_STEP = 1.34
 BITS = 4096
 MOST_DIFFERING = 618
 BATCH_BYTES = 8 << 20
@@ -226,23 +228,26 @@ def first_picks(candidates: DataFrame) -> DataFrame:
 
 
 def divided(rows: DataFrame) -> DataFrame:
-    """Each row once per tree of a forest within its region."""
+    """Each row in two parts of its region, so that any two whose sizes are a step apart or less share one.
+
+    Parts by other places of the signature would lose pairs that agree in the region's alone."""
+    step = F.floor(F.log(F.col("n").cast("double")) / math.log(SIZE_STEP)).cast("int")
+    return rows.withColumn("part", F.explode(F.array(step, step + 1)))
 
-    def plant(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tree = mix(np.arange(TREES + 1, 2 * TREES + 1, dtype=U))
-        for batch in batches:
-            for at in range(0, batch.num_rows, 1024):
-                part = batch.slice(at, 1024)
-                places = matrix(part.column("sketch"), np.uint8, PLACES).astype(U).reshape(-1, TREES, DEPTH)
-                key = part.column("key").to_numpy().view(U)[:, None] ^ tree
-                for i in range(DEPTH):
-                    key = mix(key ^ places[:, :, i])
-                rows_ = np.repeat(np.arange(part.num_rows), TREES)
-                taken = part.take(pa.array(rows_))
-                columns = {c: taken.column(c) for c in part.schema.names}
-                yield pa.record_batch(columns | {"key": pa.array(key.ravel().view(np.int64))})
 
-    return rows.mapInArrow(plant, rows.schema)
+def weighed(rows: DataFrame, path: str) -> DataFrame:
+    """The rows of those parts of regions that have pairs across components: all pairs less those within
+    each. With the part's `size`, its pairs `across`, the label of its largest component, `top`, and `n_top`
+    rows of that."""
+    labels = rows.groupBy("key", "part", "label").agg(F.count("*").alias("c"))
+    squares = (F.sum("c") * F.sum("c") - F.sum(F.col("c") * F.col("c"))) / 2
+    parts = labels.groupBy("key", "part").agg(
+        F.sum("c").alias("size"), squares.alias("across"), F.max(F.struct("c", "label")).alias("most")
+    )
+    parts = parts.where("across > 0").select(
+        "key", "part", "size", "across", F.col("most.label").alias("top"), F.col("most.c").alias("n_top")
+    )
+    return stored(rows.join(parts, ["key", "part"]), path)
 
 
 def all_keys(nodes: DataFrame) -> DataFrame:
@@ -277,24 +282,34 @@ def bit_sketches(sets: DataFrame) -> DataFrame:
     return sets.mapInArrow(build, "node long, bits binary")
 
 
-def compared(rows: DataFrame) -> DataFrame:
-    """Pairs of rows of a region that are in different components and alike by their signatures.
+def dealt(rows: DataFrame) -> DataFrame:
+    """Rows dealt to pairs of blocks, `low` and `high`, with their `own` block.
 
-    Of such a pair one at least is outside the region's largest component. So those rows go to all
-    blocks of the region and the others to one block each, where they are compared in place.
-    `rows` have the region's `size` and the label of its largest component, `top`.
+    Of a pair across components one at least is outside the largest. So blocks of those rows meet each other
+    and all blocks of the rest, which do not meet among themselves. A part of one block meets itself.
     """
-    blocks = F.ceil(F.col("size") / BLOCK_NODES).cast("int")
-    rows = rows.withColumn("home", F.pmod(F.xxhash64("node"), blocks).cast("int"))
-    to = F.when(F.col("label") == F.col("top"), F.array("home")).otherwise(F.sequence(F.lit(0), blocks - 1))
-    dealt = rows.select("key", "node", "n", "bits", "keys", "label", "top", "home", F.explode(to).alias("block"))
+    alone, minor = F.col("size") <= BLOCK_NODES, F.col("label") != F.col("top")
+    minors = F.when(alone, 1).otherwise(F.ceil((F.col("size") - F.col("n_top")) / BLOCK_NODES)).cast("int")
+    majors = F.when(alone, 0).otherwise(F.ceil(F.col("n_top") / BLOCK_NODES)).cast("int")
+    place = F.xxhash64("node")
+    own = F.when(alone, 0).when(minor, F.pmod(place, minors)).otherwise(minors + F.pmod(place, majors)).cast("int")
+    last = F.when(minor & ~alone, minors + majors - 1).otherwise(minors - 1)
+    rows = rows.withColumn("own", own).withColumn("other", F.explode(F.sequence(F.lit(0), last)))
+    low, high = F.least("own", "other").alias("low"), F.greatest("own", "other").alias("high")
+    return rows.select("key", "part", low, high, "own", "node", "n", "bits", "keys", "label", "top")
+
+
+def compared(rows: DataFrame) -> DataFrame:
+    """Pairs of rows of a region that are in different components and alike by their signatures, found by
+    comparing two blocks in place. `rows` are weighed."""
 
     def compare(table: pa.Table) -> pa.Table:
         node, n, label = (table[c].to_numpy() for c in ("node", "n", "label"))
         keys, region = matrix(table["keys"].combine_chunks(), np.int64, TREES), table["key"][0].as_py()
         bits = matrix(table["bits"].combine_chunks(), U, BITS // 64)
-        minor = np.flatnonzero(label != table["top"].to_numpy())
-        here = np.flatnonzero(table["home"].to_numpy() == table["block"].to_numpy())
+        own, low, high = table["own"].to_numpy(), table["low"][0].as_py(), table["high"][0].as_py()
+        outside = label != table["top"].to_numpy()
+        minor, here = np.flatnonzero((own == low) & outside), np.flatnonzero(own == high)
         words = np.ascontiguousarray(bits[here].T)
         found = []
         for at in range(0, len(minor), 256):
@@ -302,50 +317,39 @@ def compared(rows: DataFrame) -> DataFrame:
             differing = np.zeros((len(x), len(here)), np.uint16)
             for w in range(len(words)):
                 differing += np.bitwise_count(bits[x, w][:, None] ^ words[w])
-            low, high = np.minimum(n[x][:, None], n[here]), np.maximum(n[x][:, None], n[here])
-            fit = (differing <= MOST_DIFFERING) & (label[x][:, None] != label[here]) & (100 * low >= PERCENT * high)
+            least, most = np.minimum(n[x][:, None], n[here]), np.maximum(n[x][:, None], n[here])
+            fit = (differing <= MOST_DIFFERING) & (label[x][:, None] != label[here]) & (100 * least >= PERCENT * most)
+            if low == high:
+                fit &= ~outside[here] | (x[:, None] < here)
             i, j = np.nonzero(fit)
             x, y = x[i], here[j]
-            same = keys[x] == keys[y]
-            first = keys[x, same.argmax(axis=1)]
-            # Within a divided region no key is the region's own.
-            told = (first == region) | ~same.any(axis=1) | ~(keys[x] == region).any(axis=1)
+            # A pair is told by the first region that it shares.
+            told = keys[x, (keys[x] == keys[y]).argmax(axis=1)] == region
             found.append(np.stack([node[x[told]], node[y[told]]]))
         a, b = np.concatenate(found, axis=1) if found else np.zeros((2, 0), np.int64)
         return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
 
-    return dealt.groupBy("key", "block").applyInArrow(compare, "a long, b long").distinct()
+    pairs = dealt(rows).groupBy("key", "part", "low", "high")
+    return pairs.applyInArrow(compare, "a long, b long").distinct()
 
 
 def between_components(
     regions: DataFrame, nodes: DataFrame, labels: DataFrame, sets: DataFrame, folder: str
 ) -> DataFrame:
     """Candidate pairs of larger regions whose nodes are in different components so far."""
-    rows = regions.where(F.col("size") > SMALL_REGION).select("key", "node", "n", "sketch")
+    rows = regions.where(F.col("size") > SMALL_REGION).select("key", F.lit(0).alias("part"), "node", "n")
     rows = rows.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
-    pairs = []
-    for level in range(LEVELS + 1):
-        # Pairs across components: all pairs less those within each.
-        parts = rows.groupBy("key", "label").agg(F.count("*").alias("c"))
-        squares = (F.sum("c") * F.sum("c") - F.sum(F.col("c") * F.col("c"))) / 2
-        across = parts.groupBy("key").agg(
-            F.sum("c").alias("size"), squares.alias("across"), F.max(F.struct("c", "label"))["label"].alias("top")
-        )
-        rows = stored(rows.join(across.where("across > 0"), "key"), f"{folder}/rows-{uuid4().hex}")
-        if level == 0:
-            fine = bit_sketches(sets.join(rows.select("node").distinct(), "node", "left_semi"))
-            rows = rows.join(fine.dropDuplicates(["node"]), "node").join(all_keys(nodes), "node")
-            rows = stored(rows, f"{folder}/fine")
-        few = F.lit(True) if level == LEVELS else F.col("across") <= PAIRS_PER_NODE * F.col("size")
-        pairs.append(stored(compared(rows.where(few)), f"{folder}/across-{uuid4().hex}"))
-        rows = rows.where(~few).drop("size", "across", "top")
-        if level == LEVELS or not rows.take(1):
-            break
-        rows = divided(rows)
-    found = pairs[0]
-    for more in pairs[1:]:
-        found = found.union(more)
-    return found.distinct()
+    rows = weighed(rows, f"{folder}/rows")
+    fine = bit_sketches(sets.join(rows.select("node").distinct(), "node", "left_semi"))
+    rows = rows.join(fine.dropDuplicates(["node"]), "node").join(all_keys(nodes), "node")
+    rows = stored(rows, f"{folder}/fine")
+    few = F.col("across") <= PAIRS_PER_NODE * F.col("size")
+    found = stored(compared(rows.where(few)), f"{folder}/across")
+    many = rows.where(~few).drop("size", "across", "top", "n_top")
+    if not many.take(1):
+        return found
+    more = compared(weighed(divided(many), f"{folder}/parts"))
+    return found.union(stored(more, f"{folder}/across-parts")).distinct()
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:

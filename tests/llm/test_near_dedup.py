@@ -2,7 +2,7 @@ import random
 import re
 from collections import Counter, defaultdict
 
-from pyspark.sql import functions as F
+from pyspark.sql import GroupedData, functions as F
 
 from rallybook.llm import near_dedup
 from rallybook.llm.graph import components
@@ -91,3 +91,29 @@ def test_components_of_chains_rings_and_stars(spark, tmp_path):
     found = components(spark.createDataFrame(edges, "a long, b long"), str(tmp_path))
     labels = {r.node: r.label for r in found.collect()}
     assert labels == {**{i: 100 for i in range(100, 161)}, **{i: 7 for i in range(200, 230)}, 7: 7, 1: 1, 2: 1, 3: 1}
+
+
+def test_no_task_holds_a_crowded_region(spark, monkeypatch):
+    """A page template with other words on every page: regions of hundreds of nodes, nearly all in
+    components of their own, and pairs that only the comparison of blocks finds."""
+    monkeypatch.setattr(near_dedup, "SMALL_REGION", 2)
+    monkeypatch.setattr(near_dedup, "BLOCK_NODES", 64)
+    monkeypatch.setattr(near_dedup, "PAIRS_PER_NODE", 20)
+    sizes, apply = [], GroupedData.applyInArrow
+
+    def watched(self, function, schema):
+        sizes.append(self.count().agg(F.max("count")).first()[0] or 0)
+        return apply(self, function, schema)
+
+    monkeypatch.setattr(GroupedData, "applyInArrow", watched)
+    rng = random.Random(8)
+    template = [f"t{i}" for i in range(150)]
+    texts = [" ".join(template + [f"u{rng.randrange(10**9)}" for _ in range(60)]) for _ in range(500)]
+    for i in range(0, 40, 2):
+        words = texts[i].split()
+        texts[i + 1] = " ".join(words[:150] + edited(rng, words[150:], 0.05))
+    rows = list(enumerate(texts))
+    got = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert Counter(tuple(r) for r in got.collect()) == brute_force(rows)
+    # Blocks are dealt by hash, so they vary a little.
+    assert 64 < max(sizes) <= 2 * 64 * 1.4
