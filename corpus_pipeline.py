@@ -22,10 +22,13 @@ def drop_toxic(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def drop_near_duplicates(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each component of near-duplicates, the one with the smallest doc_id. Documents
-    without an id, and those that are linked with nothing, stay."""
+    without an id, and those that are linked with nothing, stay. Of identical rows with an id one stays."""
     groups = stored(near_dedup.near_duplicates(docs), f"{work_folder(spark)}/groups")
     gone = groups.where("not kept").select("doc_id").distinct()
-    return docs.join(gone.hint("shuffle_hash"), "doc_id", "left_anti").select(*docs.columns)
+    named = docs.where("doc_id is not null").join(gone.hint("shuffle_hash"), "doc_id", "left_anti")
+    # Rows lie by doc_id already, so no second shuffle is needed.
+    one = named.select(*docs.columns).distinct()
+    return one.union(docs.where("doc_id is null"))
 
 
 def cut_repeats(spark, docs: DataFrame, sf_dir: str) -> DataFrame:

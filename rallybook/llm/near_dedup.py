@@ -340,8 +340,9 @@ def between_components(
     rows = regions.where(F.col("size") > SMALL_REGION).select("key", F.lit(0).alias("part"), "node", "n")
     rows = rows.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     rows = weighed(rows, f"{folder}/rows")
+    # Sets of rows that share a doc_id can have one node; all of them are compared.
     fine = bit_sketches(sets.join(rows.select("node").distinct(), "node", "left_semi"))
-    rows = rows.join(fine.dropDuplicates(["node"]), "node").join(all_keys(nodes), "node")
+    rows = rows.join(fine.distinct(), "node").join(all_keys(nodes), "node")
     rows = stored(rows, f"{folder}/fine")
     few = F.col("across") <= PAIRS_PER_NODE * F.col("size")
     found = stored(compared(rows.where(few)), f"{folder}/across")
@@ -380,7 +381,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     sets = stored(sets_of(docs, regions.select("node").distinct()), f"{folder}/sets")
 
     picked = stored(first_picks(candidates), f"{folder}/picked")
-    links = stored(confirmed(picked, sets), f"{folder}/links")
+    shared = between_rows(members.select("doc_id", "key_a", "key_b"), nodes)
+    links = stored(confirmed(picked, sets).union(shared), f"{folder}/links")
     labels = stored(components(links, folder), f"{folder}/labels")
 
     def label(side: str) -> DataFrame:
@@ -404,6 +406,17 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     return out.withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
 
 
+def between_rows(members: DataFrame, nodes: DataFrame) -> DataFrame:
+    """Links (a, b) between the nodes of rows that share a doc_id but not their set."""
+    ends = [f(k) for k in ("key_a", "key_b") for f in (F.min, F.max)]
+    ends = [c.alias(n) for c, n in zip(ends, ("a0", "a1", "b0", "b1"))]
+    several = members.groupBy("doc_id").agg(*ends).where("a0 != a1 or b0 != b1").select("doc_id")
+    rows = members.join(several.hint("shuffle_hash"), "doc_id", "left_semi").distinct()
+    rows = rows.join(nodes.select("key_a", "key_b", "node"), ["key_a", "key_b"])
+    least = rows.groupBy("doc_id").agg(F.min("node").alias("a"))
+    return rows.join(least, "doc_id").where("a != node").select("a", F.col("node").alias("b")).distinct()
+
+
 def more_nodes(joined: DataFrame, labels: DataFrame) -> DataFrame:
     """Nodes that were alone before the second round, labelled by themselves."""
     alone = joined.select(F.col("label").alias("node")).join(labels.select("node"), "node", "left_anti")

@@ -4,6 +4,7 @@ from collections import Counter, defaultdict
 
 from pyspark.sql import GroupedData, functions as F
 
+import corpus_pipeline
 from rallybook.llm import near_dedup
 from rallybook.llm.graph import components
 from rallybook.llm.near_dedup import near_duplicates
@@ -117,3 +118,13 @@ def test_no_task_holds_a_crowded_region(spark, monkeypatch):
     assert Counter(tuple(r) for r in got.collect()) == brute_force(rows)
     # Blocks are dealt by hash, so they vary a little.
     assert 64 < max(sizes) <= 2 * 64 * 1.4
+
+
+def test_rows_that_share_an_id_link_their_texts(spark, tmp_path):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(30)) for x in "abc")
+    rows = [(5, a), (9, a), (3, b), (5, b), (20, c), (20, c), (None, c), (None, c)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(r.doc_id, r.component_id, r.kept) for r in near_duplicates(docs).collect()}
+    assert got == {(5, 3, False), (9, 3, False), (3, 3, True), (20, 20, True), (None, None, True)}
+    kept = corpus_pipeline.drop_near_duplicates(spark, docs, str(tmp_path)).collect()
+    assert Counter(map(tuple, kept)) == Counter([(3, b), (20, c), (None, c), (None, c)])
