@@ -43,9 +43,9 @@ def cut_repeats(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_contaminated(spark, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a passage of the benchmark."""
+    """Documents without a passage of the benchmark, whether its items have an id or not."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    _, hits = decontaminate.occurrences(docs, benchmark)
+    _, hits = decontaminate.occurrences(docs, benchmark, nameless=True)
     # By the text and not by its id, so documents without an id are judged too.
     keyed = docs.withColumn("_key", F.md5("text"))
     gone = hits.select(F.col("key").alias("_key")).distinct().hint("shuffle_hash")

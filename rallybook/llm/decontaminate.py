@@ -57,19 +57,21 @@ def windows(n: Column) -> Column:
     return F.transform(starts, lambda i: F.concat_ws(" ", F.slice("words", i + 1, n)))
 
 
-def items_of(benchmark: DataFrame) -> DataFrame:
-    """`item`, `words`, `h` and the length `m` of the windows of each item."""
-    items = benchmark.where("item_id is not null")
+def items_of(benchmark: DataFrame, nameless: bool = False) -> DataFrame:
+    """`item`, `words`, `h` and the length `m` of the windows of each item; `nameless` takes those
+    without an id too."""
+    items = benchmark if nameless else benchmark.where("item_id is not null")
     items = items.select(F.col("item_id").cast("string").alias("item"), words(F.col("text")).alias("words"))
     items = items.where(F.size("words") > 0).withColumn("m", F.least(F.size("words"), F.lit(WINDOW)))
     return hashed(items)
 
 
-def occurrences(docs: DataFrame, benchmark: DataFrame) -> tuple[DataFrame, DataFrame]:
+def occurrences(docs: DataFrame, benchmark: DataFrame, nameless: bool = False) -> tuple[DataFrame, DataFrame]:
     """All rows of `docs` (doc_id, key of the text, n_words), and where distinct texts hold a
-    window of an item: `key`, `at` (first word), `m` words, `item`."""
+    window of an item: `key`, `at` (first word), `m` words, `item`. With `nameless`, items without an
+    id count too, with a null `item`."""
     folder = work_folder(docs.sparkSession)
-    items = stored(items_of(benchmark), f"{folder}/items")
+    items = stored(items_of(benchmark, nameless), f"{folder}/items")
     short = [r.m for r in items.select("m").distinct().collect() if r.m < WINDOW]
     text = docs.select("doc_id", "text", F.md5("text").alias("key"))
     split = hashed(text.select("doc_id", "key", words(F.col("text")).alias("words")))

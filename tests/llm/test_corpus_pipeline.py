@@ -45,3 +45,13 @@ def test_stages_act_and_keep_clean_documents(spark, tmp_path):
     for source in {r.source for r in mixed}:
         own = [r for r in mixed if r.source == source]
         assert abs(sum(r.taken for r in own) - own[0].target) <= 0.5
+
+
+def test_benchmark_items_without_an_id_count(spark, tmp_path):
+    item, short = " ".join(f"w{i}" for i in range(15)), "three odd words"
+    benchmark = spark.createDataFrame([(None, item), (None, short), (1, "z " * 12)], "item_id long, text string")
+    benchmark.write.parquet(f"{tmp_path}/benchmark.parquet")
+    texts = [(1, f"a b {item} c"), (2, f"a {short} b"), (3, "z " * 12), (4, "clean"), (None, item), (5, None)]
+    docs = spark.createDataFrame(texts, "doc_id long, text string")
+    kept = P.drop_contaminated(spark, docs, str(tmp_path)).collect()
+    assert sorted(r.doc_id for r in kept) == [4, 5]
