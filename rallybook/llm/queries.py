@@ -45,7 +45,7 @@ def op2_near_dedup(spark, sf_dir):
 
 def op3_token_counts(spark, sf_dir):
     folder = work_folder(spark)
-    token_counts.write_token_files(table(spark, sf_dir, "documents"), f"{folder}/tokens")
+    token_counts.write_token_files(table(spark, sf_dir, "documents"), f"{folder}/tokens", nameless=True)
     head = token_counts.ID_TOKENS
     found = token_counts.separator_scan(spark, f"{folder}/tokens", head=head)
     return found.select(

@@ -39,23 +39,28 @@ def tokenizer(path: str):
 
 
 def id_tokens(ids: np.ndarray) -> np.ndarray:
-    """A bigint as five tokens of 13 bits each, none of them `END`. No id is the largest value."""
+    """A bigint as five tokens of 13 bits each, none of them `END`. The highest bit is not used by any."""
     parts = [(ids.astype(np.uint64) >> np.uint64(13 * i)) & np.uint64(0x1FFF) for i in range(ID_TOKENS)]
     return (np.stack(parts, axis=1) + np.uint64(1)).astype("<u2")
 
 
+# In place of a null id: the one bit that ids do not use.
+NO_ID = np.array([1] * (ID_TOKENS - 1) + [(1 << 12) + 1], "<u2")
+
+
 def from_id_tokens(tokens: Column) -> Column:
-    """The bigint whose five tokens these are."""
+    """The bigint whose five tokens these are, null if they are those of no id."""
     parts = [F.shiftleft(F.element_at(tokens, i + 1).cast("long") - 1, 13 * i) for i in range(ID_TOKENS)]
     whole = parts[0]
     for part in parts[1:]:
         whole = whole.bitwiseOR(part)
-    return whole
+    return F.when(F.element_at(tokens, ID_TOKENS) != int(NO_ID[-1]), whole)
 
 
-def write_token_files(docs: DataFrame, path: str, vocabulary: str = VOCABULARY) -> None:
+def write_token_files(docs: DataFrame, path: str, vocabulary: str = VOCABULARY, nameless: bool = False) -> None:
     """Tokenise whole texts into flat files of 16-bit ids. Ids are stored plus one, so that 0 ends a
     document; each document begins with its doc_id as `ID_TOKENS` tokens. Null texts have no tokens.
+    Rows without a doc_id are written only if `nameless`, and begin with `NO_ID`.
 
     A text sink writes them: a line is a document's ids, and the line separator the bytes of `END`.
     """
@@ -63,14 +68,17 @@ def write_token_files(docs: DataFrame, path: str, vocabulary: str = VOCABULARY)
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoding = tokenizer(vocabulary)
         for batch in slices(batches, "text", BATCH_BYTES):
-            heads = id_tokens(batch.column("doc_id").cast(pa.int64()).to_numpy(zero_copy_only=False))
+            ids = batch.column("doc_id").cast(pa.int64())
+            heads = id_tokens(ids.fill_null(0).to_numpy(zero_copy_only=False))
+            heads[ids.is_null().to_numpy(zero_copy_only=False)] = NO_ID
             lines = []
             for head, text in zip(heads, batch.column("text")):
                 ids = np.array(encoding.encode_ordinary(text.as_py() or ""), np.int64) + 1
                 lines.append(head.tobytes() + ids.astype("<u2").tobytes())
             yield pa.record_batch({"value": pa.array(lines, pa.binary())})
 
-    rows = docs.where("doc_id is not null").select("doc_id", "text").mapInArrow(encode, "value binary")
+    docs = docs if nameless else docs.where("doc_id is not null")
+    rows = docs.select("doc_id", "text").mapInArrow(encode, "value binary")
     rows.select(F.col("value").cast("string")).write.option("lineSep", "\0\0").text(path)
 
 

@@ -1,6 +1,9 @@
+from collections import Counter
+
 import numpy as np
 import pytest
 
+from rallybook.llm.queries import op3_token_counts
 from rallybook.llm.token_counts import (
     ID_TOKENS,
     VOCABULARY,
@@ -58,3 +61,11 @@ def test_part_of_a_token_fails(spark, tmp_path):
     (tmp_path / "odd").write_bytes(b"abc")
     with pytest.raises(Exception, match="buffer size"):
         separator_scan(spark, str(tmp_path)).collect()
+
+
+def test_the_query_counts_rows_without_an_id(spark, tmp_path):
+    rows = [(None, "nobody"), (None, None), (0, "zero"), (-1, "all bits"), (2**63 - 1, "most"), (-(2**63), "least")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    encoding = tokenizer(VOCABULARY)
+    expected = Counter((d, len(encoding.encode_ordinary(t or ""))) for d, t in rows)
+    assert Counter(map(tuple, op3_token_counts(spark, str(tmp_path)).collect())) == expected
