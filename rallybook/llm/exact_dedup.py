@@ -1,12 +1,12 @@
-"""Operator 1: exact passages that repeat across documents, by blockwise suffix sorting.
+"""Operator 1: exact passages that repeat across documents, by blockwise sorting of suffix hashes.
 
 Suffixes are compared to a depth of `length` bytes. A difference cover D of period v picks the
 sample suffixes of every document: those at offsets that are in D modulo v. For any two suffixes
 there is a distance below v at which both meet a sample, so two that agree on `length` bytes meet
-samples that agree on length - v + 1. The samples are ranked first, one bucket at a
-time; of a rank only whether documents share it is of use and goes back. A suffix whose next
-v bytes hold no sample with a shared rank cannot repeat in another document: that settles most of
-them unsorted.
+samples that agree on length - v + 1. The samples are sorted first by hash, one bucket at a
+time; no ranks are kept, only one bit goes back: whether documents share the sample. A suffix whose next
+v bytes hold no shared sample cannot repeat in another document: that settles most of
+them unsorted. Ties of the others are settled by hash, not by ranks of the cover.
 
 The others form runs of neighbours. Runs are cut where the content says so, into pieces, and equal
 pieces are reduced to the one of their smallest document; its copies are removed whole. What is left are
