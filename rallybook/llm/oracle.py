@@ -104,10 +104,38 @@ select h.page_id, nullif(host, '') as host, h.day as fetched, coalesce(n, 0) as
 from h left join f using (page_id)
 """
 
+WORDS = r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+"
+
+DIVERGENCE = f"""
+with d as (select coalesce(lang, '') as lang, coalesce(source, '') as source, row_number() over () as r, text from documents),
+w as (select lang, source, r, unnest({lowered("text", WORDS)}) as term from d),
+k as (select lang, term, count(*) as n from w group by lang, term having count(distinct r) >= 10),
+l as (select lang, count(*) as v, sum(n) as n from k group by lang),
+g as (select distinct lang, source from d),
+c as (select lang, source, term, count(*) as n from w semi join k using (lang, term) group by lang, source, term),
+t as (select lang, source, sum(n) as n from c group by lang, source),
+x as (select g.lang, g.source, k.term, coalesce(c.n, 0) as n,
+       1 + (1000000000 * cast(coalesce(c.n, 0) + 2 as hugeint)) // (coalesce(t.n, 0) + 2 * l.v) as p,
+       1 + (1000000000 * cast(k.n + 2 as hugeint)) // (l.n + 2 * l.v) as q
+      from g join k using (lang) join l using (lang) left join t using (lang, source)
+       left join c using (lang, source, term)),
+s as (select a.lang, a.source, b.source as item, sum((a.p - b.p) * (a.p - b.p) // (a.p + b.p)) as value
+      from x a join x b on a.lang = b.lang and a.term = b.term and a.source <> b.source group by 1, 2, 3),
+r as (select a.lang, a.source, 'pair' as part, b.source as item, cast(coalesce(value, 0) as bigint) as value
+      from g a join g b on a.lang = b.lang and a.source <> b.source
+       left join s on s.lang = a.lang and s.source = a.source and s.item = b.source
+      union all
+      select lang, source, 'term', term, cast((p - q) * (p - q) // (p + q) as bigint) from x where n > 0 and p > q)
+select * from (select *, cast(row_number() over (partition by lang, source, part order by value desc, item) as int) as rank
+               from r) y
+where part = 'pair' or rank <= 10
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op1_suffix_dedup": SUFFIX_DEDUP,
     "op2_near_dedup": NEAR_DEDUP,
     "op4_mixing": MIXING,
     "op7_decontamination": DECONTAMINATION,
     "op8_url_filter": URL_FILTER,
+    "op11_divergence": DIVERGENCE,
 }

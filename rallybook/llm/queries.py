@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rallybook.llm import (
     decontaminate,
+    divergence,
     exact_dedup,
     licenses,
     mixing,
@@ -106,6 +107,10 @@ def op10_quality_rules(spark, sf_dir):
     )
 
 
+def op11_divergence(spark, sf_dir):
+    return divergence.divergence(table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_near_dedup": op2_near_dedup,
@@ -117,4 +122,5 @@ QUERIES: dict[str, Query] = {
     "op8_url_filter": op8_url_filter,
     "op9_weak_quality": op9_weak_quality,
     "op10_quality_rules": op10_quality_rules,
+    "op11_divergence": op11_divergence,
 }
