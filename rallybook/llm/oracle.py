@@ -131,6 +131,23 @@ select * from (select *, cast(row_number() over (partition by lang, source, part
 where part = 'pair' or rank <= 10
 """
 
+HARD_NEGATIVES = """
+with e as (select row_number() over () as r, vec_id as id,
+            cast(case when vec_id % 7 = 0 then (label + 1) % 10 else label end as bigint) as label,
+            list_transform(embedding, lambda x: floor(256 * cast(x as double))) as v
+           from embeddings where label is not null and embedding is not null
+            and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0),
+s as (select a.r as a, a.id as anchor_id, b.r as b, b.id, a.label = b.label as same,
+       cast(list_inner_product(a.v, b.v) as bigint) as score
+      from e a join e b on a.r <> b.r where a.id % 100 = 0),
+p as (select * from (select *, row_number() over (partition by a order by score desc, id nulls last, b) as k from s where same) x
+      where k <= 5),
+n as (select p.a, p.b, p.anchor_id, p.id as positive_id, s.id as negative_id, p.score as positive_score, s.score as negative_score,
+       cast(row_number() over (partition by p.a, p.b order by s.score desc, s.id nulls last, s.b) as int) as rank
+      from p join s on p.a = s.a and not s.same and 30 * p.score <= 100 * s.score and 100 * s.score <= 90 * p.score)
+select anchor_id, positive_id, rank, negative_id, positive_score, negative_score from n where rank <= 10
+"""
+
 ORACLE_SQL: dict[str, str] = {
     "op1_suffix_dedup": SUFFIX_DEDUP,
     "op2_near_dedup": NEAR_DEDUP,
@@ -138,4 +155,5 @@ ORACLE_SQL: dict[str, str] = {
     "op7_decontamination": DECONTAMINATION,
     "op8_url_filter": URL_FILTER,
     "op11_divergence": DIVERGENCE,
+    "op12_hard_negatives": HARD_NEGATIVES,
 }

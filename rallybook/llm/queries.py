@@ -10,9 +10,11 @@ from rallybook.llm import (
     decontaminate,
     divergence,
     exact_dedup,
+    hard_negatives,
     licenses,
     mixing,
     near_dedup,
+    neighbours,
     quality_rules,
     token_counts,
     toxicity,
@@ -111,6 +113,18 @@ def op11_divergence(spark, sf_dir):
     return divergence.divergence(table(spark, sf_dir, "documents"))
 
 
+def op12_hard_negatives(spark, sf_dir):
+    rows = table(spark, sf_dir, "embeddings")
+    moved = F.coalesce(F.col("vec_id") % 7 == 0, F.lit(False))
+    label = F.col("label").cast("long")
+    rows = rows.withColumn("label", F.when(moved, (label + 1) % 10).otherwise(label))
+    return hard_negatives.hard_negatives(rows, F.col("vec_id") % 100 == 0)
+
+
+def op13_neighbours(spark, sf_dir):
+    return neighbours.nearest_neighbours(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 QUERIES: dict[str, Query] = {
     "op1_suffix_dedup": op1_suffix_dedup,
     "op2_near_dedup": op2_near_dedup,
@@ -123,4 +137,6 @@ QUERIES: dict[str, Query] = {
     "op9_weak_quality": op9_weak_quality,
     "op10_quality_rules": op10_quality_rules,
     "op11_divergence": op11_divergence,
+    "op12_hard_negatives": op12_hard_negatives,
+    "op13_neighbours": op13_neighbours,
 }
