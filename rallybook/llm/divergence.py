@@ -140,9 +140,10 @@ def skyband(rows: DataFrame, most: int) -> DataFrame:
 
 
 def smoothed(count: Column, total: Column, kept: Column) -> Column:
-    """1 + floor(SCALE * (count + 2) / (total + 2 * kept)); a product of up to 38 digits."""
+    """1 + floor(SCALE * (count + 2) / (total + 2 * kept)), in decimals, as the product may not fit into 64
+    bits. Without kept words no use is made of it."""
     over = (count + 2).cast("decimal(20,0)") * F.lit(SCALE).cast("decimal(10,0)")
-    return F.lit(1).cast("long") + F.call_function("div", over, (total + 2 * kept).cast("decimal(20,0)"))
+    return F.lit(1).cast("long") + F.call_function("div", over, F.greatest(total + 2 * kept, F.lit(1)).cast("decimal(20,0)"))
 
 
 def spread(p: Column, q: Column) -> Column:
@@ -198,8 +199,7 @@ def source_distances(kept: DataFrame, totals: DataFrame) -> DataFrame:
     zeros = spread(F.col("a.zero"), F.col("b.zero"))
     same, other = F.col("a.lang") == F.col("b.lang"), F.col("a.source") != F.col("b.source")
     names = [F.col("a.lang").alias("lang"), F.col("a.source").alias("source"), F.col("b.source").alias("item")]
-    no_words = F.when(F.col("a.vocabulary") > 0, F.col("a.vocabulary") * zeros).otherwise(0)
-    parts = [a.join(b, same & other).select(*names, no_words.alias("value"))]
+    parts = [a.join(b, same & other).select(*names, (F.col("a.vocabulary") * zeros).alias("value"))]
 
     words = kept.join(groups, ["lang", "source"])
     p = smoothed(F.col("n"), F.col("total"), F.col("vocabulary"))

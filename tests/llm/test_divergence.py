@@ -1,0 +1,90 @@
+import random
+import re
+from collections import Counter
+
+import pytest
+from pyspark.sql import functions as F
+
+from rallybook.llm.divergence import FEWEST_DOCS, Skyband, divergence, skyband
+
+COLUMNS = "doc_id long, text string, lang string, source string"
+
+
+def by_hand(rows):
+    """The audit in plain Python integers, every word ranked."""
+    docs = [(lang or "", source or "", [w.lower() if w.isascii() else "".join(c.lower() if c.isascii() else c for c in w)
+             for w in re.findall(r"[^\x00-\x40\x5B-\x60\x7B-\x7F]+", text or "")]) for _, text, lang, source in rows]
+    out = []
+    for lang in {d[0] for d in docs}:
+        own = [d for d in docs if d[0] == lang]
+        seen = Counter(w for d in own for w in set(d[2]))
+        kept = sorted((w for w in seen if seen[w] >= FEWEST_DOCS), key=lambda w: w.encode())
+        counts = {s: Counter(w for d in own if d[1] == s for w in d[2]) for s in {d[1] for d in own}}
+        whole = sum(counts.values(), Counter())
+
+        def p(counter):
+            over = sum(counter[w] for w in kept) + 2 * len(kept)
+            return {w: 1 + 1_000_000_000 * (counter[w] + 2) // over for w in kept}
+
+        shares, all_shares = {s: p(c) for s, c in counts.items()}, p(whole)
+        f = lambda a, b: (a - b) ** 2 // (a + b)
+        for s, mine in shares.items():
+            pairs = [(t, sum(f(mine[w], other[w]) for w in kept)) for t, other in shares.items() if t != s]
+            terms = [(w, f(mine[w], all_shares[w])) for w in kept if counts[s][w] and mine[w] > all_shares[w]]
+            for part, items in (("pair", pairs), ("term", terms)):
+                items.sort(key=lambda x: (-x[1], x[0].encode()))
+                items = items if part == "pair" else items[:10]
+                out += [(lang, s, part, item, value, i + 1) for i, (item, value) in enumerate(items)]
+    return sorted(out)
+
+
+def run(spark, rows, **more):
+    docs = spark.createDataFrame(rows, COLUMNS)
+    return sorted(tuple(r) for r in divergence(docs.withColumns(more) if more else docs).collect())
+
+
+def test_equals_plain_python(spark):
+    random.seed(7)
+    words = [f"w{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(150)] + ["Été", "ÉTÉ", "naïve", "语言", "don't", "A1b"]
+    rows = []
+    for i in range(400):
+        source = "hot" if i % 3 == 0 else f"s{i % 5}"
+        mine = words[: 60 + 20 * (i % 5)]
+        text = random.choice([" ", ", ", "1", "\n"]).join(random.choices(mine, k=random.randrange(0, 60)))
+        rows.append((i, text, random.choice(["en", "de", "EN"]), source))
+    rows += [(None, None, None, None), (1000, "", "en", None), (1001, None, "xx", "alone"), (1001, "a b", "yy", "one"), (1001, "a b", "yy", "two")]
+    rows += [rows[5]] * 15
+    assert run(spark, rows) == by_hand(rows)
+
+
+def test_long_text_and_clashing_columns(spark):
+    long = "alpha beta " * 150_000 + "x" * 1_000_000
+    rows = [(0, long, "en", "a")] + [(i, "alpha gamma", "en", "ab"[i % 2]) for i in range(1, 30)]
+    clash = {c: F.lit(1) for c in ("term", "n", "docs", "in_lang", "total", "value", "rank", "group", "zero")}
+    assert run(spark, rows, **clash) == by_hand(rows)
+
+
+@pytest.mark.parametrize("rows", [[], [(1, None, "en", "a")], [(1, "one two", "en", "a"), (2, "one", "en", "b")]])
+def test_few_rows(spark, rows):
+    """Without kept words the sources of a language are at distance 0."""
+    assert run(spark, rows) == by_hand(rows)
+
+
+def test_skyband_keeps_what_fewer_than_k_dominate(spark):
+    random.seed(3)
+    rows = [("en", "s", f"t{i:04d}".encode(), n, n + random.randrange(30)) for i, n in enumerate(random.choices(range(1, 40), k=600))]
+    random.shuffle(rows)
+    table = spark.createDataFrame(rows, "lang string, source string, term binary, n long, in_lang long")
+    kept = {bytes(r.term) for r in skyband(table.repartition(1), 4).collect()}
+    dominating = {
+        t[2]: sum(u[3] >= t[3] and u[4] <= t[4] and u[2] < t[2] for u in rows) for t in rows
+    }
+    assert kept == {t for t, k in dominating.items() if k < 4}
+    merged = skyband(skyband(table.repartition(7), 4).repartition(1), 4)
+    assert {bytes(r.term) for r in merged.collect()} == kept and len(kept) < 300
+
+
+def test_one_word_in_a_skyband():
+    band = Skyband(1)
+    assert band.keeps(5, b"b") and not band.keeps(5, b"c") and band.keeps(4, b"z") and band.keeps(9, b"a")
+    assert not band.keeps(9, b"aa")
