@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from rallybook.fixtures import MATCHES_SQL, PLAYERS_SQL, TABLES
+from rallybook.fixtures import BROKEN_NAME_SQL, MATCHES_SQL, PLAYERS_SQL, TABLES
 
 NAMES = {t: t for t in TABLES}
 
@@ -302,6 +302,11 @@ ORACLE_SQL: dict[str, str] = {
     "loss_rates": with_blocks(LOSS_RATES, *SIDES),
     "level_pivot": with_blocks(pivot_sql("ADFGM"), *SIDES),
     "csv_roundtrip": with_blocks("select * from p", "p"),
+    "line_breaks": with_blocks(
+        f"""select * replace (case when cast(player_id as int) % 3 = 0 then name_last else {BROKEN_NAME_SQL} end
+         as name_last) from p""",
+        "p",
+    ),
     "yearly_files_load": with_blocks(
         f"select {RAW_COLUMNS}, 'atp_matches_' || year || '.csv' as path from m", "m"
     ),

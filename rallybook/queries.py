@@ -113,6 +113,18 @@ def csv_roundtrip(spark, sf_dir):
     return load_csv(spark, lake, Layer.SILVER, PLAYERS_TABLE)
 
 
+def line_breaks(spark, sf_dir):
+    """Players whose names hold line breaks, quotes and commas, landed and loaded."""
+    folder = work_folder(spark)
+    broken = f"case when player_id % 3 = 0 then name_last else {fixtures.BROKEN_NAME_SQL} end"
+    raw = fixtures.players(spark, sf_dir).withColumn("name_last", F.expr(broken))
+    raw.write.options(**CSV_OPTIONS).csv(f"{folder}/raw/players")
+    lake = Lake(f"{folder}/lake")
+    manifest = spark.createDataFrame([(f"{PLAYERS_SOURCE}.csv", f"{folder}/raw/players")], "name string, path string")
+    land_bronze(spark, manifest, lake)
+    return load_csv(spark, lake, Layer.BRONZE, PLAYERS_SOURCE)
+
+
 def write_raw(spark, sf_dir, folder: str) -> DataFrame:
     """Players and one folder of matches per year as raw CSV; returns their manifest."""
     raw = fixtures.players(spark, sf_dir)
@@ -291,6 +303,7 @@ QUERIES: dict[str, Query] = {
     "level_pivot": on_matches(levels.level_pivot),
     # Sources, sinks and the whole run
     "csv_roundtrip": csv_roundtrip,
+    "line_breaks": line_breaks,
     "yearly_files_load": yearly_files_load,
     "yearly_list_load": yearly_list_load,
     "manifest": manifest,

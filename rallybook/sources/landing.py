@@ -10,14 +10,16 @@ from rallybook.functions.scalars import year_from_path
 from rallybook.schemas import ALL_MATCHES_TABLE, MATCHES_MARK, MATCHES_SOURCE_PREFIX, PLAYERS_SOURCE
 from rallybook.sources.parallel import run_together
 from rallybook.sources.tables import (
-    CSV_OPTIONS,
     Lake,
     Layer,
     read_csv,
     read_csv_by_name,
     read_table,
+    sources_with_line_breaks,
+    write_csv,
     write_table,
 )
+from rallybook.sources.versions import files_at
 
 
 def source_manifest(
@@ -38,12 +40,10 @@ def landed_names(spark: SparkSession, lake: Lake) -> list[str]:
 
     Only the bronze folder itself and the marks are listed, not the files of the sources.
     """
-    folder = spark._jvm.org.apache.hadoop.fs.Path(lake.folder(Layer.BRONZE))
-    files = folder.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf())
+    folder, files = files_at(spark, lake.folder(Layer.BRONZE))
     if not files.exists(folder):
         return []
-    hadoop_path = spark._jvm.org.apache.hadoop.fs.Path
-    done = files.globStatus(hadoop_path(folder, "*/_SUCCESS")) or []
+    done = files.globStatus(files_at(spark, f"{lake.folder(Layer.BRONZE)}/*/_SUCCESS")[0]) or []
     names = {status.getPath().getParent().getName() for status in done}
     names |= {s.getPath().getName() for s in files.listStatus(folder) if s.isFile()}
     return sorted(n for n in names if not n.startswith((".", "_")))
@@ -58,21 +58,21 @@ def missing_sources(manifest: DataFrame, landed: DataFrame) -> DataFrame:
     return manifest.join(landed, "name", "left_anti")
 
 
-def land_source(spark: SparkSession, lake: Lake, name: str, path: str) -> None:
+def land_source(spark: SparkSession, lake: Lake, name: str, path: str, broken: set[str] | None = None) -> None:
     """Copy one source, values untouched, over whatever an unfinished landing has left. It counts as
     landed once the job has put its `_SUCCESS` mark into the folder."""
-    target = f"{lake.folder(Layer.BRONZE)}/{name}"
-    copy = read_csv(spark, path).write.mode("overwrite").options(**CSV_OPTIONS)
-    copy.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", True).csv(target)
+    write_csv(read_csv(spark, path, broken=broken), f"{lake.folder(Layer.BRONZE)}/{name}")
 
 
 def land_bronze(spark: SparkSession, manifest: DataFrame, lake: Lake) -> list[str]:
     """Land the sources of the manifest that bronze lacks; returns their names.
 
-    Only names and paths come to the driver; the rows are copied by Spark jobs.
+    Only names and paths come to the driver; the rows are copied by Spark jobs. One job looks for
+    line breaks within values in all sources at once.
     """
     todo = missing_sources(manifest, landed_sources(spark, lake)).collect()
-    run_together(spark, [partial(land_source, spark, lake, row.name, row.path) for row in todo])
+    broken = sources_with_line_breaks(spark, [row.path for row in todo])
+    run_together(spark, [partial(land_source, spark, lake, row.name, row.path, broken) for row in todo])
     return sorted(row.name for row in todo)
 
 

@@ -1,0 +1,157 @@
+"""CSV records that cross lines and blocks, against Python's own reader."""
+
+import csv
+import random
+from collections import Counter
+
+import pytest
+from frames import sorted_rows
+from pyspark.sql import functions as F
+
+from rallybook.sources import tables
+from rallybook.sources.landing import land_bronze
+from rallybook.sources.records import composed, ends_inside, files_with_line_breaks
+from rallybook.sources.tables import Lake, Layer, load_csv, read_csv, read_csv_by_name, read_table, write_table
+
+
+@pytest.fixture
+def block_size(spark):
+    keys = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")
+    before = {key: spark.conf.get(key) for key in keys}
+
+    def put(size):
+        spark.conf.set(keys[0], str(size))
+        spark.conf.set(keys[1], "1")
+
+    yield put
+    for key, value in before.items():
+        spark.conf.set(key, value)
+
+
+def write(path, rows, header=("x", "y", "win_%"), ends="\n"):
+    path.parent.mkdir(parents=True, exist_ok=True)
+    with open(path, "w", newline="") as file:
+        out = csv.writer(file, lineterminator=ends)
+        out.writerow(header)
+        out.writerows(rows)
+    return str(path)
+
+
+def odd_values(seed, count):
+    random.seed(seed)
+    marks = ["a", "b", '"', ",", "\n", "\r\n", " ", "é", ""]
+    rows = [["".join(random.choices(marks, k=random.randrange(8))) for _ in range(3)] for _ in range(count)]
+    return [row for row in rows if any(value.strip() for value in row)]
+
+
+def expected(rows):
+    return Counter(tuple(value or None for value in row) for row in rows)
+
+
+@pytest.mark.parametrize("size", [61, 1009, 1 << 20])
+def test_any_value_is_read_as_it_was_written(spark, tmp_path, block_size, size):
+    """In a folder of files, with blocks that end anywhere, and both line endings."""
+    rows = [odd_values(seed, 250) for seed in range(3)]
+    for i, part in enumerate(rows):
+        write(tmp_path / "table.csv" / f"part-{i}.csv", part, ends="\r\n" if i == 1 else "\n")
+    block_size(size)
+    assert Counter(map(tuple, read_csv(spark, str(tmp_path / "table.csv")).collect())) == expected(sum(rows, []))
+
+
+def test_a_name_over_two_lines_lands_and_loads_as_one_row(spark, tmp_path):
+    path = tmp_path / "raw" / "atp_players.csv"
+    path.parent.mkdir()
+    path.write_text('player_id,name,a,b\n1,"Roland\nGarros",5,6\n2,"5"" tall",7,8\n3,5" tall,9,"x"\n')
+    lake = Lake(str(tmp_path / "lake"))
+    manifest = spark.createDataFrame([("atp_players.csv", str(path))], "name string, path string")
+    assert land_bronze(spark, manifest, lake) == ["atp_players.csv"]
+    found = sorted_rows(load_csv(spark, lake, Layer.BRONZE, "atp_players").select("player_id", "name", "a", "b"))
+    assert found == [("5", "6", "Roland\nGarros", "1"), ("7", "8", '5" tall', "2"), ("9", "x", '5" tall', "3")]
+
+
+def test_only_files_that_need_it_are_read_by_records(spark, tmp_path):
+    plain = write(tmp_path / "plain.csv", [["1", '"quoted", text', "2"]])
+    broken = write(tmp_path / "broken.csv", [["3", "two\nlines", "4"]])
+    found = {r.file.rpartition("/")[2] for r in files_with_line_breaks(spark, [plain, broken]).collect()}
+    assert found == {"broken.csv"}
+    rows = read_csv(spark, [plain, broken, broken, plain], with_path=True)
+    assert Counter(r.y for r in rows.collect()) == {'"quoted", text': 2, "two\nlines": 2}
+    assert {r.path.rpartition("/")[2] for r in rows.collect()} == {"plain.csv", "broken.csv"}
+    plan = rows._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    assert plan.count("FileScan csv") == 1 and "FileScan text" in plan
+    matched = read_csv(spark, str(tmp_path / "*.csv"))
+    assert Counter(r.y for r in matched.collect()) == {'"quoted", text': 1, "two\nlines": 1}
+
+
+def test_a_table_without_line_breaks_is_not_searched_for_them(spark, tmp_path, monkeypatch):
+    lake = Lake(str(tmp_path))
+    for name, value in (("plain", "a"), ("broken", "a\nb")):
+        write_table(spark.createDataFrame([(value, 1)], "x string, n int"), lake, Layer.SILVER, name, "csv")
+    searched = []
+    search = tables.files_with_line_breaks
+    monkeypatch.setattr(tables, "files_with_line_breaks", lambda s, paths: searched.extend(paths) or search(s, paths))
+    assert read_table(spark, lake, Layer.SILVER, "plain", "csv").collect() == [("a", "1")]
+    assert searched == []
+    assert read_table(spark, lake, Layer.SILVER, "broken", "csv").collect() == [("a\nb", "1")]
+    assert searched == [lake.path(Layer.SILVER, "broken", "csv")]
+    write_table(spark.createDataFrame([], "x string, n int"), lake, Layer.SILVER, "plain", "csv")
+    assert read_table(spark, lake, Layer.SILVER, "plain", "csv").collect() == []
+
+
+def test_headers_are_compared_here_too(spark, tmp_path):
+    a = write(tmp_path / "a.csv", [["1", "p\nq", "2"]])
+    b = write(tmp_path / "b.csv", [["3", "r\ns", "4"]], header=("y", "x", "win_%"))
+    with pytest.raises(Exception, match="header does not conform"):
+        read_csv(spark, [a, b]).collect()
+    assert sorted_rows(read_csv_by_name(spark, [a, b])) == [("2", "1", "p\nq"), ("4", "r\ns", "3")]
+
+
+def test_a_header_over_two_lines(spark, tmp_path):
+    path = write(tmp_path / "a.csv", [["1", "2", "3"]], header=("x", "two\nlines", "z"))
+    for found in (read_csv(spark, path), read_csv_by_name(spark, [path])):
+        assert found.columns == ["x", "two\nlines", "z"]
+        assert found.collect() == [("1", "2", "3")]
+
+
+def test_a_quote_that_is_never_closed_fails(spark, tmp_path, block_size):
+    path = tmp_path / "a.csv"
+    path.write_text('x,y\n1,"open\n' + "2,3\n" * 50)
+    block_size(40)
+    with pytest.raises(Exception, match="never closed"):
+        read_csv(spark, str(path)).collect()
+
+
+def test_folders_with_files_of_different_headers(spark, tmp_path):
+    write(tmp_path / "t" / "a.csv", [["1", "2", "3"]])
+    write(tmp_path / "t" / "b.csv", [["1", "2", "3"]], header=("p", "q", "r"))
+    with pytest.raises(ValueError, match="different headers"):
+        read_csv_by_name(spark, [str(tmp_path / "t")])
+    (tmp_path / "empty").mkdir()
+    with pytest.raises(ValueError, match="no header"):
+        read_csv_by_name(spark, [str(tmp_path / "empty")])
+
+
+@pytest.mark.parametrize(
+    "line, outside, inside",
+    [
+        ("a,b", 0, 1), ("", 0, 1), ('a,"b', 1, 0), ('"', 1, 0), ('""', 0, 1), ('"a""b"', 0, 0), ('"a"",b', 1, 0),
+        ('5" tall,b', 0, 0), ('x,5" tall,"', 1, 1), ('a", "b', 0, 0), ('a","b', 1, 1), (' "a', 0, 0),
+    ],
+)
+def test_what_a_line_does(spark, line, outside, inside):
+    row = spark.createDataFrame([(line,)], "line string").select(
+        *[ends_inside(F.col("line"), b).alias(str(b)) for b in (False, True)]
+    )
+    assert tuple(row.first()) == (outside, inside)
+
+
+def test_functions_are_composed(spark):
+    random.seed(1)
+    rows = [(k, i, random.randrange(2), random.randrange(2)) for k in range(20) for i in range(30)]
+    table = spark.createDataFrame(rows, "k int, i int, zero int, one int")
+    found = {(r.k, r.i): (r.after_0, r.after_1) for r in composed(table, ["k"], "i", F.col("zero"), F.col("one")).collect()}
+    for start in (0, 1):
+        bits = {}
+        for k, i, zero, one in rows:
+            bits[k] = (zero, one)[bits.get(k, start)]
+            assert found[k, i][start] == bits[k]
