@@ -20,8 +20,9 @@ SUMS = (
 )
 
 
-def tournament_rollup(sides: DataFrame, by_level: bool = False) -> DataFrame:
-    """One row per player and tournament, and level if asked for, with its match counts.
+def tournament_rollup(sides: DataFrame, by_level: bool = False, by: tuple[str, ...] = ()) -> DataFrame:
+    """One row per player and tournament, and level or the columns `by` if asked for, with its
+    match counts.
 
     The key is finer than the player, so the shuffle spreads a very active player, and with
     one row per tournament no later step needs a distinct count. Sums that a query does not
@@ -38,7 +39,13 @@ def tournament_rollup(sides: DataFrame, by_level: bool = False) -> DataFrame:
         for part in ("saved", "faced"):
             sums.append(F.sum(F.when(outcome, F.col(f"bp_{part}"))).alias(f"{side}_bp_{part}"))
     keys = ["player_id", "tourney_id"] + (["tourney_level"] if by_level else [])
-    return sides.groupBy(*keys).agg(*sums)
+    return sides.groupBy(*keys, *by).agg(*sums)
+
+
+def added_up(rollup: DataFrame) -> DataFrame:
+    """Rollups by level of parts of the matches, such as years, as one of all: every column is a sum."""
+    keys = ("player_id", "tourney_id", "tourney_level")
+    return rollup.groupBy(*keys).agg(*[F.sum(c).alias(c) for c in SUMS])
 
 
 def over_levels(rollup: DataFrame) -> DataFrame:

@@ -22,8 +22,9 @@ def with_int_break_points(matches: DataFrame) -> DataFrame:
     return matches.withColumns({c: int_column(matches, c) for c in BREAK_POINT_COLUMNS})
 
 
-def sides(matches: DataFrame) -> DataFrame:
-    """Each match as a winner row and a loser row, rows without a player id left out.
+def sides(matches: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Each match as a winner row and a loser row, rows without a player id left out; columns of the
+    match in `keep` are kept.
 
     It takes the place of a union of two selections, which scans its input twice. Every row is
     doubled first and its columns are picked then, so what a query does not use is pruned
@@ -44,6 +45,7 @@ def sides(matches: DataFrame) -> DataFrame:
         "round",
         pick(int_column(matches, "w_bpSaved"), int_column(matches, "l_bpSaved")).alias("bp_saved"),
         pick(int_column(matches, "w_bpFaced"), int_column(matches, "l_bpFaced")).alias("bp_faced"),
+        *keep,
     ).where(F.col("player_id").isNotNull())
 
 

@@ -321,6 +321,22 @@ ORACLE_SQL: dict[str, str] = {
     "bronze_relanding": with_blocks(
         "select 'atp_matches_' || year || '.csv' as name, count(*) as landed_rows from m group by year", "m"
     ),
+    "incremental_run": with_blocks(
+        f"select * from ({CAREER}) c left join ({LOSS_RATES}) l using (player_id)", *CAREER_BLOCKS
+    ),
+    "incremental_gs": GS_SQL,
+    "incremental_years": with_blocks(
+        """select year, case when year = (select max(year) from m) then 2 else 1 end as written_in, count(*) as matches
+        from m group by year""",
+        "m",
+    ),
+    "changed_source": with_blocks(
+        """select 'atp_matches_' || year || '.csv' as name, count(*) * (case when late then 2 else 1 end) as landed_rows,
+         late as landed_again
+        from (select year, year = (select max(year) from m) as late from m) x group by year, late""",
+        "m",
+    ),
+    "failed_replacement": with_blocks("select * from players", "p", "players"),
     "pipeline_level_pivot": with_blocks(pivot_sql("ADFGM"), *SIDES),
     "yearly_union_by_name": with_blocks(UNION_BY_NAME, "m"),
     "bronze_landing": with_blocks(LANDED, "p", "m"),

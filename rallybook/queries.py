@@ -4,20 +4,23 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rallybook import fixtures
 from rallybook.operators import levels, metrics, names, rollup
 from rallybook.operators.sides import finals_rows, sides, with_int_break_points
-from rallybook.plans import gold, pipeline, silver
+from rallybook.plans import gold, pipeline, silver, update
 from rallybook.schemas import (
     GS_STATISTICS_TABLE,
     LEVEL_PIVOT_TABLE,
     MATCHES_SOURCE_PREFIX,
+    MATCHES_TABLE,
     PLAYER_STATISTICS_TABLE,
     PLAYERS_SOURCE,
     PLAYERS_TABLE,
 )
+from rallybook.sources import ledger
 from rallybook.sources.landing import (
     concatenate_matches,
     land_bronze,
@@ -32,6 +35,7 @@ from rallybook.sources.tables import (
     Lake,
     Layer,
     load_csv,
+    read_csv,
     read_csv_by_name,
     read_table,
     write_table,
@@ -247,6 +251,62 @@ def missing_sources_listed(spark, sf_dir):
     return missing_sources(manifest, landed_sources(spark, lake)).select("name")
 
 
+def last_year(spark, sf_dir) -> int:
+    return fixtures.matches(spark, sf_dir).agg(F.max("year")).first()[0]
+
+
+def updated_lake(spark, sf_dir) -> Lake:
+    """A lake built from all years but the last one, and then brought up to date with it."""
+    folder = work_folder(spark)
+    sources = write_raw(spark, sf_dir, f"{folder}/raw")
+    lake = Lake(f"{folder}/lake")
+    late = f"{MATCHES_SOURCE_PREFIX}{last_year(spark, sf_dir)}.csv"
+    update.update_lake(spark, sources.where(F.col("name") != late), lake)
+    update.update_lake(spark, sources, lake)
+    return lake
+
+
+def updated_table(name: str) -> Query:
+    return lambda spark, sf_dir: read_table(spark, updated_lake(spark, sf_dir), Layer.GOLD, name, "versioned")
+
+
+def updated_years(spark, sf_dir):
+    """Rows of each year in gold, and the version of the table that wrote it."""
+    lake = updated_lake(spark, sf_dir)
+    version = F.regexp_extract("_metadata.file_path", r"/_version=(\d+)-", 1).cast("int")
+    rows = read_table(spark, lake, Layer.GOLD, MATCHES_TABLE, "versioned")
+    return rows.groupBy("year", version.alias("written_in")).agg(F.count("*").alias("matches"))
+
+
+def changed_source(spark, sf_dir):
+    """Rows per source after one raw year has grown, by itself, and has been landed again."""
+    folder = work_folder(spark)
+    sources = write_raw(spark, sf_dir, f"{folder}/raw")
+    lake = Lake(f"{folder}/lake")
+    ledger.land_changed(spark, sources, lake)
+    late = f"{MATCHES_SOURCE_PREFIX}{last_year(spark, sf_dir)}.csv"
+    path = sources.where(F.col("name") == late).first().path
+    # Read to the end first: more files are about to be added where it is read from.
+    once_more = stored(read_csv(spark, path), f"{folder}/copy")
+    once_more.write.mode("append").options(**CSV_OPTIONS).csv(path)
+    landed = ledger.land_changed(spark, sources, lake)
+    return counted_per_source(spark, lake).withColumn("landed_again", F.col("name").isin(landed))
+
+
+def failed_replacement(spark, sf_dir):
+    """The players that are still there after a write meant to replace them has failed half-way."""
+    lake = Lake(work_folder(spark))
+    players = silver_players(spark, sf_dir)
+    write_table(players, lake, Layer.SILVER, PLAYERS_TABLE, "versioned")
+    bad = F.when(F.col("player_id") % 100 == 99, F.raise_error(F.lit("half-way")).cast("string"))
+    try:
+        broken = players.repartition(8).withColumn("full_name", bad.otherwise("nobody"))
+        write_table(broken, lake, Layer.SILVER, PLAYERS_TABLE, "versioned")
+    except PySparkException:
+        return read_table(spark, lake, Layer.SILVER, PLAYERS_TABLE, "versioned")
+    raise RuntimeError("the second write should have failed")
+
+
 def gold_table(name: str) -> Query:
     def query(spark, sf_dir):
         folder = work_folder(spark)
@@ -312,6 +372,11 @@ QUERIES: dict[str, Query] = {
     "bronze_landing": bronze_landing,
     "bronze_relanding": bronze_relanding,
     "missing_sources": missing_sources_listed,
+    "incremental_run": updated_table(PLAYER_STATISTICS_TABLE),
+    "incremental_gs": updated_table(GS_STATISTICS_TABLE),
+    "incremental_years": updated_years,
+    "changed_source": changed_source,
+    "failed_replacement": failed_replacement,
     "pipeline_gold": gold_table(GS_STATISTICS_TABLE),
     "pipeline_level_pivot": gold_table(LEVEL_PIVOT_TABLE),
     "pipeline_player_statistics": gold_table(PLAYER_STATISTICS_TABLE),

@@ -17,6 +17,7 @@ MASTERS_STATISTICS_TABLE = "df_masters_statistics"
 DAVIS_STATISTICS_TABLE = "df_davis_statistics"
 PLAYER_STATISTICS_TABLE = "df_player_statistics"
 PLAYER_TOURNAMENTS_TABLE = "df_player_tournaments"
+YEARLY_TOURNAMENTS_TABLE = "df_yearly_player_tournaments"
 CORRECTIONS_TABLE = "df_name_corrections"
 ALL_MATCHES_TABLE = "df_all_matches"
 LEVEL_PIVOT_TABLE = "df_level_pivot"

@@ -76,14 +76,18 @@ def land_bronze(spark: SparkSession, manifest: DataFrame, lake: Lake) -> list[st
     return sorted(row.name for row in todo)
 
 
+def load_sources(spark: SparkSession, lake: Lake, names: list[str]) -> DataFrame:
+    """Landed sources by name, plus `path` and the `year` in it."""
+    rows = read_csv(spark, [f"{lake.folder(Layer.BRONZE)}/{n}" for n in names], with_path=True)
+    return rows.withColumn("year", year_from_path(F.col("path")))
+
+
 def load_matches(spark: SparkSession, lake: Lake) -> DataFrame:
     """All landed sources with `matches` in their name, plus `path` and the `year` in it."""
-    folder = lake.folder(Layer.BRONZE)
-    paths = [f"{folder}/{n}" for n in landed_names(spark, lake) if MATCHES_MARK in n]
-    if not paths:
-        raise ValueError(f"no matches have landed in {folder}")
-    rows = read_csv(spark, paths, with_path=True)
-    return rows.withColumn("year", year_from_path(F.col("path")))
+    names = [n for n in landed_names(spark, lake) if MATCHES_MARK in n]
+    if not names:
+        raise ValueError(f"no matches have landed in {lake.folder(Layer.BRONZE)}")
+    return load_sources(spark, lake, names)
 
 
 def concatenate_matches(spark: SparkSession, lake: Lake, name: str = ALL_MATCHES_TABLE) -> DataFrame:
