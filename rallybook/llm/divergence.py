@@ -27,7 +27,7 @@ from rallybook.sources.scratch import stored, work_folder
 FEWEST_DOCS = 10
 TOP = 10
 SCALE = 1_000_000_000
-PIECE_BYTES = 16 << 20
+PIECE_BYTES = 8 << 20
 
 # Everything in ASCII that is no letter.
 NO_LETTERS = np.zeros(256, bool)
