@@ -5,7 +5,9 @@ transformed values form a vector. For each language and source, the location and
 of the vectors are estimated by minimum covariance determinant: from medians and absolute deviations
 as a start, concentration steps take the 75 % of the documents that are nearest by Mahalanobis
 distance and estimate anew from these, which never increases the determinant. A document too far from
-its group's bulk is rejected, unless it fails a base rule already.
+its group's bulk is rejected, unless it fails a base rule already. The same is done for whole languages and
+for all documents, and a group too small for an estimate of its own is judged by its language's,
+or by that of all.
 
 The vectors are held in whole 1/4096, and sums of them and of their products are exact, so
 estimates do not depend on the order of rows. Quantiles are taken over counts per narrow
@@ -15,6 +17,8 @@ vectors is read again.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from rallybook.sources.scratch import stored, work_folder
@@ -35,7 +39,13 @@ CONSISTENCY = 1.3779
 CUTOFF = 30.856
 # Standard deviations below which a statistic is not told apart, in units of its dimension.
 FLOORS = {"words": 0.3, "length": 0.35, "symbols": 0.05, "lines": 0.08, "repeats": 0.08}
+# Documents that an estimate of a source, and of a language, has to rest on.
 FEWEST = 20
+# Levels of groups: a source of a language, a language, everything.
+SOURCE, LANGUAGE, ALL = 0, 1, 2
+GROUP = ["level", "lang", "source"]
+# Beyond so many characters a word, documents are equally far away.
+LONGEST = 1000.0
 
 
 def statistics(docs: DataFrame) -> DataFrame:
@@ -85,12 +95,12 @@ def statistics(docs: DataFrame) -> DataFrame:
 
 def vectors(df: DataFrame) -> DataFrame:
     """The transformed statistics, in whole units. Rates per word are skewed to the right, so their
-    square roots are taken."""
+    square roots are taken. All are bounded, so that products of two fit into 64 bits."""
     n = F.greatest("n_words", F.lit(1))
     lines = F.col("n_dup_lines") / F.greatest(F.col("n_dup_lines") + 10, F.lit(1))
     values = {
         "words": F.log1p("n_words"),
-        "length": F.col("word_chars") / n,
+        "length": F.least(F.col("word_chars") / n, F.lit(LONGEST)),
         "symbols": F.sqrt(F.least(F.col("n_symbols") / n, F.lit(4.0))),
         "lines": lines,
         "repeats": F.sqrt(F.col("n_repeat_words") / n),
@@ -118,7 +128,7 @@ def estimated(rows: DataFrame, factor: float) -> DataFrame:
         sums.append(F.sum(F.col(a).cast(exact)).cast("double").alias(f"s_{i}"))
         for j in range(i + 1):
             sums.append(F.sum((F.col(a) * F.col(DIMENSIONS[j])).cast(exact)).cast("double").alias(f"s_{i}_{j}"))
-    out = rows.groupBy("lang", "source").agg(*sums)
+    out = rows.groupBy(*GROUP).agg(*sums)
     size = len(DIMENSIONS)
     out = out.withColumns({f"m_{i}": F.col(f"s_{i}") / F.col("c") / UNIT for i in range(size)})
     for i in range(size):
@@ -131,46 +141,67 @@ def estimated(rows: DataFrame, factor: float) -> DataFrame:
             value = F.sqrt(F.greatest(value, F.lit(1e-6))) if i == j else value / F.col(f"l_{j}_{j}")
             out = out.withColumn(f"l_{i}_{j}", value)
     kept = [f"m_{i}" for i in range(size)] + [f"l_{i}_{j}" for i in range(size) for j in range(i + 1)]
-    return out.select("lang", "source", F.struct(*kept).alias("e"))
+    return out.select(*GROUP, F.struct(*kept).alias("e"))
 
 
 def at_quantile(rows: DataFrame, bins: str, share: float) -> DataFrame:
     """The bin of each group below or in which `share` of its rows lie."""
-    counts = rows.groupBy("lang", "source", bins).agg(F.count("*").alias("c"))
-    group = Window.partitionBy("lang", "source")
+    counts = rows.groupBy(*GROUP, bins).agg(F.count("*").alias("c"))
+    group = Window.partitionBy(*GROUP)
     below = F.sum("c").over(group.orderBy(bins))
     reached = counts.withColumn("reached", below >= F.sum("c").over(group) * share)
-    return reached.where("reached").groupBy("lang", "source").agg(F.min(bins).alias("limit"))
+    return reached.where("reached").groupBy(*GROUP).agg(F.min(bins).alias("limit"))
 
 
 def with_group(rows: DataFrame, estimates: DataFrame) -> DataFrame:
     """Rows with what is known of their group; a null language or source is a group of its own."""
-    named = estimates.withColumnsRenamed({"lang": "_lang", "source": "_source"})
-    same = F.col("lang").eqNullSafe(F.col("_lang")) & F.col("source").eqNullSafe(F.col("_source"))
-    return rows.join(named, same, "left").drop("_lang", "_source")
+    named = estimates.withColumnsRenamed({c: f"_{c}" for c in GROUP})
+    return rows.join(named, same_group(), "left").drop(*[f"_{c}" for c in GROUP])
+
+
+def same_group() -> Column:
+    return reduce(Column.__and__, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in GROUP])
+
+
+def in_groups(rows: DataFrame, *columns) -> DataFrame:
+    """Each row once in its source, its language, and everything, with the given columns."""
+    none = F.lit(None).cast("string")
+    keys = [(SOURCE, F.col("lang"), F.col("source")), (LANGUAGE, F.col("lang"), none), (ALL, none, none)]
+    groups = [F.struct(F.lit(a).alias("level"), b.alias("lang"), c.alias("source")) for a, b, c in keys]
+    rows = rows.select(F.explode(F.array(*groups)).alias("g"), F.struct(*columns).alias("rest"))
+    return rows.select("g.*", "rest.*")
+
+
+def finest(rows: DataFrame, estimates: DataFrame) -> DataFrame:
+    """For each source of `rows`, the estimate of the finest of its groups that is large enough; if only
+    everything is left, that one however small it is."""
+    enough = estimates.where((F.col("level") == ALL) | (F.col("members") >= FEWEST)).drop("members")
+    sources = in_groups(rows.select("lang", "source").distinct(), F.struct("lang", "source").alias("of"))
+    met = with_group(sources, enough).where(F.col("e").isNotNull())
+    best = met.groupBy("of").agg(F.min_by("e", "level").alias("e"))
+    return best.select(F.lit(SOURCE).alias("level"), "of.*", "e")
 
 
 def start(rows: DataFrame) -> DataFrame:
     """Medians, and 1.4826 times the median absolute deviations, as a first estimate."""
     size = range(len(DIMENSIONS))
     # One row per group, dimension and value bin: counts, not documents, are ordered.
-    long = rows.select("lang", "source", F.explode(F.array(*[F.struct(F.lit(i).alias("d"), F.floor(F.col(x) / (UNIT // 16)).alias("v")) for i, x in enumerate(DIMENSIONS)])).alias("x"))
-    counts = long.groupBy("lang", "source", "x.d", "x.v").agg(F.count("*").alias("c"))
+    long = rows.select(*GROUP, F.explode(F.array(*[F.struct(F.lit(i).alias("d"), F.floor(F.col(x) / (UNIT // 16)).alias("v")) for i, x in enumerate(DIMENSIONS)])).alias("x"))
+    counts = long.groupBy(*GROUP, "x.d", "x.v").agg(F.count("*").alias("c"))
 
     def median(table: DataFrame, value: str, name: str) -> DataFrame:
-        group = Window.partitionBy("lang", "source", "d")
+        group = Window.partitionBy(*GROUP, "d")
         reached = F.sum("c").over(group.orderBy(value)) * 2 >= F.sum("c").over(group)
         found = table.withColumn("reached", reached).where("reached")
-        return found.groupBy("lang", "source", "d").agg(F.min(value).alias(name))
+        return found.groupBy(*GROUP, "d").agg(F.min(value).alias(name))
 
-    medians = median(counts, "v", "m").withColumnsRenamed({"lang": "_lang", "source": "_source", "d": "_d"})
-    same = F.col("lang").eqNullSafe(F.col("_lang")) & F.col("source").eqNullSafe(F.col("_source")) & (F.col("d") == F.col("_d"))
-    apart = counts.join(medians, same).withColumn("apart", F.abs(F.col("v") - F.col("m")))
-    spread = apart.groupBy("lang", "source", "d", "apart", "m").agg(F.sum("c").alias("c"))
-    group = Window.partitionBy("lang", "source", "d")
+    medians = median(counts, "v", "m").withColumnsRenamed({c: f"_{c}" for c in [*GROUP, "d"]})
+    apart = counts.join(medians, same_group() & (F.col("d") == F.col("_d"))).drop(*[f"_{c}" for c in GROUP]).withColumn("apart", F.abs(F.col("v") - F.col("m")))
+    spread = apart.groupBy(*GROUP, "d", "apart", "m").agg(F.sum("c").alias("c"))
+    group = Window.partitionBy(*GROUP, "d")
     reached = F.sum("c").over(group.orderBy("apart")) * 2 >= F.sum("c").over(group)
     found = spread.withColumn("reached", reached).where("reached")
-    found = found.groupBy("lang", "source", "d", "m").agg(F.min("apart").alias("a"))
+    found = found.groupBy(*GROUP, "d", "m").agg(F.min("apart").alias("a"))
     columns = []
     for i in size:
         here = F.col("d") == i
@@ -180,7 +211,7 @@ def start(rows: DataFrame) -> DataFrame:
             deviation = F.max(F.when(F.col("d") == i, F.col("a") / 16 * 1.4826))
             columns.append((F.sqrt(deviation * deviation + 1.0) if i == j else F.lit(0.0)).alias(f"l_{i}_{j}"))
     names = [f"m_{i}" for i in size] + [f"l_{i}_{j}" for i in size for j in range(i + 1)]
-    return found.groupBy("lang", "source").agg(*columns).select("lang", "source", F.struct(*names).alias("e"))
+    return found.groupBy(*GROUP).agg(*columns).select(*GROUP, F.struct(*names).alias("e"))
 
 
 def judged(docs: DataFrame) -> DataFrame:
@@ -188,8 +219,9 @@ def judged(docs: DataFrame) -> DataFrame:
     `kept` for every row of `docs`.
 
     A document fails the base rules with fewer than 50 words or more than half of its words in
-    repeated 3-word windows. The estimates are made from those that do not fail; a
-    group of fewer than 20 such rejects none of them. Null text: no words. Null language or source: a
+    repeated 3-word windows. The estimates are made from those that do not fail. A source with fewer
+    than `FEWEST` such is judged by its language's estimate, and a language with fewer by that of all
+    documents, however few they are; without any, no distance is known. Null text: no words. Null language or source: a
     group of their own. Repeated rows count as often as they occur; null ids get an answer. An
     empty table gives an empty result. Other columns are not looked at.
     """
@@ -198,8 +230,8 @@ def judged(docs: DataFrame) -> DataFrame:
     repeated = 100 * F.col("n_repeat_words") > MOST_REPEATED * F.col("n_words")
     rows = rows.withColumn("base_failed", (F.col("n_words") < LEAST_WORDS) | repeated)
     rows = stored(vectors(rows), f"{folder}/vectors")
-    good = rows.where("not base_failed").select("lang", "source", *DIMENSIONS)
-    sizes = good.groupBy("lang", "source").agg(F.count("*").alias("members"))
+    good = in_groups(rows.where("not base_failed"), *DIMENSIONS)
+    sizes = good.groupBy(*GROUP).agg(F.count("*").alias("members"))
     estimate = stored(start(good), f"{folder}/estimate-0")
     for step in range(STEPS):
         # Bins of one 64th of an octave.
@@ -207,7 +239,7 @@ def judged(docs: DataFrame) -> DataFrame:
         limits = at_quantile(near, "bin", COVERAGE)
         inner = with_group(near.drop("e"), limits).where("bin <= limit")
         estimate = stored(estimated(inner, CONSISTENCY), f"{folder}/estimate-{step + 1}")
-    known = with_group(estimate, sizes).where(F.col("members") >= FEWEST).drop("members")
-    out = with_group(rows, known).withColumn("distance", distance())
+    known = stored(finest(rows, with_group(estimate, sizes)), f"{folder}/known")
+    out = with_group(rows.withColumn("level", F.lit(SOURCE)), known).withColumn("distance", distance())
     kept = ~F.col("base_failed") & F.coalesce(F.col("distance") <= CUTOFF, F.lit(True))
-    return out.withColumn("kept", kept).drop("e", *DIMENSIONS)
+    return out.withColumn("kept", kept).drop("e", "level", *DIMENSIONS)

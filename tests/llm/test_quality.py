@@ -61,7 +61,7 @@ def brute_force_distances(rows):
         n = max(r.n_words, 1)
         values = {
             "words": np.log1p(r.n_words),
-            "length": r.word_chars / n,
+            "length": min(r.word_chars / n, Q.LONGEST),
             "symbols": np.sqrt(min(r.n_symbols / n, 4.0)),
             "lines": r.n_dup_lines / (r.n_dup_lines + 10),
             "repeats": np.sqrt(r.n_repeat_words / n),
@@ -69,14 +69,18 @@ def brute_force_distances(rows):
         vectors.append([np.floor(values[d] / Q.FLOORS[d] * Q.UNIT + 0.5) for d in Q.DIMENSIONS])
     vectors = np.array(vectors)
     groups = defaultdict(list)
+    good = defaultdict(list)
     for i, r in enumerate(rows):
         groups[r.lang, r.source].append(i)
+        if not r.base_failed:
+            for key in ((0, r.lang, r.source), (1, r.lang), (2,)):
+                good[key].append(i)
     out = [None] * len(rows)
-    for members in groups.values():
-        good = [i for i in members if not rows[i].base_failed]
-        if len(good) < Q.FEWEST:
+    for (lang, source), members in groups.items():
+        own = next((good[k] for k in ((0, lang, source), (1, lang)) if len(good[k]) >= Q.FEWEST), good[2,])
+        if not own:
             continue
-        x = vectors[good]
+        x = vectors[own]
         v = np.floor(x / (Q.UNIT // 16))
         middle = (len(x) + 1) // 2 - 1
         m = np.sort(v, axis=0)[middle]
@@ -96,8 +100,21 @@ def brute_force_distances(rows):
     return out
 
 
-def test_distances_equal_numpy(spark):
-    rows = Q.judged(spark.createDataFrame(corpus(random.Random(3)), COLUMNS)).collect()
+def many_sizes():
+    """Sources and languages of many sizes, and texts with one word of a million characters."""
+    rng = random.Random(5)
+    rows = corpus(random.Random(4))
+    for k in range(15):
+        for i in range(3 + k):
+            text = " ".join(rng.choice("abcdefgh") + str(rng.randrange(80)) for _ in range(rng.randrange(30, 150)))
+            rows.append((5000 + 100 * k + i, text, "fr" if k % 2 else f"rare{k}", f"tiny{k}"))
+    plain = " ".join(f"word{i}" for i in range(58))
+    return rows + [(9000, plain + " " + "x" * 17_000_000, "xx", "alone"), (9001, plain + " " + "x" * 1_000_000, "en", "hot")]
+
+
+@pytest.mark.parametrize("rows", [corpus(random.Random(3)), many_sizes(), corpus(random.Random(6))[:9]])
+def test_distances_equal_numpy(spark, rows):
+    few, rows = len(rows) < 50, Q.judged(spark.createDataFrame(rows, COLUMNS)).collect()
     for r, d in zip(rows, brute_force_distances(rows)):
         assert (r.distance is None) == (d is None)
         if d is not None:
@@ -105,7 +122,18 @@ def test_distances_equal_numpy(spark):
             assert r.kept == (not r.base_failed and r.distance <= Q.CUTOFF)
         failed = r.n_words < 50 or 100 * r.n_repeat_words > 50 * r.n_words
         assert r.base_failed == failed and (not failed or not r.kept)
-    assert any(not r.kept and not r.base_failed for r in rows)
+    assert few or any(not r.kept and not r.base_failed for r in rows)
+
+
+def test_an_outlier_is_found_in_a_group_of_any_size(spark):
+    rng = random.Random(2)
+    plain = [(i, " ".join(f"w{rng.randrange(5000)}" for _ in range(400 + 5 * i)), "en", "small") for i in range(10)]
+    odd = (99, "".join(f"w{i} {'#$' * 3} " for i in range(459)), "en", "small")
+    clash = {c: Q.F.lit("x") for c in ("level", "e", "members", "words", "bin", "limit", "_lang", "distance")}
+    docs = spark.createDataFrame([*plain, odd], COLUMNS)
+    assert {r.doc_id for r in Q.judged(docs.withColumns(clash)).collect() if not r.kept} == {99}
+    failing = spark.createDataFrame([(1, "too short", "en", "a"), (2, None, None, None)], COLUMNS)
+    assert [(r.distance, r.kept) for r in Q.judged(failing).collect()] == [(None, False)] * 2
 
 
 def test_rules_on_an_empty_table(spark):
