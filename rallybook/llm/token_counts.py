@@ -13,6 +13,7 @@ them: one per input partition. `BLOCK_TOKENS` bounds what is compared at once.
 from __future__ import annotations
 
 import base64
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,6 +29,8 @@ BLOCK_TOKENS = 1 << 20
 END = 0
 ID_TOKENS = 5
 BATCH_BYTES = 4 << 20
+# Blanks as the pattern means them; on a run of a million the matcher's stack overflows.
+LONG_BLANKS = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{50000,}")
 
 
 def tokenizer(path: str):
@@ -38,6 +41,18 @@ def tokenizer(path: str):
     return tiktoken.Encoding("flat", pat_str=PATTERN, mergeable_ranks=ranks, special_tokens={})
 
 
+def encoded(encoding, text: str) -> list[int]:
+    """The tokens of a text. Long runs of blanks do not go through the pattern, which would give each of them as
+    one piece, without its last blank if a word follows, and go on with that."""
+    out, at = [], 0
+    for run in LONG_BLANKS.finditer(text):
+        stop = run.end() - (run.end() < len(text))
+        out += encoding.encode_ordinary(text[at : run.start()])
+        out += encoding._encode_single_piece(text[run.start() : stop])
+        at = stop
+    return out + encoding.encode_ordinary(text[at:])
+
+
 def id_tokens(ids: np.ndarray) -> np.ndarray:
     """A bigint as five tokens of 13 bits each, none of them `END`. The highest bit is not used by any."""
     parts = [(ids.astype(np.uint64) >> np.uint64(13 * i)) & np.uint64(0x1FFF) for i in range(ID_TOKENS)]
@@ -73,7 +88,7 @@ def write_token_files(docs: DataFrame, path: str, vocabulary: str = VOCABULARY,
             heads[ids.is_null().to_numpy(zero_copy_only=False)] = NO_ID
             lines = []
             for head, text in zip(heads, batch.column("text")):
-                ids = np.array(encoding.encode_ordinary(text.as_py() or ""), np.int64) + 1
+                ids = np.array(encoded(encoding, text.as_py() or ""), np.int64) + 1
                 lines.append(head.tobytes() + ids.astype("<u2").tobytes())
             yield pa.record_batch({"value": pa.array(lines, pa.binary())})
 

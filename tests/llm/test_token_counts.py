@@ -7,6 +7,7 @@ from rallybook.llm.queries import op3_token_counts
 from rallybook.llm.token_counts import (
     ID_TOKENS,
     VOCABULARY,
+    encoded,
     from_id_tokens,
     separator_scan,
     tokenizer,
@@ -52,6 +53,26 @@ def test_round_trip_of_texts(spark, tmp_path):
     assert {r.doc_id: r.n_tokens - ID_TOKENS for r in got.collect()} == expected
 
 
+@pytest.mark.parametrize("blank", [" ", "\n", " \n", "\u3000\t"])
+@pytest.mark.parametrize("before, after", [("a", "b"), ("", "b"), ("a!", ""), ("don't 12", "'s x"), ("", ""), ("a", "\x1cb")])
+def test_long_runs_of_blanks_give_the_same_tokens(blank, before, after):
+    encoding = tokenizer(VOCABULARY)
+    for count in (49_999, 50_000, 60_001):
+        run = (blank * count)[:count]
+        text = f"{before}{run}{after}{run}{after}"
+        assert encoded(encoding, text) == encoding.encode_ordinary(text)
+
+
+def test_a_run_of_blanks_that_the_pattern_cannot_match(spark, tmp_path):
+    """The matcher would panic on these, which ends the task."""
+    texts = ["a" + " " * 1_000_000 + "b", "\n" * 2_000_000, "x" * 1_000_000, "word " * 200_000]
+    write_token_files(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), f"{tmp_path}/tokens")
+    got = {r.n_tokens for r in separator_scan(spark, f"{tmp_path}/tokens").collect()}
+    encoding = tokenizer(VOCABULARY)
+    lines = len(encoding._encode_single_piece("\n" * 2_000_000))
+    assert got == {ID_TOKENS + n for n in (1_000_001, lines, 125_000, 200_001)} and lines < 2_000_000
+
+
 def test_empty_table(spark, tmp_path):
     write_token_files(spark.createDataFrame([], "doc_id long, text string"), f"{tmp_path}/none")
     assert separator_scan(spark, f"{tmp_path}/none").count() == 0
