@@ -13,6 +13,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from rallybook.llm.columns import unused
+
 HOST = r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]+)"
 PATH = r"^[A-Za-z][A-Za-z0-9+.-]*://[^/?#]+(/[^/?#]+)"
 PERIOD_DAYS = 90
@@ -62,22 +64,25 @@ def filtered(captures: DataFrame, entries: DataFrame) -> DataFrame:
 
     An interval holds from its first day to the day before the next entry. A null or unreadable URL
     has no host and is not blocked, nor is a capture without a day. Repeated rows get the same
-    answer each. Empty tables: no rows, or nothing blocked.
+    answer each. Empty tables: no rows, or nothing blocked. Other columns may have any name.
     """
     captures = captures.drop("host", "n_active", "matched", "blocked")
     seen = captures.where("url is not null and day is not null").select("url", "day").distinct()
     keys = seen.withColumn("pattern", F.explode(F.array_distinct(patterns_of(F.col("url")))))
     keys = keys.withColumn("period", period(F.col("day")))
-    # Open intervals reach as far as captures do: one value.
-    horizon = F.lit(captures.agg(F.max("day")).first()[0]).cast("date")
-    ends = F.greatest(F.coalesce(F.date_sub("until", 1), horizon), F.col("since"))
-    held = intervals(entries).withColumn("period", F.explode(F.sequence(period(F.col("since")), period(ends))))
+    # Intervals are laid over the periods that captures are of, however long they last: two values.
+    first, last = (F.lit(day).cast("date") for day in captures.agg(F.min("day"), F.max("day")).first())
+    begin = F.greatest(F.col("since"), first)
+    end = F.least(F.coalesce(F.date_sub("until", 1), last), last)
+    held = intervals(entries).where((begin <= end) & first.isNotNull())
+    held = held.withColumn("period", F.explode(F.sequence(period(begin), period(end))))
     met = keys.join(held, ["pattern", "period"])
     met = met.where("day >= since and (until is null or day < until)")
     longest = F.max(F.struct(F.length("pattern").alias("n"), "pattern"))["pattern"]
     found = met.groupBy("url", "day").agg(F.count("*").alias("n_active"), longest.alias("matched"))
-    named = found.withColumnsRenamed({"url": "_url", "day": "_day"})
-    out = captures.join(named, (F.col("url") == F.col("_url")) & (F.col("day") == F.col("_day")), "left")
+    url, day = unused("_url", captures.columns), unused("_day", captures.columns)
+    named = found.withColumnsRenamed({"url": url, "day": day})
+    out = captures.join(named, (F.col("url") == F.col(url)) & (F.col("day") == F.col(day)), "left")
     host = F.nullif(F.lower(F.regexp_extract("url", HOST, 1)), F.lit(""))
     return out.select(
         *[F.col(c) for c in captures.columns],
