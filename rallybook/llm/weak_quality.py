@@ -15,6 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, functions as F
 
+from rallybook.llm.columns import sampled_by
 from rallybook.llm.quality_rules import statistics
 from rallybook.llm.text import LOWER, U, Texts, flat_texts, hash_spans, mix, slices, split_words
 from rallybook.sources.scratch import stored, work_folder
@@ -139,7 +140,7 @@ def classified(docs: DataFrame, train_rows: int = TRAIN_ROWS) -> DataFrame:
     # Copies of a text have the same votes, so one posterior per text.
     of_text = known.groupBy("_row").agg(F.max("posterior").alias("posterior"), F.count("*").alias("copies"))
     total = of_text.count()
-    chosen = F.pmod(F.xxhash64(F.lit("fit"), "_row"), F.lit(1_000_000)) < 1_000_000 * train_rows // max(total, 1)
+    chosen = sampled_by(F.xxhash64(F.lit("fit"), "_row"), train_rows, total)
     sample = docs.select("_row", "text").join(of_text.where(chosen), "_row").dropDuplicates(["_row"])
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -157,6 +158,8 @@ def classified(docs: DataFrame, train_rows: int = TRAIN_ROWS) -> DataFrame:
 
     features = sample.mapInArrow(extract, "row string, label double, terms array<int>").withColumn("model", F.lit(0))
     fitted = features.groupBy("model").applyInArrow(learn, "weights binary").first()
+    if fitted is None and total:
+        raise ValueError("no text was chosen to fit on")
     weights = np.frombuffer(bytes(fitted[0]), np.float32) if fitted else np.zeros((1 << BITS) + 1, np.float32)
     held = spark.sparkContext.broadcast(weights)
 

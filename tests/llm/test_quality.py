@@ -153,6 +153,52 @@ def test_posteriors_find_the_accuracies():
     assert truth[order[:2000]].mean() < 0.1 and truth[order[-2000:]].mean() > 0.95
 
 
+def test_posteriors_equal_plain_python():
+    """One labeller table and prior after another, pattern by pattern."""
+    import math
+
+    rng = random.Random(1)
+    patterns = np.array([[rng.choice([W.BAD, W.GOOD, W.NONE]) for _ in range(4)] for _ in range(50)])
+    patterns = np.unique(patterns, axis=0)
+    counts = [rng.randrange(1, 40) for _ in patterns]
+    good = [0.1 if W.BAD in p else 0.9 for p in patterns.tolist()]
+    for _ in range(W.ROUNDS):
+        prior, table = [], []
+        for weight in ([1 - g for g in good], good):
+            weight = [w * c for w, c in zip(weight, counts)]
+            prior.append((sum(weight) + 1) / (sum(counts) + 2))
+            seen = [{v: 1 + sum(w for w, p in zip(weight, patterns) if p[j] == v) for v in (W.BAD, W.GOOD, W.NONE)} for j in range(4)]
+            table.append([{v: n / sum(s.values()) for v, n in s.items()} for s in seen])
+        after = []
+        for p in patterns:
+            bad_log, good_log = (math.log(prior[c]) + sum(math.log(table[c][j][v]) for j, v in enumerate(p)) for c in (0, 1))
+            after.append(1 / (1 + math.exp(max(-50, min(50, bad_log - good_log)))))
+        done = max(abs(a - b) for a, b in zip(after, good)) < 1e-9
+        good = after
+        if done:
+            break
+    assert W.posteriors(patterns, np.array(counts, float)) == pytest.approx(good, abs=1e-9)
+
+
+def test_a_share_of_any_number_of_rows(spark):
+    from rallybook.llm.columns import sampled_by, unused
+
+    hashes = spark.range(100_000).withColumn("h", Q.F.xxhash64("id"))
+    for rows, total in ((100_000, 100_000), (50_000, 100_000), (5, 3), (10**10, 10**12), (10_000, 10**11)):
+        found = hashes.where(sampled_by(Q.F.col("h"), rows, total)).count()
+        assert found == pytest.approx(100_000 * min(1, rows / total), abs=500)
+    least = spark.createDataFrame([(0,), (1,), (-1,)], "h long")
+    # Shares far below one in 10^10 still choose some hashes, and no share leaves any out of all.
+    assert least.where(sampled_by(Q.F.col("h"), 10_000, 10**16)).count() == 2
+    assert least.where(sampled_by(Q.F.col("h"), 7, 7)).count() == 3
+    assert unused("_url", ["_URL", "_url_"]) == "_url__"
+
+
+def test_nothing_to_fit_on_fails(spark):
+    with pytest.raises(ValueError, match="no text was chosen"):
+        W.classified(spark.createDataFrame([(1, "some text"), (2, "other")], "doc_id long, text string"), train_rows=0).collect()
+
+
 def test_scorer_against_labels_it_never_saw(spark):
     sf = "/root/testdata/sf0.01"
     rows = W.classified(spark.read.parquet(f"{sf}/documents.parquet"))
