@@ -18,6 +18,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
+from rallybook.llm.columns import sampled_by
 from rallybook.llm.text import LOWER, U, Texts, flat_texts, hash_spans, mix, slices, split_words
 
 BITS = 18
@@ -103,22 +104,22 @@ def trained(docs: DataFrame, labels: DataFrame, rows: int = TRAIN_ROWS) -> dict[
     count = known.count()
     if not count:
         return None
-    if count > rows:
-        known = known.where(F.pmod(F.xxhash64(F.lit("fit"), "doc_id"), F.lit(1_000_000)) < 1_000_000 * rows // count)
-    sample = docs.select("doc_id", "text").join(known, "doc_id")
+    known = known.where(sampled_by(F.xxhash64(F.lit("fit"), "doc_id"), rows, count))
+    sample = docs.select("doc_id", "text").join(known, "doc_id").withColumn("hash", F.xxhash64("text"))
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", BATCH_BYTES):
             found, of = terms(flat_texts(batch.column("text")))
             lists = pa.ListArray.from_arrays(pa.array(of, pa.int32()), pa.array(found.astype(np.int32)))
-            yield pa.record_batch({"doc_id": batch.column("doc_id"), "toxic": batch.column("toxic").cast(pa.int32()), "terms": lists})
+            yield pa.record_batch({"doc_id": batch.column("doc_id"), "hash": batch.column("hash"), "toxic": batch.column("toxic").cast(pa.int32()), "terms": lists})
 
     def learn(table: pa.Table) -> pa.Table:
-        table = table.sort_by("doc_id")
+        # Rows that share an id are in one order too, whatever task they come from.
+        table = table.sort_by([("doc_id", "ascending"), ("hash", "ascending")])
         model = fit([x.values.to_numpy() for x in table["terms"]], table["toxic"].to_numpy().astype(float))
         return pa.table({"name": list(model), "data": pa.array([m.tobytes() for m in model.values()], pa.binary())})
 
-    features = sample.mapInArrow(extract, "doc_id long, toxic int, terms array<int>").withColumn("model", F.lit(0))
+    features = sample.mapInArrow(extract, "doc_id long, hash long, toxic int, terms array<int>").withColumn("model", F.lit(0))
     fitted = features.groupBy("model").applyInArrow(learn, "name string, data binary").collect()
     if not fitted:
         return None
