@@ -57,21 +57,33 @@ def windows(n: Column) -> Column:
     return F.transform(starts, lambda i: F.concat_ws(" ", F.slice("words", i + 1, n)))
 
 
-def items_of(benchmark: DataFrame, nameless: bool = False) -> DataFrame:
-    """`item`, `words`, `h` and the length `m` of the windows of each item; `nameless` takes those
-    without an id too."""
-    items = benchmark if nameless else benchmark.where("item_id is not null")
-    items = items.select(F.col("item_id").cast("string").alias("item"), words(F.col("text")).alias("words"))
+def places_of(prints: str, marks: str, steps: str) -> Column:
+    """Where the prints of a text are among its marks, which are sorted, by binary search: `steps` are the
+    powers of two below the number of marks, falling. All three have to be columns of a table."""
+
+    def last_not_above(x):
+        def further(at, step):
+            return F.when(F.get(marks, at + step) <= x, at + step).otherwise(at)
+
+        return F.get(marks, F.aggregate(steps, F.lit(0), further))
+
+    return F.filter(
+        F.transform(prints, lambda x, i: F.when(last_not_above(x) == x, i)), lambda i: i.isNotNull()
+    )
+
+
+def items_of(benchmark: DataFrame) -> DataFrame:
+    """`item`, `words`, `h` and the length `m` of the windows of each item."""
+    items = benchmark.select(F.col("item_id").cast("string").alias("item"), words(F.col("text")).alias("words"))
     items = items.where(F.size("words") > 0).withColumn("m", F.least(F.size("words"), F.lit(WINDOW)))
     return hashed(items)
 
 
-def occurrences(docs: DataFrame, benchmark: DataFrame, nameless: bool = False) -> tuple[DataFrame, DataFrame]:
+def occurrences(docs: DataFrame, benchmark: DataFrame) -> tuple[DataFrame, DataFrame]:
     """All rows of `docs` (doc_id, key of the text, n_words), and where distinct texts hold a
-    window of an item: `key`, `at` (first word), `m` words, `item`. With `nameless`, items without an
-    id count too, with a null `item`."""
+    window of an item: `key`, `at` (first word), `m` words, `item`, null for items without an id."""
     folder = work_folder(docs.sparkSession)
-    items = stored(items_of(benchmark, nameless), f"{folder}/items")
+    items = stored(items_of(benchmark), f"{folder}/items")
     short = [r.m for r in items.select("m").distinct().collect() if r.m < WINDOW]
     text = docs.select("doc_id", "text", F.md5("text").alias("key"))
     split = hashed(text.select("doc_id", "key", words(F.col("text")).alias("words")))
@@ -89,8 +101,11 @@ def occurrences(docs: DataFrame, benchmark: DataFrame, nameless: bool = False) -
         pairs = of_docs.join(of_items, "mark").select("key", F.lit(m or WINDOW).alias("m"), "mark")
         met = pairs if met is None else met.union(pairs)
     # A text has no more marks than words.
-    met = met.distinct().groupBy("key", "m").agg(F.collect_list("mark").alias("marks"))
-    met = stored(met, f"{folder}/met")
+    met = met.distinct().groupBy("key", "m").agg(F.sort_array(F.collect_list("mark")).alias("marks"))
+    bits = F.ceil(F.log2(F.size("marks").cast("double"))).cast("int")
+    powers = F.transform(F.sequence(bits - 1, F.lit(0)), lambda i: F.pow(F.lit(2), i).cast("int"))
+    steps = F.when(bits > 0, powers).otherwise(F.array().cast("array<int>"))
+    met = stored(met.withColumn("steps", steps), f"{folder}/met")
     # Texts that met are too many to broadcast as soon as there are many documents.
     some = met.select("key").distinct().hint("shuffle_hash")
     texts = text.join(some, "key", "left_semi").select("key", "text").dropDuplicates(["key"])
@@ -99,10 +114,8 @@ def occurrences(docs: DataFrame, benchmark: DataFrame, nameless: bool = False) -
     for m in short:
         own = own.when(F.col("m") == m, grams("h", m))
     texts = texts.withColumn("own", own)
-    near = F.filter(
-        F.transform("own", lambda x, i: F.when(F.array_contains("marks", x), i)), lambda i: i.isNotNull()
-    )
-    found = texts.select("key", "m", "words", near.alias("near")).select("key", "m", "words", F.explode("near").alias("at"))
+    texts = texts.withColumn("near", places_of("own", "marks", "steps"))
+    found = texts.select("key", "m", "words", F.explode("near").alias("at"))
     found = found.select("key", "m", "at", F.concat_ws(" ", F.slice("words", F.col("at") + 1, F.col("m"))).alias("window"))
     wanted = items.select("item", "m", F.explode(windows(F.col("m"))).alias("window")).distinct()
     hits = found.join(wanted, ["m", "window"]).select("key", "at", "m", "item")
@@ -114,8 +127,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     ids as strings, sorted) and `contaminated` for every row of `docs`.
 
     A window is ten consecutive words of an item, or a shorter item whole. Null or empty texts and
-    items without words have none. An item without an id is left out; items that share an id are
-    one. Documents: repeated rows and null ids get an answer each. Empty tables: no rows, or
+    items without words have none. An item without an id makes hits but is not among `items`; items that share an
+    id are one. Documents: repeated rows and null ids get an answer each. Empty tables: no rows, or
     no hits. Other columns are not looked at.
     """
     rows, hits = occurrences(docs, benchmark)

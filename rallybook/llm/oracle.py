@@ -67,7 +67,7 @@ from x join g on x.source is not distinct from g.source
 """
 
 DECONTAMINATION = f"""
-with i as (select cast(item_id as varchar) as item, {lowered("text", PLAIN)} as w from benchmark where item_id is not null),
+with i as (select cast(item_id as varchar) as item, {lowered("text", PLAIN)} as w from benchmark),
 iw as (select distinct item, m, array_to_string(w[j:j + m - 1], ' ') as g
        from (select *, unnest(range(1, len(w) - m + 2)) as j
              from (select *, least(len(w), 10) as m from i where len(w) > 0) y) x),
@@ -78,7 +78,7 @@ dw as (select doc_id, m, j, array_to_string(w[j:j + m - 1], ' ') as g
 h as (select doc_id, j, dw.m, item from dw join iw on dw.g = iw.g and dw.m = iw.m),
 n as (select doc_id, count(distinct p) as n_hit from (select doc_id, unnest(range(j, j + m)) as p from h) x group by doc_id),
 t as (select doc_id, count(*) as n_items, string_agg(item, ',' order by item) as items
-      from (select distinct doc_id, item from h) x group by doc_id)
+      from (select distinct doc_id, item from h where item is not null) x group by doc_id)
 select doc_id, cast(len(w) as bigint) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
  sha256(coalesce(items, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
 from d left join n using (doc_id) left join t using (doc_id)

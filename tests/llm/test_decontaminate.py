@@ -16,9 +16,9 @@ def brute_force(docs, items):
     for item, text in items:
         w = words(text)
         n = min(len(w), 10)
-        if item is not None and n:
+        if n:
             for i in range(len(w) - n + 1):
-                windows.setdefault(tuple(w[i : i + n]), set()).add(str(item))
+                windows.setdefault(tuple(w[i : i + n]), set()).update([] if item is None else [str(item)])
     out = []
     for d, text in docs:
         w, hit, found = words(text), set(), set()
@@ -60,6 +60,25 @@ def test_windows_of_any_length(spark, short):
     assert found(spark, docs, items) == brute_force(docs, items)
 
 
+def test_a_text_that_holds_a_whole_long_item(spark):
+    """With as many marks as the item has windows, and prints that come many times over."""
+    rng = random.Random(7)
+    long = " ".join(f"w{rng.randrange(3000)}" for _ in range(6000)) + " same" * 400
+    items = [(1, long), (None, " ".join(f"v{rng.randrange(50)}" for _ in range(300))), (2, "ten " * 10)]
+    docs = [(1, long), (2, "begin " + long[300:20_000] + " end"), (3, items[1][1]), (4, "same " * 30), (5, "ten " * 12)]
+    assert found(spark, docs, items) == brute_force(docs, items)
+
+
+def test_clashing_columns(spark):
+    from pyspark.sql import functions as F
+
+    clash = {c: F.lit(1) for c in ("key", "mark", "marks", "item", "m", "h", "prints", "own", "near", "window", "words", "n_words")}
+    item = "one two three four five six seven eight nine ten eleven"
+    docs = spark.createDataFrame([(1, f"a {item} b"), (2, "clean")], "doc_id long, text string").withColumns(clash)
+    items = spark.createDataFrame([(7, item)], "item_id long, text string").withColumns(clash)
+    assert sorted(map(tuple, contamination(docs, items).collect())) == [(1, 13, 11, ["7"], True), (2, 1, 0, [], False)]
+
+
 def test_empty_tables(spark):
     assert found(spark, [], [(1, "a b c")]) == []
     assert found(spark, [(1, "a b c")], []) == [(1, 3, 0, [], False)]
