@@ -43,6 +43,9 @@ from (select *, case when other % 25 <> 9 then other when other - 1 <> w then ot
                   from {lineitem} join {orders} on l_orderkey = o_orderkey) j) k) x
 """
 
+# Some figures with a word in them, some blank.
+UNTIDY_SQL = "case round when 'QF' then l_bpFaced || ' or so' when 'SF' then ' ' else l_bpFaced end"
+
 # A name over three lines, with what CSV has to quote.
 BROKEN_NAME_SQL = "name_last || chr(10) || '\"' || name_last || '\",' || chr(10) || chr(10) || ioc"
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
+from rallybook.functions.columns import unused
+
 
 def estimated_bytes(df: DataFrame) -> int:
     """Catalyst's size estimate, the one that Spark's own broadcast decision uses."""
@@ -33,14 +35,14 @@ def lookup_join(
     is usually fresh from a group-by on its key) adaptive execution could not split what
     is still too large. The salt depends on the row alone, so a repeated task repeats it.
     """
-    renamed = [f"_key_{i}" for i in range(len(keys))]
+    named = facts.columns + lookup.columns
+    renamed = [unused(f"_key_{i}", named) for i in range(len(keys))]
+    salt, other_salt = unused("_salt", named), unused("_lookup_salt", named)
     lookup = lookup.withColumnsRenamed(dict(zip(lookup.columns, renamed)))
     matched = [F.col(key) == F.col(other) for key, other in zip(keys, renamed)]
     if fits_broadcast(lookup):
         return facts.join(lookup, matched, "left").drop(*renamed)
-    facts = facts.withColumn("_salt", F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int"))
-    lookup = lookup.select(
-        "*", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias("_lookup_salt")
-    )
-    matched.append(F.col("_salt") == F.col("_lookup_salt"))
-    return facts.join(lookup, matched, "left").drop("_salt", "_lookup_salt", *renamed)
+    facts = facts.withColumn(salt, F.pmod(F.xxhash64(*spread), F.lit(salts)).cast("int"))
+    lookup = lookup.select("*", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))).alias(other_salt))
+    matched.append(F.col(salt) == F.col(other_salt))
+    return facts.join(lookup, matched, "left").drop(salt, other_salt, *renamed)

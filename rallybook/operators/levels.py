@@ -11,6 +11,7 @@ from rallybook.operators.metrics import distinct_tournaments, won_or_lost
 from rallybook.operators.rollup import tournament_rollup
 from rallybook.operators.sides import at_level, finals, sides
 from rallybook.schemas import DAVIS_CUP, GRAND_SLAM, MASTERS_1000
+from rallybook.sources.scratch import stored, work_folder
 
 MOST_LEVELS = 100
 
@@ -141,10 +142,13 @@ def level_pivot_from(rollup: DataFrame, levels=None) -> DataFrame:
 
 
 def level_pivot(matches: DataFrame, levels=None) -> DataFrame:
-    """The same from the matches. Finding the levels is a scan of its own; give them to save it."""
+    """The same from one scan of the matches. Without `levels` their counts are stored first, and both the
+    levels and the figures are taken from those."""
+    rollup = tournament_rollup(sides(matches), by_level=True)
     if levels is None:
-        levels = found_levels(matches)
-    return level_pivot_from(tournament_rollup(sides(matches), by_level=True), levels)
+        counts = rollup.groupBy("player_id", "tourney_level").agg(*[F.sum(c).alias(c) for c in ("won", "lost")])
+        rollup = stored(counts, f"{work_folder(matches.sparkSession)}/levels")
+    return level_pivot_from(rollup, levels)
 
 
 def level_figures_from(rollup: DataFrame, names: LevelNames = GS) -> list[DataFrame]:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from rallybook.functions.columns import unused
 from rallybook.functions.scalars import full_name, prefer_canonical
 from rallybook.operators.joins import lookup_join
 from rallybook.operators.sides import id_column, sides
@@ -26,14 +27,14 @@ def other_columns(side: str) -> list[str]:
 
 def repair_names(matches: DataFrame, players: DataFrame) -> DataFrame:
     """Winner and loser names spelled as in the players table; unknown names stay unknown."""
-    names = canonical_names(players)
+    names, canonical = canonical_names(players), unused("_canonical", matches.columns)
     for side in ("winner", "loser"):
-        lookup = names.select("player_id", F.col("full_name").alias("_canonical"))
+        lookup = names.select("player_id", F.col("full_name").alias(canonical))
         matches = lookup_join(
             matches, lookup, [f"{side}_id"], other_columns(side), salts=NAME_SALTS
         )
-        fixed = prefer_canonical(F.col(f"{side}_name"), F.col("_canonical"))
-        matches = matches.withColumn(f"{side}_name", fixed).drop("_canonical")
+        fixed = prefer_canonical(F.col(f"{side}_name"), F.col(canonical))
+        matches = matches.withColumn(f"{side}_name", fixed).drop(canonical)
     return matches
 
 
@@ -49,12 +50,13 @@ def name_corrections(matches: DataFrame, players: DataFrame) -> DataFrame:
 def correct_names(matches: DataFrame, corrections: DataFrame) -> DataFrame:
     """What `repair_names` gives, by way of the corrections. Given a table of them that is small
     enough to broadcast, the matches are not shuffled, however many players there are."""
+    canonical = unused("_canonical", matches.columns)
     for side in ("winner", "loser"):
-        lookup = corrections.select("player_id", "name", F.col("full_name").alias("_canonical"))
+        lookup = corrections.select("player_id", "name", F.col("full_name").alias(canonical))
         keys = [f"{side}_id", f"{side}_name"]
         matches = lookup_join(matches, lookup, keys, other_columns(side), salts=NAME_SALTS)
-        fixed = F.coalesce("_canonical", f"{side}_name")
-        matches = matches.withColumn(f"{side}_name", fixed).drop("_canonical")
+        fixed = F.coalesce(canonical, f"{side}_name")
+        matches = matches.withColumn(f"{side}_name", fixed).drop(canonical)
     return matches
 
 
@@ -111,10 +113,11 @@ def fill_names(players: DataFrame, matches: DataFrame) -> DataFrame:
     # Distinct pairs first: they are found by hashing, while the smallest of strings is found by
     # sorting, which should not be done to every match.
     named = sides(matches).select("player_id", "name").distinct()
-    found = named.groupBy("player_id").agg(F.min("name").alias("_name"))
-    rows = players.withColumn("_id", id_column(players, "player_id"))
-    rows = lookup_join(rows, found, ["_id"], ["name_first", "name_last"])
-    name, first, last = F.col("_name"), F.col("name_first"), F.col("name_last")
+    own_id, own_name = unused("_id", players.columns), unused("_name", players.columns)
+    found = named.groupBy("player_id").agg(F.min("name").alias(own_name))
+    rows = players.withColumn(own_id, id_column(players, "player_id"))
+    rows = lookup_join(rows, found, [own_id], ["name_first", "name_last"])
+    name, first, last = F.col(own_name), F.col("name_first"), F.col("name_last")
     cut = F.instr(name, " ")
     length = F.length(name)
     head = F.when(cut > 1, F.substring(name, F.lit(1), cut - 1))
@@ -132,7 +135,7 @@ def fill_names(players: DataFrame, matches: DataFrame) -> DataFrame:
             "name_first": F.coalesce(first, before_last, head),
             "name_last": F.coalesce(last, after_first, tail),
         }
-    ).drop("_id", "_name")
+    ).drop(own_id, own_name)
 
 
 def find_ids(players: DataFrame, *names: str) -> DataFrame:

@@ -68,6 +68,14 @@ def break_points_from(rollup: DataFrame, outcome: str, name: str) -> DataFrame:
     )
 
 
+def break_point_figures(rollup: DataFrame) -> dict[str, DataFrame]:
+    """The two break-point figures, each a table of its own."""
+    return {
+        "bp_lost": break_points_from(rollup, "lost", "carrer_losses_bp_saved_%"),
+        "bp_won": break_points_from(rollup, "won", "carrer_wins_bp_saved_%"),
+    }
+
+
 def career_figures(rollup: DataFrame) -> dict[str, DataFrame]:
     """Each career figure as a table of its own, from one row per player and tournament."""
     in_final = rollup.where(F.col("finals_won") + F.col("finals_lost") > 0)
@@ -78,8 +86,7 @@ def career_figures(rollup: DataFrame) -> dict[str, DataFrame]:
     return {
         "losses": per_player(rollup, "lost", "matches_lost"),
         "wins": per_player(rollup, "won", "matches_won"),
-        "bp_lost": break_points_from(rollup, "lost", "carrer_losses_bp_saved_%"),
-        "bp_won": break_points_from(rollup, "won", "carrer_wins_bp_saved_%"),
+        **break_point_figures(rollup),
         "finals_played": tournaments(in_final, "finals_played"),
         "finals_won": tournaments(rollup.where("finals_won > 0"), "finals_won"),
         "tournaments_played": tournaments(rollup, "tournaments_played"),

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from rallybook.fixtures import BROKEN_NAME_SQL, MATCHES_SQL, PLAYERS_SQL, TABLES
+from rallybook.fixtures import BROKEN_NAME_SQL, MATCHES_SQL, PLAYERS_SQL, TABLES, UNTIDY_SQL
 
 NAMES = {t: t for t in TABLES}
 
@@ -225,6 +225,38 @@ select distinct 'atp_matches_' || year || '.csv' as name from m where year % 2 <
 union all select 'atp_players.csv'
 """
 
+NO_DATE = "try_strptime(cast(cast(try_cast(dob as double) as int) as varchar), '%Y%m%d') is null"
+
+REJECTED = f"""
+select 'dob' as "column", dob as value, count(*) as "rows" from p where {NO_DATE} and dob is not null group by dob
+union all
+select 'l_bpFaced', value, count(*) from (select {UNTIDY_SQL} as value from m) x
+where trim(value) <> '' and try_cast(value as double) is null group by value
+"""
+
+UNREAD_COLUMNS = {
+    "p": {"player_id": "player_id", "dob": "dob"},
+    "m": {c: c for c in ("winner_id", "loser_id", "w_bpSaved", "w_bpFaced", "l_bpSaved")} | {"l_bpFaced": UNTIDY_SQL},
+}
+
+UNREAD = "select *, round(unread / nullif(\"values\", 0) * 100, 2) as \"unread_%\" from (" + " union all ".join(
+    f"""select '{name}' as "column", count(*) filter (where trim({value}) <> '') as "values",
+     count(*) filter (where trim({value}) <> '' and {NO_DATE if name == 'dob' else f'try_cast({value} as double) is null'}) as unread
+    from {table}"""
+    for table, columns in UNREAD_COLUMNS.items()
+    for name, value in columns.items()
+) + ") u"
+
+REPORT = f"""
+select 'players' as "table", 'read' as finding, cast(null as varchar) as "column", count(*) as "rows" from p
+union all select 'matches', 'read', null, count(*) from m
+union all select 'players', 'unread', 'dob', count(*) from p where {NO_DATE} and dob is not null
+union all select 'players', 'unread', 'player_id', 0
+union all select 'matches', 'unread', unnest(['winner_id', 'loser_id', 'w_bpSaved', 'w_bpFaced', 'l_bpSaved', 'l_bpFaced']), 0
+union all select 'players', 'repeated', 'player_id', count(*)
+ from (select player_id from players group by player_id having count(*) > 1) r
+"""
+
 GS_SQL = with_blocks(level_sql("G", "gs", "gs"), *SIDES)
 CAREER_SQL = with_blocks(CAREER, *CAREER_BLOCKS)
 
@@ -321,6 +353,19 @@ ORACLE_SQL: dict[str, str] = {
     "bronze_relanding": with_blocks(
         "select 'atp_matches_' || year || '.csv' as name, count(*) as landed_rows from m group by year", "m"
     ),
+    "player_lookup_indexed": with_blocks(
+        "select player_id from players where full_name in "
+        "('Customer 000000001', 'Customer 000000042', 'Customer 000000099')",
+        "p",
+        "players",
+    ),
+    "rejected_values": with_blocks(REJECTED, "p", "m"),
+    "unread_counts": with_blocks(UNREAD, "p", "m"),
+    "streaming_counts": with_blocks(PLAYER_TOURNAMENTS, *SIDES),
+    "streaming_matches": with_blocks(
+        "select 'atp_matches_' || year || '.csv' as name, year, count(*) as landed_rows from m group by year", "m"
+    ),
+    "pipeline_report": with_blocks(REPORT, "p", "players", "m"),
     "incremental_run": with_blocks(
         f"select * from ({CAREER}) c left join ({LOSS_RATES}) l using (player_id)", *CAREER_BLOCKS
     ),

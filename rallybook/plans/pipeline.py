@@ -16,9 +16,11 @@ from rallybook.operators.levels import (
     loss_rates_from,
 )
 from rallybook.operators.names import name_corrections
+from rallybook.operators.rejects import MATCH_PARSERS, PLAYER_PARSERS, observed
 from rallybook.operators.rollup import over_levels, tournament_rollup
 from rallybook.operators.sides import sides, with_int_break_points
 from rallybook.plans.gold import player_statistics_from
+from rallybook.plans.report import run_report
 from rallybook.plans.silver import (
     backfill_names,
     silver_matches_by,
@@ -35,6 +37,7 @@ from rallybook.schemas import (
     PLAYER_TOURNAMENTS_TABLE,
     PLAYERS_SOURCE,
     PLAYERS_TABLE,
+    REPORT_TABLE,
 )
 from rallybook.sources.landing import land_bronze, load_matches
 from rallybook.sources.parallel import run_together
@@ -70,9 +73,12 @@ def bronze_to_silver(
     players there are.
 
     `backfill` fills missing player names from the matches before nameless players are left out.
+
+    A small report says how many values could not be read, counted in the passes that write the tables.
     """
     raw = load_csv(spark, lake, Layer.BRONZE, PLAYERS_SOURCE)
     matches = load_matches(spark, lake)
+    raw, players_seen = observed(raw, PLAYER_PARSERS)
     players = backfill_names(raw, matches) if backfill else silver_players(raw)
     write_table(players, lake, Layer.SILVER, PLAYERS_TABLE, fmt)
     players = read_silver(spark, lake, PLAYERS_TABLE, fmt)
@@ -80,10 +86,13 @@ def bronze_to_silver(
     by_year = None if fmt == "csv" else "year"
     write_table(name_corrections(matches, players), lake, Layer.SILVER, CORRECTIONS_TABLE)
     lookup = read_table(spark, lake, Layer.SILVER, CORRECTIONS_TABLE)
+    matches, matches_seen = observed(matches, MATCH_PARSERS)
     repaired = silver_matches_by(matches, lookup)
     # With the lookup broadcast, each task still has the rows of its input files, so few years.
     mixed = not fits_broadcast(lookup)
     write_table(repaired, lake, Layer.SILVER, MATCHES_TABLE, fmt, by_year, gather=mixed)
+    report = run_report(spark, {"players": players_seen, "matches": matches_seen}, players)
+    write_table(report, lake, Layer.SILVER, REPORT_TABLE)
 
 
 def silver_to_gold(

@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import partial
 
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rallybook import fixtures
-from rallybook.operators import levels, metrics, names, rollup
-from rallybook.operators.sides import finals_rows, sides, with_int_break_points
+from rallybook.operators import levels, metrics, names, rejects, rollup
+from rallybook.operators.sides import at_level, finals_rows, sides, with_int_break_points
 from rallybook.plans import gold, pipeline, silver, update
 from rallybook.schemas import (
     GS_STATISTICS_TABLE,
@@ -19,6 +20,7 @@ from rallybook.schemas import (
     PLAYER_STATISTICS_TABLE,
     PLAYERS_SOURCE,
     PLAYERS_TABLE,
+    REPORT_TABLE,
 )
 from rallybook.sources import ledger
 from rallybook.sources.landing import (
@@ -29,6 +31,8 @@ from rallybook.sources.landing import (
     missing_sources,
     source_manifest,
 )
+from rallybook.sources.layout import bucketed, write_lookup
+from rallybook.sources.parallel import run_together
 from rallybook.sources.scratch import stored, work_folder
 from rallybook.sources.tables import (
     CSV_OPTIONS,
@@ -40,6 +44,7 @@ from rallybook.sources.tables import (
     read_table,
     write_table,
 )
+from rallybook.streaming import arrivals
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -58,20 +63,27 @@ def on_both(operator: Callable[[DataFrame, DataFrame], DataFrame]) -> Query:
     return query
 
 
-def stored_rollup(spark, sf_dir, by_level: bool = False) -> DataFrame:
-    """The rollup as a table, which all figures of a joined query read."""
-    rows = rollup.tournament_rollup(sides(fixtures.matches(spark, sf_dir)), by_level)
-    return stored(rows, f"{work_folder(spark)}/rollup")
+def stored_rollup(spark, sf_dir, *sums: str, level: str | None = None) -> DataFrame:
+    """The rollup as a table in buckets by player, which all figures of a joined query read without
+    a shuffle. Only the sums that are named are made, all by default, and only of one level if given."""
+    matches = fixtures.matches(spark, sf_dir)
+    if level is not None:
+        matches = at_level(matches, level)
+    rows = rollup.tournament_rollup(sides(matches), by_level=level is not None)
+    keys = [c for c in rows.columns if c not in rollup.SUMS]
+    return bucketed(rows.select(*keys, *(sums or rollup.SUMS)), f"{work_folder(spark)}/rollup", "player_id")
 
 
 def win_loss_joined(spark, sf_dir):
-    part = rollup.career_figures(stored_rollup(spark, sf_dir))
-    return metrics.join_win_loss(part["losses"], part["wins"])
+    counts = stored_rollup(spark, sf_dir, "won", "lost")
+    lost, won = rollup.per_player(counts, "lost", "matches_lost"), rollup.per_player(counts, "won", "matches_won")
+    return metrics.join_win_loss(lost, won)
 
 
 def break_points_joined(won_key_only: bool = False) -> Query:
     def query(spark, sf_dir):
-        part = rollup.career_figures(stored_rollup(spark, sf_dir))
+        sums = [name for name in rollup.SUMS if not name.startswith("finals")]
+        part = rollup.break_point_figures(stored_rollup(spark, sf_dir, *sums))
         return metrics.join_break_points(part["bp_lost"], part["bp_won"], won_key_only)
 
     return query
@@ -82,7 +94,8 @@ def player_statistics_joined(spark, sf_dir):
 
 
 def gs_statistics_joined(spark, sf_dir):
-    return levels.join_level_figures(stored_rollup(spark, sf_dir, by_level=True))
+    counts = stored_rollup(spark, sf_dir, "won", "lost", "finals_won", level=levels.GS.level)
+    return levels.join_level_figures(counts)
 
 
 def stored_players(spark, sf_dir) -> DataFrame:
@@ -111,6 +124,30 @@ def player_lookup(spark, sf_dir):
     )
 
 
+def player_lookup_indexed(spark, sf_dir):
+    """The same from files laid out for it."""
+    path = f"{work_folder(spark)}/players"
+    write_lookup(silver_players(spark, sf_dir), path, "full_name", "player_id")
+    return names.find_ids(
+        spark.read.parquet(path), "Customer 000000001", "Customer 000000042", "Customer 000000099"
+    )
+
+
+def untidy_matches(spark, sf_dir) -> DataFrame:
+    """Matches with more values that are no numbers than the adapter has."""
+    return fixtures.matches(spark, sf_dir).withColumn("l_bpFaced", F.expr(fixtures.UNTIDY_SQL))
+
+
+def rejected_values(spark, sf_dir):
+    found = rejects.rejected_values(fixtures.players(spark, sf_dir), rejects.PLAYER_PARSERS)
+    return found.union(rejects.rejected_values(untidy_matches(spark, sf_dir), rejects.MATCH_PARSERS))
+
+
+def unread_counts(spark, sf_dir):
+    found = rejects.unread_counts(fixtures.players(spark, sf_dir), rejects.PLAYER_PARSERS)
+    return found.union(rejects.unread_counts(untidy_matches(spark, sf_dir), rejects.MATCH_PARSERS))
+
+
 def csv_roundtrip(spark, sf_dir):
     lake = Lake(work_folder(spark))
     write_table(fixtures.players(spark, sf_dir), lake, Layer.SILVER, PLAYERS_TABLE, "csv")
@@ -307,6 +344,41 @@ def failed_replacement(spark, sf_dir):
     raise RuntimeError("the second write should have failed")
 
 
+def arrived_lake(spark, sf_dir) -> Lake:
+    """Years that arrive in two goes in one folder; the stream takes in what is new after each."""
+    folder = work_folder(spark)
+    sources = write_raw(spark, sf_dir, f"{folder}/raw").where("name like '%matches%'").collect()
+    lake = Lake(f"{folder}/lake")
+    late = f"{MATCHES_SOURCE_PREFIX}{last_year(spark, sf_dir)}.csv"
+    for go in (False, True):
+        arriving = [row for row in sources if (row.name == late) == go]
+        run_together(spark, [partial(arrive, spark, row.path, f"{folder}/arriving/{row.name}") for row in arriving])
+        arrivals.take_arrivals(spark, f"{folder}/arriving", lake)
+    return lake
+
+
+def arrive(spark, source: str, target: str) -> None:
+    read_csv(spark, source).write.options(**CSV_OPTIONS).csv(target)
+
+
+def streaming_counts(spark, sf_dir):
+    return arrivals.arrived_counts(spark, arrived_lake(spark, sf_dir))
+
+
+def streaming_matches(spark, sf_dir):
+    """Rows per source, and in how many goes they came."""
+    source = F.regexp_extract("path", r"/arriving/([^/]+)", 1)
+    rows = arrivals.arrived_matches(spark, arrived_lake(spark, sf_dir))
+    return rows.groupBy(source.alias("name"), "year").agg(F.count("*").alias("landed_rows"))
+
+
+def pipeline_report(spark, sf_dir):
+    folder = work_folder(spark)
+    lake = Lake(f"{folder}/lake")
+    pipeline.run_pipeline(spark, write_raw(spark, sf_dir, f"{folder}/raw"), lake)
+    return read_table(spark, lake, Layer.SILVER, REPORT_TABLE)
+
+
 def gold_table(name: str) -> Query:
     def query(spark, sf_dir):
         folder = work_folder(spark)
@@ -327,6 +399,9 @@ QUERIES: dict[str, Query] = {
     "name_candidates": on_both(names.name_candidates),
     "backfill_names": backfill_names,
     "player_lookup": player_lookup,
+    "player_lookup_indexed": player_lookup_indexed,
+    "rejected_values": rejected_values,
+    "unread_counts": unread_counts,
     # Career figures
     "match_sides": on_matches(sides),
     "gold_matches": on_matches(with_int_break_points),
@@ -372,6 +447,9 @@ QUERIES: dict[str, Query] = {
     "bronze_landing": bronze_landing,
     "bronze_relanding": bronze_relanding,
     "missing_sources": missing_sources_listed,
+    "streaming_counts": streaming_counts,
+    "streaming_matches": streaming_matches,
+    "pipeline_report": pipeline_report,
     "incremental_run": updated_table(PLAYER_STATISTICS_TABLE),
     "incremental_gs": updated_table(GS_STATISTICS_TABLE),
     "incremental_years": updated_years,

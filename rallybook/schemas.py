@@ -20,6 +20,7 @@ PLAYER_TOURNAMENTS_TABLE = "df_player_tournaments"
 YEARLY_TOURNAMENTS_TABLE = "df_yearly_player_tournaments"
 CORRECTIONS_TABLE = "df_name_corrections"
 ALL_MATCHES_TABLE = "df_all_matches"
+REPORT_TABLE = "df_run_report"
 LEVEL_PIVOT_TABLE = "df_level_pivot"
 
 # Codes found in the data.

@@ -163,8 +163,9 @@ def headers(spark: SparkSession, paths: list[str], broken: set[str]) -> dict[tup
     return groups
 
 
-def read_csv_by_name(spark: SparkSession, paths) -> DataFrame:
-    """Files with different headers as one DataFrame, columns matched by name, gaps NULL.
+def read_csv_by_name(spark: SparkSession, paths, with_path: bool = False) -> DataFrame:
+    """Files with different headers as one DataFrame, columns matched by name, gaps NULL; `with_path`
+    adds the file each row came from.
 
     Files that share a header share one scan, so the plan grows with the number of
     different headers and not with the number of files.
@@ -172,7 +173,7 @@ def read_csv_by_name(spark: SparkSession, paths) -> DataFrame:
     paths = expanded(spark, paths)
     broken = sources_with_line_breaks(spark, paths)
     groups = headers(spark, paths, broken)
-    parts = [with_header(spark, group, header, broken=broken) for header, group in groups.items()]
+    parts = [with_header(spark, group, header, with_path, broken) for header, group in groups.items()]
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
