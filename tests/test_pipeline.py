@@ -82,6 +82,7 @@ def test_pipeline(spark, raw, tmp_path, broadcast_limit, silver_fmt, gold_fmt, b
         "df_matches",
         "df_name_corrections",
         "df_players",
+        "df_run_report",
     ]
     assert run_pipeline(spark, raw, lake, silver_fmt, gold_fmt, backfill) == []
     same(gold("df_gs_statistics"), levels.level_statistics(matches))
