@@ -1,11 +1,15 @@
 """Operator 6: license texts in documents, by min-hash bands over overlapping windows.
 
 Templates are known license passages. A passage of m words is looked for in every window of m
-neighbouring words of a document. Both are sets of 2-word shingles. A band is one min-hash: with 12 bands a
+neighbouring words of a document, and in the shorter ones at its end. Both are sets of 2-word shingles. A band is one min-hash: with 12 bands a
 window of similarity s retrieves the template with probability 1 - (1 - s)^12, which is 0.99995 at
 s = 0.56, where a passage of eight words has one word changed, and more above. What is retrieved is verified: the share
 of the template's distinct shingles that the window holds, counted exactly, must be 0.75 or more.
 
+Licenses of one family differ in a word or a number. So a window must have the deciding words of the
+template, such as NonCommercial, Lesser or a version, and no others. Where windows of several templates
+cover each other, the best is reported.
+
 Minima over all windows are taken by doubling and shared by templates of different lengths. Retrieved
 windows are verified many at a time, so common phrases that retrieve a template in vain cost little.
 """
@@ -20,21 +24,48 @@ from pyspark.sql import DataFrame
 
 from rallybook.llm.text import GOLDEN, LOWER, U, Texts, flat_texts, hash_spans, mix, slices, split_words
 
-# Passages of license notices as they are found in texts, by license.
+# Passages of license notices as they are found in texts, by license. `GPL`, `LGPL`, `AGPL` and `BSD`
+# stand for passages that all versions have.
 TEMPLATES = (
+    ("AGPL", "You should have received a copy of the GNU Affero General Public License along with this program"),
+    ("AGPL-3.0", "This work is licensed under the GNU Affero General Public License, version 3."),
     ("Apache-2.0", "Licensed under the Apache License, Version 2.0."),
     ("Apache-2.0", "You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0"),
     ("Apache-2.0", "Unless required by applicable law or agreed to in writing, software distributed under the License is distributed on an AS IS BASIS"),
-    ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"),
-    ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License"),
-    ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
+    ("BSD", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"),
+    ("BSD-3-Clause", "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software without specific prior written permission"),
+    ("BSL-1.0", "Permission is hereby granted, free of charge, to any person or organization obtaining a copy of the software and accompanying documentation covered by this license"),
+    ("CC0-1.0", "To the extent possible under law, the author has waived all copyright and related or neighboring rights to this work"),
+    ("EPL-2.0", "This program and the accompanying materials are made available under the terms of the Eclipse Public License 2.0"),
+    ("GPL", "You should have received a copy of the GNU General Public License along with this program"),
+    ("GPL-2.0", "This work is licensed under the GNU General Public License, version 2."),
     ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
-    ("GPL-3.0", "You should have received a copy of the GNU General Public License along with this program"),
+    ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted"),
+    ("LGPL", "You should have received a copy of the GNU Lesser General Public License along with this library"),
+    ("LGPL-2.1", "This work is licensed under the GNU Lesser General Public License, version 2.1."),
+    ("LGPL-3.0", "This work is licensed under the GNU Lesser General Public License, version 3."),
     ("MIT", "Released under the MIT License."),
     ("MIT", "Permission is hereby granted, free of charge, to any person obtaining a copy of this software and associated documentation files"),
+    ("MPL-1.1", "The contents of this file are subject to the Mozilla Public License Version 1.1"),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0."),
+    ("Unlicense", "This is free and unencumbered software released into the public domain"),
     ("none", "All rights reserved."),
 )
+# The Creative Commons licenses by their parts, in each version a long and a short notice.
+PARTS = {"BY": "Attribution", "NC": "NonCommercial", "ND": "NoDerivatives", "SA": "ShareAlike"}
+KINDS = ("BY", "BY-SA", "BY-ND", "BY-NC", "BY-NC-SA", "BY-NC-ND")
+VERSIONS = {"4.0": "International", "3.0": "Unported"}
+for kind in KINDS:
+    for version, reach in VERSIONS.items():
+        parts = "-".join(PARTS[part] for part in kind.split("-"))
+        TEMPLATES += (
+            (f"CC-{kind}-{version}", f"This work is licensed under a Creative Commons {parts} {version} {reach} License"),
+            (f"CC-{kind}-{version}", f"Licensed under CC {kind} {version}."),
+        )
+# Words in which licenses of one family differ, besides numbers.
+DECIDING = ("lesser", "affero", "organization", "noncommercial", "noderivatives", "sharealike", "nc", "nd", "sa")
+# Numbers of which a notice may lack the last one, as `Version 2` for `Version 2.0`.
+OPTIONAL = ("0",)
 BANDS = 12
 PERCENT = 75
 SLOTS = 1 << 16
@@ -46,12 +77,25 @@ FACTORS = np.random.default_rng(6).integers(0, 1 << 32, (2, BANDS), dtype=np.uin
 FACTORS[0] |= np.uint32(1)
 
 
-def shingles(texts: Texts) -> tuple[np.ndarray, np.ndarray]:
-    """A hash of every two neighbouring words, across texts too, and where each text's words begin."""
+def worded(texts: Texts) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """A hash of every word, which of them decide, and where each text's words begin."""
     buf = LOWER[texts.buf]
     words = split_words(Texts(buf, texts.start), BREAKS)
     h = hash_spans(buf, words.start, words.end)
-    return mix(h[:-1] * GOLDEN + h[1:]), words.of
+    # All of a word's bytes are digits if as many digits lie before its end as before its start and its length.
+    digits = np.concatenate([[0], np.cumsum((buf >= 48) & (buf <= 57))])
+    numbers = digits[words.end] - digits[words.start] == words.end - words.start
+    return h, numbers | np.isin(h, hashes_of(DECIDING)), words.of
+
+
+def hashes_of(words: tuple[str, ...]) -> np.ndarray:
+    texts = flat_texts(pa.array(list(words)))
+    return hash_spans(texts.buf, texts.start[:-1], texts.start[1:])
+
+
+def shingles(words: np.ndarray) -> np.ndarray:
+    """A hash of every two neighbouring words, across texts too."""
+    return mix(words[:-1] * GOLDEN + words[1:])
 
 
 def window_minima(hashed: np.ndarray, widths: list[int]) -> dict[int, np.ndarray]:
@@ -72,13 +116,16 @@ class Matcher:
 
     def __init__(self, templates):
         self.names = [name for name, _ in templates]
-        texts = flat_texts(pa.array([t for _, t in templates]))
-        grams, of = shingles(texts)
+        words, decides, of = worded(flat_texts(pa.array([t for _, t in templates])))
         self.widths = (np.diff(of) - 1).tolist()
         if min(self.widths, default=1) < 1:
             raise ValueError("a template needs two words at least")
-        own = [grams[a : a + w] for a, w in zip(of[:-1].tolist(), self.widths)]
+        spans = [slice(a, a + w + 1) for a, w in zip(of[:-1].tolist(), self.widths)]
+        own = [shingles(words[x]) for x in spans]
         self.sets = [np.unique(g) for g in own]
+        self.allowed = [np.unique(words[x][decides[x]]) for x in spans]
+        self.needed = [np.setdiff1d(a, hashes_of(OPTIONAL)) for a in self.allowed]
+        self.shingles, self.words = np.unique(np.concatenate(self.sets)), np.unique(np.concatenate(self.allowed))
         self.slots = {w: [np.zeros(SLOTS, bool) for _ in range(BANDS)] for w in self.widths}
         for g, width in zip(own, self.widths):
             for band in range(BANDS):
@@ -89,36 +136,74 @@ class Matcher:
     def hashed(grams: np.ndarray, band: int) -> np.ndarray:
         return (grams >> U(32)).astype(np.uint32) * FACTORS[0, band] + FACTORS[1, band]
 
-    def retrieved(self, grams: np.ndarray) -> dict[int, np.ndarray]:
+    @staticmethod
+    def places(values: np.ndarray, wanted: np.ndarray) -> dict[int, np.ndarray]:
+        """Where each wanted value occurs, in order."""
+        slots = np.zeros(SLOTS, bool)
+        slots[(wanted % U(SLOTS)).astype(np.int64)] = True
+        at = np.flatnonzero(slots[values.astype(np.uint16)])
+        which = np.minimum(np.searchsorted(wanted, values[at]), max(len(wanted) - 1, 0))
+        known = wanted[which] == values[at] if len(wanted) else np.zeros(len(at), bool)
+        at, which = at[known], which[known]
+        order = np.argsort(which, kind="stable")
+        found, start = np.unique(which[order], return_index=True)
+        return {int(wanted[w]): x for w, x in zip(found, np.split(at[order], start[1:]))}
+
+    def retrieved(self, grams: np.ndarray, real: np.ndarray) -> dict[int, np.ndarray]:
         """Per width the windows that share a band with a template of that width, or seem to."""
         found: dict[int, list[np.ndarray]] = {w: [] for w in self.slots}
         for band in range(BANDS):
-            for width, least in window_minima(self.hashed(grams, band), list(self.slots)).items():
+            # Between texts there is nothing that could be the least.
+            hashed = np.where(real, self.hashed(grams, band), np.uint32(0xFFFFFFFF))
+            for width, least in window_minima(hashed, list(self.slots)).items():
                 found[width].append(np.flatnonzero(self.slots[width][band][least.astype(np.uint16)]))
         return {w: np.unique(np.concatenate(x)) for w, x in found.items()}
 
     def matches(self, texts: Texts) -> list[tuple[int, int, int, float]]:
         """(text, first word, template, containment) of every window that holds a template; of
-        overlapping windows the best and first."""
-        grams, of = shingles(texts)
-        out = []
-        for width, at in self.retrieved(grams).items():
-            doc = np.searchsorted(of, at, side="right") - 1
-            inside = at + width < of[doc + 1]
-            at, doc = at[inside], doc[inside]
+        windows that cover each other's middle the best and first."""
+        words, decides, of = worded(texts)
+        # Room after each text, so that the windows at its end are there too and end with it.
+        room = max(self.widths) + 1
+        counts = np.diff(of)
+        begin = of[:-1] + room * np.arange(len(counts))
+        place = np.arange(len(words)) + room * np.repeat(np.arange(len(counts)), counts)
+        size = len(words) + room * len(counts)
+        spaced, is_word, deciding = np.zeros(size, U), np.zeros(size, bool), np.zeros(size, bool)
+        spaced[place], is_word[place], deciding[place] = words, True, decides
+        grams, real = shingles(spaced), is_word[:-1] & is_word[1:]
+        grams = np.where(real, grams, U(0))
+        deciders = np.concatenate([[0], np.cumsum(deciding)])
+        shingle_at, word_at, nowhere = self.places(grams, self.shingles), self.places(spaced, self.words), np.zeros(0, np.int64)
+        hits: dict[int, list[tuple[float, int, int, int]]] = {}
+        for width, at in self.retrieved(grams, real).items():
+            at = at[real[at]]
             for t in [i for i, w in enumerate(self.widths) if w == width]:
                 # Distinct shingles of the template in each window, from where each of them occurs.
                 held = np.zeros(len(at), np.int32)
                 for shingle in self.sets[t]:
-                    places = np.flatnonzero(grams == shingle) if len(at) else at
+                    places = shingle_at.get(int(shingle), nowhere)
                     held += np.searchsorted(places, at + width) > np.searchsorted(places, at)
                 hit = np.flatnonzero(100 * held >= PERCENT * len(self.sets[t]))
-                taken: dict[int, list[int]] = {}
-                for i in sorted(hit.tolist(), key=lambda i: (-held[i], at[i])):
-                    word, others = int(at[i] - of[doc[i]]), taken.setdefault(int(doc[i]), [])
-                    if all(abs(word - x) > width for x in others):
-                        others.append(word)
-                        out.append((int(doc[i]), word, t, float(held[i] / len(self.sets[t]))))
+                start, end = at[hit], np.minimum(at[hit] + width + 1, size)
+                # As many deciding words as there are allowed ones, and every needed one.
+                fits, allowed = np.ones(len(hit), bool), np.zeros(len(hit), np.int64)
+                for word in self.allowed[t]:
+                    places = word_at.get(int(word), nowhere)
+                    n = np.searchsorted(places, end) - np.searchsorted(places, start)
+                    allowed += n
+                    fits &= (n > 0) | (word not in self.needed[t])
+                fits &= allowed == deciders[end] - deciders[start]
+                for i, first in zip(hit[fits].tolist(), start[fits].tolist()):
+                    doc = int(np.searchsorted(begin, first, side="right") - 1)
+                    hits.setdefault(doc, []).append((float(held[i] / len(self.sets[t])), width, int(first - begin[doc]), t))
+        out = []
+        for doc, found in hits.items():
+            taken: list[tuple[int, int]] = []
+            for share, width, word, t in sorted(found, key=lambda x: (-x[0], -x[1], x[2], x[3])):
+                if all(abs(2 * word + width - 2 * x - w) > max(width, w) for x, w in taken):
+                    taken.append((word, width))
+                    out.append((doc, word, t, share))
         return sorted(out)
 
 
@@ -127,8 +212,9 @@ def license_matches(docs: DataFrame, templates=TEMPLATES) -> DataFrame:
 
     Words are runs of letters, digits and characters beyond ASCII, A-Z lower-cased; `word` is
     the place of the first. Null or empty texts have no matches, repeated rows and null ids get an answer each,
-    an empty table gives an empty result. Other columns are not looked at. The templates travel
-    with the code, so there should be thousands of them at most.
+    an empty table gives an empty result. Other columns are not looked at. A passage that the text breaks off, or that
+    is all of it, counts if enough of it is there. The templates travel with the code, so there should be
+    thousands of them at most; the given ones are notices, not whole license texts.
     """
     templates = tuple(templates)
 
