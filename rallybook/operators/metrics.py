@@ -13,9 +13,15 @@ from rallybook.operators.sides import finals, id_column, int_column, sides
 
 
 def won_or_lost(matches: DataFrame, player: str) -> DataFrame:
-    """The matches keyed by one side, `winner` or `loser`, without unknown players."""
-    keyed = matches.withColumn("player_id", id_column(matches, f"{player}_id"))
-    return keyed.where(F.col("player_id").isNotNull())
+    """The matches keyed by one side, `winner` or `loser`, without unknown players.
+
+    An id that has to be parsed is made as the one element of an exploded array: a filter on it is not
+    pushed below that, where it would parse every id once more.
+    """
+    name = f"{player}_id"
+    parsed = matches.schema[name].dataType.typeName() != "long"
+    own = F.explode(F.array(id_column(matches, name))) if parsed else F.col(name)
+    return matches.withColumn("player_id", own).where(F.col("player_id").isNotNull())
 
 
 def losses(matches: DataFrame) -> DataFrame:
