@@ -13,9 +13,11 @@ places are dropped (a similarity of 0.75 does so once in 100 million). A few per
 are confirmed on full shingle sets, and their components found. Only then are other
 pairs of larger regions formed, and only between different components, so a region of copies costs
 nothing more. They are weighed by one bit of each of 4096 min-hashes, which keeps a similarity of
-0.75 but for three in ten million and drops nearly all below 0.67. Where many pairs would be
-left, the region is divided first by the sizes of the sets, as sizes too far apart rule a pair out. Two blocks
-of a region meet in a task of their own, so no task holds a region, however crowded. All pairs that remain
+0.75 but for three in ten million and drops nearly all below 0.67. Where many pairs would be left, as among
+pages of one template, only nodes meet that share a rare shingle: if each set is ordered from its rarest shingle
+to its commonest, two of similarity 0.75 share one among the first quarter of each. Groups that are still large are
+divided by the sizes of the sets, as sizes too far apart rule a pair out. Two blocks
+of a group meet in a task of their own, so no task holds a region, however crowded. All pairs that remain
 are confirmed, none are left out.
 """
 
@@ -41,6 +43,9 @@ SMALL_REGION = 8
 SLOT_NODES = 4096
 BLOCK_NODES = 2048
 PAIRS_PER_NODE = 2048
+# Regions with more pairs a node are searched by rare shingles. Those are told by counts of this many slots.
+CROWD_PAIRS = 256
+SLOT_BITS = 18
 # Sets of similarity 0.75 differ in size by a third at most, so by one step of this ratio.
 SIZE_STEP = 1.34
 BITS = 4096
@@ -230,9 +235,11 @@ def first_picks(candidates: DataFrame) -> DataFrame:
 def divided(rows: DataFrame) -> DataFrame:
     """Each row in two parts of its region, so that any two whose sizes are a step apart or less share one.
 
-    Parts by other places of the signature would lose pairs that agree in the region's alone."""
+    Parts by other places of the signature would lose pairs that agree in the region's alone. Parts of groups
+    by rare shingles stay below 0."""
     step = F.floor(F.log(F.col("n").cast("double")) / math.log(SIZE_STEP)).cast("int")
-    return rows.withColumn("part", F.explode(F.array(step, step + 1)))
+    parts = F.when(F.col("part") < 0, F.array(-2 - step, -3 - step)).otherwise(F.array(step, step + 1))
+    return rows.withColumn("part", F.explode(parts))
 
 
 def weighed(rows: DataFrame, path: str) -> DataFrame:
@@ -250,6 +257,54 @@ def weighed(rows: DataFrame, path: str) -> DataFrame:
     return stored(rows.join(parts, ["key", "part"]), path)
 
 
+def slot_ranks(sets: DataFrame) -> np.ndarray:
+    """How common the shingles of each of 2^18 slots are: the logarithm of their number, in quarters, as a byte.
+    What comes to the driver is a row per slot at most."""
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(1 << SLOT_BITS, np.int64)
+        for batch in batches:
+            for x in batch.column("shingles"):
+                np.add.at(counts, slots_of(np.frombuffer(x.as_buffer(), U)), 1)
+        used = np.flatnonzero(counts)
+        yield pa.record_batch({"slot": pa.array(used.astype(np.int32)), "c": pa.array(counts[used])})
+
+    counted = sets.select("shingles").mapInArrow(count, "slot int, c long").groupBy("slot").agg(F.sum("c").alias("c"))
+    found = counted.toArrow()
+    ranks = np.zeros(1 << SLOT_BITS, np.uint8)
+    ranks[found["slot"].to_numpy()] = 1 + 4 * np.log2(found["c"].to_numpy())
+    return ranks
+
+
+def slots_of(shingles: np.ndarray) -> np.ndarray:
+    return (shingles >> U(64 - SLOT_BITS)).astype(np.int64)
+
+
+def rare_shingles(sets: DataFrame, crowd: DataFrame) -> DataFrame:
+    """A row for each node of `crowd` and each of the first n - 0.75 n + 1 shingles of its set, rarest first,
+    with the shingle as `key` of a group and -1 as `part`.
+
+    Of two sets with similarity 0.75 each has at least that share of its shingles in common with the other.
+    So the rarest common one is among the first of both, in whatever order, as long as it is the same for all.
+    """
+    chosen = sets.join(crowd.hint("shuffle_hash"), "node")
+    ranks = slot_ranks(sets.join(crowd.select("node").hint("shuffle_hash"), "node", "left_semi"))
+
+    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "shingles", BATCH_BYTES):
+            keys = [np.zeros(0, U)]
+            for x in batch.column("shingles"):
+                shingles = np.frombuffer(x.as_buffer(), U)
+                first = len(shingles) - -(-PERCENT * len(shingles) // 100) + 1
+                keys.append(shingles[np.argsort(ranks[slots_of(shingles)], kind="stable")[:first]])
+            of = np.repeat(np.arange(batch.num_rows), [len(k) for k in keys[1:]])
+            out = {c: batch.column(c).take(pa.array(of)) for c in ("node", "n", "label")}
+            key = pa.array(np.concatenate(keys).view(np.int64))
+            yield pa.record_batch({"key": key, "part": pa.array(np.full(len(of), -1, np.int32)), **out})
+
+    return chosen.mapInArrow(pick, "key long, part int, node long, n long, label long").distinct()
+
+
 def all_keys(nodes: DataFrame) -> DataFrame:
     """`node` and `keys`, those of its regions in all trees."""
 
@@ -308,6 +363,7 @@ def compared(rows: DataFrame) -> DataFrame:
         keys, region = matrix(table["keys"].combine_chunks(), np.int64, TREES), table["key"][0].as_py()
         bits = matrix(table["bits"].combine_chunks(), U, BITS // 64)
         own, low, high = table["own"].to_numpy(), table["low"][0].as_py(), table["high"][0].as_py()
+        by_region = table["part"][0].as_py() >= 0
         outside = label != table["top"].to_numpy()
         minor, here = np.flatnonzero((own == low) & outside), np.flatnonzero(own == high)
         words = np.ascontiguousarray(bits[here].T)
@@ -323,9 +379,11 @@ def compared(rows: DataFrame) -> DataFrame:
                 fit &= ~outside[here] | (x[:, None] < here)
             i, j = np.nonzero(fit)
             x, y = x[i], here[j]
-            # A pair is told by the first region that it shares.
-            told = keys[x, (keys[x] == keys[y]).argmax(axis=1)] == region
-            found.append(np.stack([node[x[told]], node[y[told]]]))
+            if by_region:
+                # A pair is told by the first region that it shares.
+                told = keys[x, (keys[x] == keys[y]).argmax(axis=1)] == region
+                x, y = x[told], y[told]
+            found.append(np.stack([node[x], node[y]]))
         a, b = np.concatenate(found, axis=1) if found else np.zeros((2, 0), np.int64)
         return pa.table({"a": np.minimum(a, b), "b": np.maximum(a, b)})
 
@@ -336,10 +394,16 @@ def compared(rows: DataFrame) -> DataFrame:
 def between_components(
     regions: DataFrame, nodes: DataFrame, labels: DataFrame, sets: DataFrame, folder: str
 ) -> DataFrame:
-    """Candidate pairs of larger regions whose nodes are in different components so far."""
+    """Candidate pairs of larger regions whose nodes are in different components so far. In the most crowded
+    ones, those of nodes that share a rare shingle."""
     rows = regions.where(F.col("size") > SMALL_REGION).select("key", F.lit(0).alias("part"), "node", "n")
     rows = rows.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     rows = weighed(rows, f"{folder}/rows")
+    few = F.col("across") <= CROWD_PAIRS * F.col("size")
+    crowd = rows.where(~few).select("node", "n", "label").distinct()
+    if crowd.take(1):
+        rare = rare_shingles(sets, stored(crowd, f"{folder}/crowd"))
+        rows = rows.where(few).unionByName(weighed(stored(rare, f"{folder}/rare"), f"{folder}/sharing"))
     # Sets of rows that share a doc_id can have one node; all of them are compared.
     fine = bit_sketches(sets.join(rows.select("node").distinct(), "node", "left_semi"))
     rows = rows.join(fine.distinct(), "node").join(all_keys(nodes), "node")

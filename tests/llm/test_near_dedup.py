@@ -2,6 +2,8 @@ import random
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
+import pytest
 from pyspark.sql import GroupedData, functions as F
 
 import corpus_pipeline
@@ -120,6 +122,57 @@ def test_no_task_holds_a_crowded_region(spark, monkeypatch):
     assert 64 < max(sizes) <= 2 * 64 * 1.4
 
 
+@pytest.mark.parametrize("shared, size_step", [(150, 20), (190, 20), (190, 2048)])
+def test_crowds_meet_by_rare_shingles(spark, monkeypatch, shared, size_step):
+    """Pages of one template, whose own words are more than a quarter of them, so that no rare shingle is
+    shared, or fewer, so that the template's are among the rarest. Long and short pages, and weak links."""
+    monkeypatch.setattr(near_dedup, "SMALL_REGION", 2)
+    monkeypatch.setattr(near_dedup, "BLOCK_NODES", 64)
+    monkeypatch.setattr(near_dedup, "PAIRS_PER_NODE", size_step)
+    monkeypatch.setattr(near_dedup, "CROWD_PAIRS", 1)
+    groups, rare = [], near_dedup.rare_shingles
+
+    def watched(sets, crowd):
+        groups.append(crowd.count())
+        return rare(sets, crowd)
+
+    monkeypatch.setattr(near_dedup, "rare_shingles", watched)
+    rng = random.Random(shared)
+    template = [f"t{i}" for i in range(shared)]
+    texts = [" ".join(template + [f"u{rng.randrange(10**9)}" for _ in range(210 - shared)]) for _ in range(200)]
+    texts += [" ".join(template[:-5] + [f"v{rng.randrange(10**9)}" for _ in range(90)]) for _ in range(50)]
+    for i in range(0, 120, 2):
+        words = texts[i].split()
+        texts[i + 1] = " ".join(edited(rng, words, rng.choice([0.01, 0.02, 0.03, 0.04])))
+    texts += texts[:5]
+    rows = list(enumerate(texts)) + [(7, "other text " * 9), (None, texts[0])]
+    rng.shuffle(rows)
+    got = near_duplicates(spark.createDataFrame(rows, "doc_id long, text string"))
+    assert Counter(tuple(r) for r in got.collect()) == brute_force(rows)
+    assert groups and groups[0] > 100
+
+
+def test_the_first_quarter_of_rarest_shingles_meets_all_similar_sets(spark):
+    """Also for sets of one to five shingles, and where slots are shared by many."""
+    rng = random.Random(3)
+    sets = []
+    for i in range(300):
+        base = rng.sample(range(40), rng.choice([1, 2, 3, 4, 5, 8, 13, 20]))
+        sets.append((i, len(base), i, np.sort(np.array(base, np.uint64) << np.uint64(rng.choice([40, 57]))).tobytes()))
+    frame = spark.createDataFrame(sets, "node long, n long, label long, shingles binary")
+    rows = near_dedup.rare_shingles(frame.select("node", "shingles"), frame.select("node", "n", "label"))
+    met = defaultdict(set)
+    for r in rows.collect():
+        assert r.part == -1 and (r.n, r.label) == (sets[r.node][1], r.node)
+        met[r.key].add(r.node)
+    together = {(a, b) for g in met.values() for a in g for b in g if a < b}
+    full = [set(np.frombuffer(s[3], np.uint64).tolist()) for s in sets]
+    for a in range(len(full)):
+        for b in range(a + 1, len(full)):
+            if 100 * len(full[a] & full[b]) >= 75 * len(full[a] | full[b]):
+                assert (a, b) in together
+
+
 def test_rows_that_share_an_id_link_their_texts(spark, tmp_path):
     a, b, c = (" ".join(f"{x}{i}" for i in range(30)) for x in "abc")
     rows = [(5, a), (9, a), (3, b), (5, b), (20, c), (20, c), (None, c), (None, c)]
