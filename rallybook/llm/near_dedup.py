@@ -15,8 +15,8 @@ pairs of larger regions formed, and only between different components, so a regi
 nothing more. They are weighed by one bit of each of 4096 min-hashes, which keeps a similarity of
 0.75 but for three in ten million and drops nearly all below 0.67. Where many pairs would be left, as among
 pages of one template, only nodes meet that share a rare shingle: if each set is ordered from its rarest shingle
-to its commonest, two of similarity 0.75 share one among the first quarter of each. Groups that are still large are
-divided by the sizes of the sets, as sizes too far apart rule a pair out. Two blocks
+to its commonest, two of similarity 0.75 share one among the first quarter of each, and among the first seventh of the
+smaller. Groups that are still large are divided by the sizes of the sets, as sizes too far apart rule a pair out. Two blocks
 of a group meet in a task of their own, so no task holds a region, however crowded. All pairs that remain
 are confirmed, none are left out.
 """
@@ -282,12 +282,12 @@ def slots_of(shingles: np.ndarray) -> np.ndarray:
 
 def rare_shingles(sets: DataFrame, crowd: DataFrame) -> DataFrame:
     """A row for each node of `crowd` and each of the first n - 0.75 n + 1 shingles of its set, rarest first,
-    with the shingle as `key` of a group and -1 as `part`.
+    with the shingle as `key` of a group, -1 as `part`, and how many shingles of the set begin with it, `rest`.
 
     Of two sets with similarity 0.75 each has at least that share of its shingles in common with the other.
     So the rarest common one is among the first of both, in whatever order, as long as it is the same for all.
     """
-    chosen = sets.join(crowd.hint("shuffle_hash"), "node")
+    chosen = sets.join(crowd.select("node", "label").hint("shuffle_hash"), "node")
     ranks = slot_ranks(sets.join(crowd.select("node").hint("shuffle_hash"), "node", "left_semi"))
 
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -297,12 +297,35 @@ def rare_shingles(sets: DataFrame, crowd: DataFrame) -> DataFrame:
                 shingles = np.frombuffer(x.as_buffer(), U)
                 first = len(shingles) - -(-PERCENT * len(shingles) // 100) + 1
                 keys.append(shingles[np.argsort(ranks[slots_of(shingles)], kind="stable")[:first]])
-            of = np.repeat(np.arange(batch.num_rows), [len(k) for k in keys[1:]])
-            out = {c: batch.column(c).take(pa.array(of)) for c in ("node", "n", "label")}
-            key = pa.array(np.concatenate(keys).view(np.int64))
-            yield pa.record_batch({"key": key, "part": pa.array(np.full(len(of), -1, np.int32)), **out})
+            count = np.array([len(k) for k in keys[1:]])
+            of, first = np.repeat(np.arange(len(count)), count), np.repeat(np.cumsum(count) - count, count)
+            # Rows that share a doc_id can have sets of other sizes than their node's.
+            n = pa.compute.binary_length(batch.column("shingles")).to_numpy().astype(np.int64)[of] // 8
+            yield pa.record_batch(
+                {
+                    "key": pa.array(np.concatenate(keys).view(np.int64)),
+                    "part": pa.array(np.full(len(of), -1, np.int32)),
+                    "node": batch.column("node").take(pa.array(of)),
+                    "n": pa.array(n),
+                    "label": batch.column("label").take(pa.array(of)),
+                    "rest": pa.array(n - (np.arange(len(of)) - first)),
+                }
+            )
 
-    return chosen.mapInArrow(pick, "key long, part int, node long, n long, label long").distinct()
+    return chosen.mapInArrow(pick, "key long, part int, node long, n long, label long, rest long").distinct()
+
+
+def within_reach(rows: DataFrame) -> DataFrame:
+    """The rows of `rare_shingles` that can belong to a similar pair whose rarest common shingle is their key.
+
+    Such a pair has no more in common than the `rest` of either, which has to be 3/7 of both sizes. For the
+    smaller set that is 6/7 of its own, so a group without such a row has no pair, and the smallest of these rows
+    tells what the others need.
+    """
+    needed, given = F.lit(PERCENT), F.col("rest") * (100 + PERCENT)
+    smallest = rows.where(given >= needed * 2 * F.col("n")).groupBy("key").agg(F.min("n").alias("smallest"))
+    reached = rows.join(smallest, "key").where(given >= needed * (F.col("n") + F.col("smallest")))
+    return reached.drop("rest", "smallest")
 
 
 def all_keys(nodes: DataFrame) -> DataFrame:
@@ -400,10 +423,11 @@ def between_components(
     rows = rows.join(labels, "node", "left").withColumn("label", F.coalesce("label", "node"))
     rows = weighed(rows, f"{folder}/rows")
     few = F.col("across") <= CROWD_PAIRS * F.col("size")
-    crowd = rows.where(~few).select("node", "n", "label").distinct()
+    crowd = rows.where(~few).select("node", "label").distinct()
     if crowd.take(1):
-        rare = rare_shingles(sets, stored(crowd, f"{folder}/crowd"))
-        rows = rows.where(few).unionByName(weighed(stored(rare, f"{folder}/rare"), f"{folder}/sharing"))
+        rare = stored(rare_shingles(sets, stored(crowd, f"{folder}/crowd")), f"{folder}/rare")
+        near = stored(within_reach(rare), f"{folder}/near")
+        rows = rows.where(few).unionByName(weighed(near, f"{folder}/sharing"))
     # Sets of rows that share a doc_id can have one node; all of them are compared.
     fine = bit_sketches(sets.join(rows.select("node").distinct(), "node", "left_semi"))
     rows = rows.join(fine.distinct(), "node").join(all_keys(nodes), "node")

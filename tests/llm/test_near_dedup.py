@@ -122,7 +122,7 @@ def test_no_task_holds_a_crowded_region(spark, monkeypatch):
     assert 64 < max(sizes) <= 2 * 64 * 1.4
 
 
-@pytest.mark.parametrize("shared, size_step", [(150, 20), (190, 20), (190, 2048)])
+@pytest.mark.parametrize("shared, size_step", [(150, 20), (165, 20), (190, 20), (190, 2048)])
 def test_crowds_meet_by_rare_shingles(spark, monkeypatch, shared, size_step):
     """Pages of one template, whose own words are more than a quarter of them, so that no rare shingle is
     shared, or fewer, so that the template's are among the rarest. Long and short pages, and weak links."""
@@ -160,7 +160,8 @@ def test_the_first_quarter_of_rarest_shingles_meets_all_similar_sets(spark):
         base = rng.sample(range(40), rng.choice([1, 2, 3, 4, 5, 8, 13, 20]))
         sets.append((i, len(base), i, np.sort(np.array(base, np.uint64) << np.uint64(rng.choice([40, 57]))).tobytes()))
     frame = spark.createDataFrame(sets, "node long, n long, label long, shingles binary")
-    rows = near_dedup.rare_shingles(frame.select("node", "shingles"), frame.select("node", "n", "label"))
+    rare = near_dedup.rare_shingles(frame.select("node", "shingles"), frame.select("node", "label"))
+    rows = near_dedup.within_reach(rare)
     met = defaultdict(set)
     for r in rows.collect():
         assert r.part == -1 and (r.n, r.label) == (sets[r.node][1], r.node)
