@@ -109,19 +109,22 @@ def buckets_for(entries: float) -> int:
     return 1 << max(0, math.ceil(math.log2(max(entries, 1) / KEYS_PER_BUCKET)))
 
 
-def cuts(keys: np.ndarray, buckets: int, width: int) -> list[int]:
-    """Where each of the equal ranges of a key space of `width` bits begins in ascending keys."""
-    shift = U(width - int(math.log2(buckets)))
-    return np.searchsorted(keys, np.arange(buckets, dtype=U) << shift).tolist() + [len(keys)]
+def used_buckets(keys: np.ndarray, buckets: int, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """The equal ranges of a key space of `width` bits that ascending keys fall into, and where the keys of each
+    begin, with the end of the last. Takes as long as there are keys, however many buckets."""
+    shift = width - int(math.log2(buckets))
+    bucket = keys >> U(shift) if shift < 64 else np.zeros(len(keys), U)
+    begins = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])[: len(keys)])
+    return bucket[begins].astype(np.int64), np.append(begins, len(keys))
 
 
 def by_bucket(keys: np.ndarray, facts: dict | None, name: str, buckets: int, width: int) -> np.ndarray:
     """The bits that came back per bucket as one flag per key."""
     flags = np.zeros(len(keys), bool)
     if facts is not None:
-        at = cuts(keys, buckets, width)
-        for bucket, data in zip(facts["bucket"].tolist(), facts[name]):
-            flags[at[bucket] : at[bucket + 1]] = from_bits(data, at[bucket + 1] - at[bucket])
+        used, at = used_buckets(keys, buckets, width)
+        for i, data in zip(np.searchsorted(used, facts["bucket"]).tolist(), facts[name]):
+            flags[at[i] : at[i + 1]] = from_bits(data, at[i + 1] - at[i])
     return flags
 
 
@@ -144,9 +147,8 @@ def shared_keys(blocks: DataFrame, key_classes: Callable, buckets: int, width: i
         for batch in batches:
             for row in range(batch.num_rows):
                 found = key_classes(batch, row)
-                at = cuts(found.keys, buckets, width)
-                used = [b for b in range(buckets) if at[b + 1] > at[b]]
-                parts = [slice(at[b], at[b + 1]) for b in used]
+                used, at = used_buckets(found.keys, buckets, width)
+                parts = [slice(a, b) for a, b in zip(at[:-1], at[1:])]
                 known = found.low != found.high
                 yield pa.record_batch(
                     {
@@ -317,9 +319,8 @@ def covered_suffixes(blocks: DataFrame, folder: str, length: int) -> tuple[DataF
         for batch in batches:
             for row in range(batch.num_rows):
                 _, _, tie, tail, least, _ = shared_classes(batch, row)
-                at = cuts(tie, buckets, 64)
-                used = [b for b in range(buckets) if at[b + 1] > at[b]]
-                parts = [slice(at[b], at[b + 1]) for b in used]
+                used, at = used_buckets(tie, buckets, 64)
+                parts = [slice(a, b) for a, b in zip(at[:-1], at[1:])]
 
                 def packed(column):
                     return pa.array([zstandard.compress(column[p].tobytes(), 1) for p in parts], pa.binary())

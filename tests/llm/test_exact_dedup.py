@@ -2,10 +2,11 @@ import hashlib
 import random
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from rallybook.llm.exact_dedup import LENGTH, repeated_passages
+from rallybook.llm.exact_dedup import LENGTH, bits, by_bucket, repeated_passages, used_buckets
 
 
 def brute_force(rows):
@@ -72,3 +73,20 @@ def test_whole_characters_are_cut(spark):
         assert len(bytes(plain[r.doc_id].kept)) <= len(bytes(r.kept)) <= len(bytes(plain[r.doc_id].kept)) + 4 * 2 * max(1, len(r.spans))
         assert set(text) <= set("éß日a")
     assert any(r.n_removed for r in plain.values())
+
+
+@pytest.mark.parametrize("buckets, width", [(1, 64), (1, 20), (2, 64), (64, 20), (1 << 23, 64), (1 << 12, 12)])
+def test_keys_are_cut_where_buckets_begin(buckets, width):
+    """Also for a single bucket, for far more buckets than keys, and without any keys."""
+    rng = np.random.default_rng(buckets)
+    for count in (0, 1, 500):
+        keys = np.unique(rng.integers(0, 1 << width, count, dtype=np.uint64))
+        used, at = used_buckets(keys, buckets, width)
+        of = [int(k) * buckets >> width for k in keys]
+        assert used.tolist() == sorted(set(of))
+        assert [of[a:b] for a, b in zip(at, at[1:])] == [[u] * of.count(u) for u in used.tolist()]
+        flags = rng.random(len(keys)) < 0.5
+        order = rng.permutation(len(used))
+        facts = {"bucket": used[order].astype(np.int32), "x": [bits(flags[at[i] : at[i + 1]]) for i in order]}
+        assert by_bucket(keys, facts, "x", buckets, width).tolist() == flags.tolist()
+        assert not by_bucket(keys, None, "x", buckets, width).any()
