@@ -113,6 +113,10 @@ def used_buckets(keys: np.ndarray, buckets: int, width: int) -> tuple[np.ndarray
     """The equal ranges of a key space of `width` bits that ascending keys fall into, and where the keys of each
     begin, with the end of the last. Takes as long as there are keys, however many buckets."""
     shift = width - int(math.log2(buckets))
+    if buckets < len(keys):
+        at = np.searchsorted(keys, np.arange(buckets, dtype=U) << U(shift)) if buckets > 1 else np.zeros(1, np.int64)
+        used = np.flatnonzero(np.diff(at, append=len(keys)))
+        return used, np.append(at[used], len(keys))
     bucket = keys >> U(shift) if shift < 64 else np.zeros(len(keys), U)
     begins = np.flatnonzero(np.concatenate([[True], bucket[1:] != bucket[:-1]])[: len(keys)])
     return bucket[begins].astype(np.int64), np.append(begins, len(keys))
