@@ -14,7 +14,7 @@ SF_DIR = os.environ.get("ORACLE_SF_DIR", "/root/testdata/sf0.001")
 @pytest.mark.parametrize("name", sorted(ORACLE_SQL))
 def test_query_equals_oracle(spark, name):
     duck = duckdb.connect()
-    for table in ("documents", "benchmark", "pages", "labels"):
+    for table in ("documents", "benchmark", "pages", "labels", "embeddings"):
         duck.execute(f"create view {table} as select * from read_parquet('{SF_DIR}/{table}.parquet')")
     result = QUERIES[name](spark, SF_DIR)
     columns = sorted(result.columns)
