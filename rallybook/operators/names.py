@@ -6,12 +6,17 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from rallybook.functions.columns import unused
 from rallybook.functions.scalars import full_name, prefer_canonical
-from rallybook.operators.joins import lookup_join
+from rallybook.operators.joins import fits_broadcast, lookup_join
 from rallybook.operators.sides import id_column, sides
 
 # Partitions over which the matches of one player are spread when names are looked up in a
 # players table too large to broadcast; each name is repeated as often.
 NAME_SALTS = 16
+# The same for the few matches that may need a correction, when the corrections are too many to broadcast.
+CORRECTION_SALTS = 4
+# The digest of the corrections: blocks of bits in words, which are broadcast; 16 MB at most.
+WORD_BITS, BLOCK_WORDS = 64, 512
+BITS_PER_CORRECTION, MOST_BLOCKS = 16, 1 << 12
 
 
 def canonical_names(players: DataFrame) -> DataFrame:
@@ -47,14 +52,69 @@ def name_corrections(matches: DataFrame, players: DataFrame) -> DataFrame:
     return pairs.where(F.col("name") != F.col("full_name"))
 
 
+def pair_bit(player_id: Column, name: Column, blocks: int) -> Column:
+    """The bit of a pair in a digest of that many blocks."""
+    return F.pmod(F.xxhash64(player_id, name), F.lit(blocks * BLOCK_WORDS * WORD_BITS))
+
+
+def correction_digest(corrections: DataFrame) -> tuple[DataFrame, int]:
+    """A bit set for every pair that needs a correction, as `digest_block` and `digest_words`, and the number of
+    blocks. It is 16 bits for a correction, so one pair in 16 that needs none has its bit set too, or more
+    where that would exceed `MOST_BLOCKS`."""
+    wanted = corrections.count() * BITS_PER_CORRECTION // (BLOCK_WORDS * WORD_BITS)
+    blocks = min(MOST_BLOCKS, 1 << wanted.bit_length())
+    bit = pair_bit(F.col("player_id"), F.col("name"), blocks)
+    rows = corrections.select(bit.alias("bit")).select(
+        F.expr(f"bit div {WORD_BITS}").alias("word"),
+        F.expr(f"shiftleft(1L, cast(bit % {WORD_BITS} as int))").alias("bits"),
+    )
+    empty = corrections.sparkSession.range(blocks * BLOCK_WORDS).select(F.col("id"), F.lit(0).cast("long"))
+    words = rows.union(empty).groupBy("word").agg(F.bit_or("bits").alias("bits"))
+    words = words.groupBy(F.expr(f"word div {BLOCK_WORDS}").alias("digest_block")).agg(
+        F.sort_array(F.collect_list(F.struct("word", "bits")))["bits"].alias("digest_words")
+    )
+    return words, blocks
+
+
+def marked(matches: DataFrame, corrections: DataFrame, mark: str) -> DataFrame:
+    """The matches with `mark`, false where neither name is corrected, found without a shuffle."""
+    digest, blocks = correction_digest(corrections)
+    found = F.lit(False)
+    for side in ("winner", "loser"):
+        block, words = (unused(f"_{side}_{part}", matches.columns) for part in ("block", "words"))
+        player_id, name = F.col(f"{side}_id"), F.col(f"{side}_name")
+        bit = pair_bit(player_id, name, blocks)
+        known = F.when(player_id.isNotNull() & name.isNotNull(), F.floor(bit / (BLOCK_WORDS * WORD_BITS)))
+        matches = matches.withColumn(block, known)
+        parts = digest.select(F.col("digest_block").alias(f"{block}_"), F.col("digest_words").alias(words))
+        matches = matches.join(F.broadcast(parts), F.col(block) == F.col(f"{block}_"), "left")
+        word = F.floor(bit / WORD_BITS) % BLOCK_WORDS
+        bits = F.get(F.col(words), word.cast("int"))
+        is_set = F.call_function("getbit", bits, (bit % WORD_BITS).cast("int")) == 1
+        found = found | F.coalesce(is_set, F.lit(False))
+    helpers = [c for side in ("winner", "loser") for c in matches.columns if c.startswith((f"_{side}_block", f"_{side}_words"))]
+    return matches.withColumn(mark, found).drop(*helpers)
+
+
 def correct_names(matches: DataFrame, corrections: DataFrame) -> DataFrame:
     """What `repair_names` gives, by way of the corrections. Given a table of them that is small
-    enough to broadcast, the matches are not shuffled, however many players there are."""
+    enough to broadcast, the matches are not shuffled, however many players there are. Otherwise a digest
+    of them is broadcast, and only matches are shuffled that it does not rule out."""
+    if fits_broadcast(corrections):
+        return corrected(matches, corrections)
+    mark = unused("_mark", matches.columns)
+    rows = marked(matches, corrections, mark)
+    right, open_rows = rows.where(~F.col(mark)).drop(mark), rows.where(F.col(mark)).drop(mark)
+    return right.unionByName(corrected(open_rows, corrections))
+
+
+def corrected(matches: DataFrame, corrections: DataFrame) -> DataFrame:
+    """The matches joined to their corrections."""
     canonical = unused("_canonical", matches.columns)
     for side in ("winner", "loser"):
         lookup = corrections.select("player_id", "name", F.col("full_name").alias(canonical))
         keys = [f"{side}_id", f"{side}_name"]
-        matches = lookup_join(matches, lookup, keys, other_columns(side), salts=NAME_SALTS)
+        matches = lookup_join(matches, lookup, keys, other_columns(side), salts=CORRECTION_SALTS)
         fixed = F.coalesce(canonical, f"{side}_name")
         matches = matches.withColumn(f"{side}_name", fixed).drop(canonical)
     return matches

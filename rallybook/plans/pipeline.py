@@ -6,7 +6,7 @@ from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from rallybook.operators.joins import fits_broadcast, lookup_join
+from rallybook.operators.joins import lookup_join
 from rallybook.operators.levels import (
     DAVIS,
     GS,
@@ -40,6 +40,7 @@ from rallybook.schemas import (
     REPORT_TABLE,
 )
 from rallybook.sources.landing import land_bronze, load_matches
+from rallybook.sources.layout import bucketed
 from rallybook.sources.parallel import run_together
 from rallybook.sources.tables import (
     Lake,
@@ -70,7 +71,7 @@ def bronze_to_silver(
 
     The (id, name) pairs that need a correction are collected in a table first. They are few as a
     rule, so Spark broadcasts the table by its size and the matches are not shuffled, however many
-    players there are.
+    players there are; of a larger table a digest is broadcast, and few matches are shuffled.
 
     `backfill` fills missing player names from the matches before nameless players are left out.
 
@@ -84,13 +85,12 @@ def bronze_to_silver(
     players = read_silver(spark, lake, PLAYERS_TABLE, fmt)
     # A partitioned CSV folder keeps its year in folder names only, so CSV stays in one piece.
     by_year = None if fmt == "csv" else "year"
-    write_table(name_corrections(matches, players), lake, Layer.SILVER, CORRECTIONS_TABLE)
+    # Counted here, as the write below may read its rows twice.
+    seen, matches_seen = observed(matches, MATCH_PARSERS)
+    write_table(name_corrections(seen, players), lake, Layer.SILVER, CORRECTIONS_TABLE)
     lookup = read_table(spark, lake, Layer.SILVER, CORRECTIONS_TABLE)
-    matches, matches_seen = observed(matches, MATCH_PARSERS)
-    repaired = silver_matches_by(matches, lookup)
-    # With the lookup broadcast, each task still has the rows of its input files, so few years.
-    mixed = not fits_broadcast(lookup)
-    write_table(repaired, lake, Layer.SILVER, MATCHES_TABLE, fmt, by_year, gather=mixed)
+    # All but a few rows stay with the task of their input files, so no task has many years of them.
+    write_table(silver_matches_by(matches, lookup), lake, Layer.SILVER, MATCHES_TABLE, fmt, by_year)
     report = run_report(spark, {"players": players_seen, "matches": matches_seen}, players)
     write_table(report, lake, Layer.SILVER, REPORT_TABLE)
 
@@ -99,8 +99,8 @@ def silver_to_gold(
     spark: SparkSession, lake: Lake, silver_fmt: str = "parquet", fmt: str = "parquet"
 ) -> None:
     """The gold tables. The matches are scanned once for statistics: counts per player,
-    tournament and level are written as a table of their own, and each statistics table
-    is made from that much smaller one."""
+    tournament and level are written as a table of their own, in buckets by player, and each
+    statistics table is made from that one without a shuffle of it."""
     players = read_silver(spark, lake, PLAYERS_TABLE, silver_fmt)
     matches = with_int_break_points(read_silver(spark, lake, MATCHES_TABLE, silver_fmt))
     rollup = tournament_rollup(sides(matches), by_level=True)
@@ -111,12 +111,11 @@ def silver_to_gold(
     run_together(
         spark,
         [
-            save(rollup, PLAYER_TOURNAMENTS_TABLE, "parquet"),
             save(matches, MATCHES_TABLE, partition_by=None if fmt == "csv" else "year"),
             save(players, PLAYERS_TABLE),
         ],
     )
-    rollup = read_table(spark, lake, Layer.GOLD, PLAYER_TOURNAMENTS_TABLE, "parquet")
+    rollup = bucketed(rollup, lake.path(Layer.GOLD, PLAYER_TOURNAMENTS_TABLE, "parquet"), "player_id")
     statistics = player_statistics_from(players, over_levels(rollup))
     statistics = lookup_join(statistics, loss_rates_from(rollup), ["player_id"], ["full_name"])
     tables = [save(statistics, PLAYER_STATISTICS_TABLE), save(level_pivot_from(rollup), LEVEL_PIVOT_TABLE)]

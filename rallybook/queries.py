@@ -32,10 +32,11 @@ from rallybook.sources.landing import (
     source_manifest,
 )
 from rallybook.sources.layout import bucketed, write_lookup
-from rallybook.sources.parallel import run_together
+from rallybook.sources.parallel import folders_at_once, run_together
 from rallybook.sources.scratch import stored, work_folder
 from rallybook.sources.tables import (
     CSV_OPTIONS,
+    PACKED,
     Lake,
     Layer,
     load_csv,
@@ -170,8 +171,9 @@ def write_raw(spark, sf_dir, folder: str) -> DataFrame:
     """Players and one folder of matches per year as raw CSV; returns their manifest."""
     raw = fixtures.players(spark, sf_dir)
     raw.write.options(**CSV_OPTIONS).csv(f"{folder}/players")
-    by_year = fixtures.matches(spark, sf_dir).hint("rebalance", "year")
-    by_year.write.partitionBy("year").options(**CSV_OPTIONS).csv(f"{folder}/matches")
+    by_year = fixtures.matches(spark, sf_dir).write.partitionBy("year").options(**CSV_OPTIONS, **PACKED)
+    with folders_at_once(spark):
+        by_year.csv(f"{folder}/matches")
     # Only file names are read here.
     files = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
     source = F.regexp_extract("path", r"/(players|matches/year=\d+)/[^/]+$", 1)

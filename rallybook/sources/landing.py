@@ -59,9 +59,9 @@ def missing_sources(manifest: DataFrame, landed: DataFrame) -> DataFrame:
 
 
 def land_source(spark: SparkSession, lake: Lake, name: str, path: str, broken: set[str] | None = None) -> None:
-    """Copy one source, values untouched, over whatever an unfinished landing has left. It counts as
+    """Copy one source, values untouched and files compressed, over whatever an unfinished landing has left. It counts as
     landed once the job has put its `_SUCCESS` mark into the folder."""
-    write_csv(read_csv(spark, path, broken=broken), f"{lake.folder(Layer.BRONZE)}/{name}")
+    write_csv(read_csv(spark, path, broken=broken), f"{lake.folder(Layer.BRONZE)}/{name}", packed=True)
 
 
 def land_bronze(spark: SparkSession, manifest: DataFrame, lake: Lake) -> list[str]:

@@ -11,6 +11,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from rallybook.schemas import SILVER_TYPES, all_strings
+from rallybook.sources.parallel import folders_at_once
 from rallybook.sources.records import files_with_line_breaks, read_records
 from rallybook.sources.versions import files_at, read_version, write_version
 
@@ -21,6 +22,8 @@ CSV_OPTIONS = {
     "ignoreLeadingWhiteSpace": False,
     "ignoreTrailingWhiteSpace": False,
 }
+# For folders of CSV files that are copied and read again, each written by one task.
+PACKED = {"compression": "gzip", "zlib.compress.level": "BEST_SPEED"}
 FORMATS = ("csv", "parquet", "versioned", "delta")
 GATHER_SLOTS = 16
 # In a CSV folder that holds no value with a line break.
@@ -177,16 +180,18 @@ def read_csv_by_name(spark: SparkSession, paths, with_path: bool = False) -> Dat
     return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
 
 
-def write_csv(df: DataFrame, path: str, partition_by: str | None = None) -> None:
+def write_csv(df: DataFrame, path: str, partition_by: str | None = None, packed: bool = False) -> None:
     """Replace a CSV folder. Whether any value has a line break is observed in the same pass; if none has,
-    the folder is marked, so that readers need not look."""
+    the folder is marked, so that readers need not look. `packed` compresses its files."""
     broken = F.lit(False)
     for field in df.schema.fields:
         if field.dataType.typeName() == "string":
-            broken = broken | F.coalesce(F.col(quoted(field.name)).rlike(r"[\n\r]"), F.lit(False))
+            for end in "\n\r":
+                found = F.contains(F.col(quoted(field.name)), F.lit(end))
+                broken = broken | F.coalesce(found, F.lit(False))
     seen = Observation()
     rows = df.observe(seen, F.bool_or(broken).alias("line_breaks"))
-    writer = rows.write.mode("overwrite").options(**CSV_OPTIONS)
+    writer = rows.write.mode("overwrite").options(**CSV_OPTIONS, **(PACKED if packed else {}))
     # Landing relies on the mark of a finished job.
     writer = writer.option("mapreduce.fileoutputcommitter.marksuccessfuljobs", True)
     if partition_by:
@@ -253,9 +258,12 @@ def write_table(
         write_version(df, path, partition_by, only_partitions)
         return
     writer = df.write.mode("overwrite")
+    if fmt == "parquet":
+        writer = writer.option("compression", "zstd")
     if partition_by:
         writer = writer.partitionBy(partition_by)
-    writer.format(fmt).save(path)
+    with folders_at_once(df.sparkSession):
+        writer.format(fmt).save(path)
 
 
 def retype(df: DataFrame) -> DataFrame:

@@ -17,6 +17,8 @@ from uuid import uuid4
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.types import StringType, StructType
 
+from rallybook.sources.parallel import folders_at_once
+
 POINTERS = "_pointers"
 VERSION = "_version"
 
@@ -95,7 +97,8 @@ def write_version(
     attempt = f"{number}-{uuid4().hex[:12]}"
     keys = ([partition_by] if partition_by else []) + [VERSION]
     rows = df.withColumn(VERSION, F.lit(attempt))
-    rows.write.mode("append").option("compression", "zstd").partitionBy(*keys).parquet(path)
+    with folders_at_once(spark):
+        rows.write.mode("append").option("compression", "zstd").partitionBy(*keys).parquet(path)
     pattern, files = files_at(spark, f"{path}/{'*/' if partition_by else ''}{VERSION}={attempt}")
     root = files.makeQualified(files_at(spark, path)[0]).toString()
     new = [status.getPath().toString().removeprefix(f"{root}/") for status in files.globStatus(pattern) or []]
