@@ -3,11 +3,12 @@
 from __future__ import annotations
 
 from functools import partial
+from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from rallybook.functions.scalars import year_from_path
-from rallybook.operators.joins import fits_broadcast, lookup_join
+from rallybook.operators.joins import lookup_join
 from rallybook.operators.levels import level_pivot_from, level_statistics_from, loss_rates_from
 from rallybook.operators.names import name_corrections
 from rallybook.operators.rollup import added_up, over_levels, tournament_rollup
@@ -27,7 +28,9 @@ from rallybook.schemas import (
 )
 from rallybook.sources.landing import landed_names, load_sources
 from rallybook.sources.ledger import enter, land_changed, read_ledger, unknown_to
+from rallybook.sources.layout import bucketed
 from rallybook.sources.parallel import run_together
+from rallybook.sources.scratch import drop_folder
 from rallybook.sources.tables import Lake, Layer, load_csv, read_table, write_table
 
 FORMAT = "versioned"
@@ -60,8 +63,7 @@ def update_silver(spark: SparkSession, lake: Lake, names: list[str], players_cha
     write_table(name_corrections(matches, players), lake, Layer.SILVER, CORRECTIONS_TABLE, FORMAT)
     corrections = read_table(spark, lake, Layer.SILVER, CORRECTIONS_TABLE, FORMAT)
     repaired = silver_matches_by(matches, corrections)
-    mixed = not fits_broadcast(corrections)
-    write_table(repaired, lake, Layer.SILVER, MATCHES_TABLE, FORMAT, "year", gather=mixed, only_partitions=True)
+    write_table(repaired, lake, Layer.SILVER, MATCHES_TABLE, FORMAT, "year", only_partitions=True)
 
 
 def update_gold(spark: SparkSession, lake: Lake, years: DataFrame | None) -> None:
@@ -83,14 +85,22 @@ def update_gold(spark: SparkSession, lake: Lake, years: DataFrame | None) -> Non
         by_year = {"partition_by": "year", "only_partitions": True}
         tables += [save(matches, MATCHES_TABLE, **by_year), save(rollup, YEARLY_TOURNAMENTS_TABLE, gather=True, **by_year)]
     run_together(spark, tables)
-    rollup = added_up(read_table(spark, lake, Layer.GOLD, YEARLY_TOURNAMENTS_TABLE, FORMAT))
+    # Added up once for all tables below, and in buckets by player, so that none of them shuffles it.
+    folder = f"{lake.root.rstrip('/')}/scratch/rallybook-{uuid4().hex}"
+    yearly = read_table(spark, lake, Layer.GOLD, YEARLY_TOURNAMENTS_TABLE, FORMAT)
+    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    counts = added_up(yearly.repartition(buckets, "player_id"))
+    rollup = bucketed(counts, folder, "player_id", buckets, arranged=True)
     statistics = player_statistics_from(players, over_levels(rollup))
     statistics = lookup_join(statistics, loss_rates_from(rollup), ["player_id"], ["full_name"])
     tables = [save(statistics, PLAYER_STATISTICS_TABLE), save(level_pivot_from(rollup), LEVEL_PIVOT_TABLE)]
     for table, names in LEVEL_TABLES.items():
         at_level = rollup.where(F.col("tourney_level") == names.level)
         tables.append(save(level_statistics_from(at_level, names), table))
-    run_together(spark, tables)
+    try:
+        run_together(spark, tables)
+    finally:
+        drop_folder(spark, folder)
 
 
 def update_lake(spark: SparkSession, manifest: DataFrame, lake: Lake, by_content: bool = False) -> list[str]:

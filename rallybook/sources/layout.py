@@ -10,18 +10,22 @@ from pyspark.sql import DataFrame
 LOOKUP_ROW_GROUP = 1 << 20
 
 
-def bucketed(df: DataFrame, path: str, key: str, buckets: int | None = None) -> DataFrame:
+def bucketed(
+    df: DataFrame, path: str, key: str, buckets: int | None = None, arranged: bool = False
+) -> DataFrame:
     """The rows stored in buckets by `key` and read again: group-bys and joins by that key, with tables of as
     many buckets or with each other, need no exchange. What is at the path is replaced.
 
-    The rows are shuffled by the key once, here, so a bucket is one file. By default there are as many buckets
+    The rows are shuffled by the key once, here, so a bucket is one file; `arranged` rows come out of a
+    `repartition` by the key and that number already and are not shuffled again. By default there are as many buckets
     as shuffle partitions. A key that holds most of the rows makes a large bucket: reduce by key and
     something else first, as the rollups are.
     """
     spark = df.sparkSession
     buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
     name = f"rallybook_buckets_{uuid4().hex}"
-    writer = df.repartition(buckets, key).write.mode("overwrite").format("parquet").option("compression", "zstd")
+    rows = df if arranged else df.repartition(buckets, key)
+    writer = rows.write.mode("overwrite").format("parquet").option("compression", "zstd")
     writer.option("path", path).bucketBy(buckets, key).sortBy(key).saveAsTable(name)
     table = spark.table(name)
     # The plan holds files and buckets by itself; only the catalogue forgets the name.

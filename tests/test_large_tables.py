@@ -1,15 +1,18 @@
 """What must not grow faster than the input: rows shuffled for names, sorts before folders, shuffles of the rollup."""
 
+import pytest
 from frames import matches as frame, sorted_rows
 from pyspark.sql import functions as F
 
 from rallybook.operators.levels import level_pivot_from
 from rallybook.operators.names import correct_names, correction_digest, marked
-from rallybook.operators.rollup import over_levels, tournament_rollup
+from rallybook.operators.rollup import added_up, over_levels, tournament_rollup
 from rallybook.operators.sides import sides
+from rallybook.plans import update
+from rallybook.sources import tables
 from rallybook.sources.layout import bucketed
 from rallybook.sources.parallel import FOLDERS_SETTING, folders_at_once
-from rallybook.sources.tables import Lake, Layer, read_csv, read_table, write_csv, write_table
+from rallybook.sources.tables import Lake, Layer, of_source, read_csv, read_table, write_csv, write_table
 
 
 def named_matches(spark, folder):
@@ -81,3 +84,49 @@ def test_tables_from_a_stored_rollup_do_not_shuffle_it(spark, tmp_path):
         assert sorted_rows(stored.select(*rollup.columns)) == sorted_rows(rollup)
     for table in (over_levels(stored), level_pivot_from(stored, ["A", "G"])):
         assert "Exchange" not in table._jdf.queryExecution().executedPlan().toString()
+
+
+def test_counts_of_years_are_added_up_in_one_shuffle(spark, tmp_path):
+    rows = [{"w": 1 + i % 3, "l": 1 + (i + 1) % 3, "tourney_id": f"t{i % 4}", "tourney_level": "AG"[i % 2]} for i in range(30)]
+    rollup = tournament_rollup(sides(frame(spark, *rows)), by_level=True)
+    counts = added_up(rollup.union(rollup).repartition(4, "player_id"))
+    stored = bucketed(counts, f"{tmp_path}/rollup", "player_id", 4, arranged=True)
+    assert sorted_rows(stored.select(*counts.columns)) == sorted_rows(added_up(rollup.union(rollup)))
+    # Not more files than buckets, and what is read needs no exchange.
+    assert len(list((tmp_path / "rollup").glob("part-*"))) <= 4
+    assert "Exchange" not in over_levels(stored)._jdf.queryExecution().executedPlan().toString()
+
+
+def test_only_the_daily_run_s_tables_stay_in_its_lake(spark, tmp_path):
+    raw = tmp_path / "raw"
+    raw.mkdir()
+    (raw / "atp_players.csv").write_text("player_id,name_first,name_last,dob,ioc,wikidata_id\n1,A,A,19810808,ARG,Q1\n")
+    header = "tourney_id,tourney_level,round,winner_id,winner_name,loser_id,loser_name,w_bpSaved,w_bpFaced,l_bpSaved,l_bpFaced"
+    (raw / "atp_matches_2001.csv").write_text(f"{header}\nt,G,F,1,A A,2,B B,1,2,3,4\n")
+    manifest = spark.createDataFrame([(p.name, str(p)) for p in raw.iterdir()], "name string, path string")
+    lake, asked = Lake(str(tmp_path / "lake")), []
+
+    def once(*args, **kwargs):
+        asked.append(args[1])
+        return bucketed(*args, **kwargs)
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(update, "bucketed", once)
+        update.update_lake(spark, manifest, lake)
+    assert len(asked) == 1 and "rallybook-" in asked[0]
+    assert list((tmp_path / "lake" / "scratch").iterdir()) == []
+
+
+def test_headers_are_found_without_sorting_the_lines(spark, tmp_path, monkeypatch):
+    write_csv(spark.range(0, 4000, 1, 3).selectExpr("id as b", "id as a"), f"{tmp_path}/x.csv")
+    (tmp_path / "y.csv").write_text("a,c\n0,1\n")
+    plans = []
+
+    def spied(files, paths):
+        plans.append(files._jdf.queryExecution().executedPlan().toString())
+        return of_source(files, paths)
+
+    monkeypatch.setattr(tables, "of_source", spied)
+    paths = [f"{tmp_path}/x.csv", f"{tmp_path}/y.csv"]
+    assert tables.headers(spark, paths, set()) == {("b", "a"): paths[:1], ("a", "c"): paths[1:]}
+    assert plans and not any("Sort" in plan for plan in plans)
