@@ -151,7 +151,9 @@ def headers(spark: SparkSession, paths: list[str], broken: set[str]) -> dict[tup
     )
     first = F.monotonically_increasing_id()
     lines = lines.where("file_block_start = 0").withColumn("place", first)
-    heads = lines.groupBy("file").agg(F.min(F.struct("place", "value"))["value"].alias("header"))
+    # The places first, which are hashed; the smallest of texts would be found by sorting all lines.
+    places = lines.groupBy("file").agg(F.min("place").alias("place")).select("place")
+    heads = lines.join(F.broadcast(places), "place").select("file", F.col("value").alias("header"))
     known = of_source(heads, paths).groupBy("source").agg(F.min("header").alias("low"), F.max("header").alias("high"))
     found = {row.source: row for row in known.collect()}
     groups: dict[tuple[str, ...], list[str]] = {}
