@@ -41,7 +41,7 @@ def drop_folder(spark: SparkSession, folder: str) -> None:
     path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(path, True)
 
 
-def stored(df: DataFrame, path: str) -> DataFrame:
+def stored(df: DataFrame, path: str, **options) -> DataFrame:
     """The rows written as Parquet and read again: lineage ends at files that outlive executors."""
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.options(compression="zstd", **options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
